@@ -143,6 +143,12 @@ def _replay(path: str) -> MergeReplay:
     return MergeReplay(read_ranks(path))
 
 
+@lru_cache(maxsize=2)
+def _known(path: str, pattern: str) -> dict[str, bytes]:
+    """Encoded chunks; a Python worker keeps them for its later tasks."""
+    return {}
+
+
 def encode_corpus(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every text; one row per input row.
 
@@ -153,8 +159,7 @@ def encode_corpus(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay, cut = _replay(ranks_path), regex.compile(pattern)
-        known: dict[str, bytes] = {}
+        replay, cut, known = _replay(ranks_path), regex.compile(pattern), _known(ranks_path, pattern)
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             if len(known) > CACHE_CHUNKS:
