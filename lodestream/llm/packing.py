@@ -27,7 +27,7 @@ from lodestream.llm._common import slices, text_of
 from lodestream.llm.bpe import chunks_of
 
 SLICE_BYTES = 4 << 20
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 500_000
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, tier int, step_id long, ids binary"
 
 #: A piece is (doc_id, start, length, doc_tokens, the document's packed ids).
@@ -123,6 +123,12 @@ def _tokenizer(path: str):
     return made
 
 
+@lru_cache(maxsize=1)
+def _known(path: str) -> dict[str, bytes]:
+    """Tokenised chunks; a Python worker keeps them for its later tasks."""
+    return {}
+
+
 def _packed(chunks: list[str], path: str) -> list[bytes]:
     import numpy as np
 
@@ -155,7 +161,7 @@ def pack_documents(
         raise ValueError("tiers must be powers of two from the window down")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, bytes] = {}
+        known = _known(tokenizer_path)
         high, end = TaskContext.get().partitionId() << 40, end_id.to_bytes(4, "little")
         made = steps = 0
         pool: list[Piece] = []
