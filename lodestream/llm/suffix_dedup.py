@@ -28,6 +28,7 @@ from lodestream.llm._common import cut_lineage, map_text, row_key, text_of
 
 SLICE_BYTES = 4 << 20
 CHUNK_BYTES = 6 << 20
+COLLAPSE_BYTES = 32 << 20
 ENTRIES = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
@@ -193,12 +194,17 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _find_anchors(length: int, grain: int):
+    """Per text its anchor hashes; one that stands at several places is listed twice."""
+
+    def hashes(text: str) -> np.ndarray:
+        h = np.sort(anchors(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), length, grain)[0])
+        third = np.zeros(len(h), bool)
+        third[2:] = h[2:] == h[:-2]
+        return h[~third]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            found = [anchors(np.frombuffer(x.encode("utf-8", "surrogatepass"), np.uint8), length, grain) for x in part.column(1).to_pylist()]
-            keep = [i for i, f in enumerate(found) if len(f[0])]
-            lists = [pa.array([found[i][k] for i in keep], pa.list_(pa.int32() if k else pa.int64())) for k in range(4)]
-            return pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep, pa.int64())), *lists], ["_key", "h", "pos", "lo", "hi"])
+            return pa.RecordBatch.from_arrays([part.column(0), pa.array(map(hashes, part.column(1).to_pylist()), pa.list_(pa.int64()))], ["_key", "h"])
 
         yield from map_text(batches, SLICE_BYTES, work)
 
@@ -207,12 +213,12 @@ def _find_anchors(length: int, grain: int):
 
 def _squeeze(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as compressed bytes, for the shuffles."""
-    squeeze = zstandard.ZstdCompressor(level=1).compress
+    squeeze = zstandard.ZstdCompressor(level=6).compress
     work = lambda part: pa.RecordBatch.from_arrays([part.column(0), pa.array([squeeze(x.encode("utf-8", "surrogatepass")) for x in part.column(1).to_pylist()], pa.binary()), *part.columns[2:]], [*part.schema.names[:1], "z", *part.schema.names[2:]])
     yield from map_text(batches, SLICE_BYTES, work)
 
 
-def _cut_contexts(length: int):
+def _cut_contexts(length: int, grain: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
@@ -220,12 +226,14 @@ def _cut_contexts(length: int):
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             columns: list[list] = [[] for _ in names]
-            for key, packed, found in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for key, packed, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 data = expand(packed)
-                for a in found:
-                    context, back = data[a["lo"] : a["hi"] + length], a["pos"] - a["lo"]
+                found = anchors(np.frombuffer(data, np.uint8), length, grain)
+                some = np.isin(found[0], wanted)
+                for h, pos, lo, hi in zip(*(x[some].tolist() for x in found), strict=True):
+                    context, back = data[lo : hi + length], pos - lo
                     digest = xxhash.xxh3_128_digest(context, back)
-                    row = (key, a["h"], int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), a["lo"], back, context)
+                    row = (key, h, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), lo, back, context)
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
@@ -235,22 +243,40 @@ def _cut_contexts(length: int):
     return run
 
 
+def _collapse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Identical contexts of a task become one row with their number, so hot passages shrink before the shuffle."""
+    held: list[pa.Table] = []
+
+    def flush() -> list[pa.RecordBatch]:
+        table = pa.concat_tables(held).group_by(["h", "c1", "c2"], use_threads=False).aggregate([("n", "sum"), ("back", "min"), ("context", "one")])
+        held.clear()
+        return table.select(["h", "c1", "c2", "n_sum", "back_min", "context_one"]).rename_columns(["h", "c1", "c2", "n", "back", "context"]).to_batches(max_chunksize=4096)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(pa.Table.from_batches([batch]).append_column("n", pa.array(np.ones(batch.num_rows, np.int64))))
+        if sum(t.nbytes for t in held) > COLLAPSE_BYTES:
+            yield from flush()
+    if held:
+        yield from flush()
+
+
 def _sort_contexts(length: int):
-    """Reads contexts sorted by anchor hash; an anchor that goes on in the next batch is carried over."""
+    """Reads contexts sorted by anchor hash and digest; an anchor that goes on in the next batch is carried over."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         size = 0
 
         def flush(table: pa.Table) -> pa.RecordBatch:
-            contexts = table.column("context").to_pylist()
-            h, back, many = (table.column(c).to_numpy() for c in ("h", "back", "many"))
-            found = [_runs(x) for x in repeated_windows(contexts, h, back, many, length)]
+            h, c1, c2, n = (table.column(c).to_numpy() for c in ("h", "c1", "c2", "n"))
+            first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])))
+            many = np.add.reduceat(n, first) > 1
+            contexts = table.column("context").take(pa.array(first)).to_pylist()
+            found = [_runs(x) for x in repeated_windows(contexts, h[first], table.column("back").to_numpy()[first], many, length)]
             keep = [i for i, (a, _) in enumerate(found) if len(a)]
-            rows = table.select(["c1", "c2"]).take(pa.array(keep, pa.int64())).combine_chunks()
             lists = [pa.array([found[i][k] + (length - 1) * k for i in keep], pa.list_(pa.int32())) for k in (0, 1)]
-            one = [rows.column(c).combine_chunks() if rows.num_rows else pa.array([], pa.int64()) for c in ("c1", "c2")]
-            return pa.RecordBatch.from_arrays([*one, *lists], ["c1", "c2", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(c1[first[keep]]), pa.array(c2[first[keep]]), *lists], ["c1", "c2", "a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -294,7 +320,7 @@ def _cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from map_text(batches, SLICE_BYTES, work)
 
 
-def remove_repeats(df: DataFrame, length: int = 400, grain: int = 160, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, length: int = 400, grain: int = 96, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept (binary: the bytes left, concatenated).
 
     A byte goes if a ``length``-byte string that covers it also starts anywhere
@@ -303,16 +329,16 @@ def remove_repeats(df: DataFrame, length: int = 400, grain: int = 160, id_col: s
     are ignored.
     """
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("_key", row_key("doc_id", "text"))
-    found = cut_lineage(docs.filter(F.octet_length("text") >= length).select("_key", "text").mapInArrow(_find_anchors(length, grain), "_key long, h array<long>, pos array<int>, lo array<int>, hi array<int>"))
-    flat = found.select("_key", F.inline(F.arrays_zip("h", "pos", "lo", "hi")))
+    found = cut_lineage(docs.filter(F.octet_length("text") >= length).select("_key", "text").mapInArrow(_find_anchors(length, grain), "_key long, h array<long>"))
+    flat = found.select("_key", F.explode("h").alias("h"))
     twice = flat.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    wanted = flat.join(twice, "h").groupBy("_key").agg(F.collect_set(F.struct("h", "pos", "lo", "hi")).alias("found"))
+    wanted = flat.join(twice, "h").groupBy("_key").agg(F.collect_set("h").alias("wanted"))
     packed = docs.select("_key", "text", "doc_id").mapInArrow(_squeeze, "_key long, z binary, doc_id long")
-    cut = packed.select("_key", "z").join(wanted, "_key").select("_key", "z", "found").mapInArrow(_cut_contexts(length), "_key long, h long, c1 long, c2 long, lo int, back int, context binary")
+    cut = packed.select("_key", "z").join(wanted, "_key").select("_key", "z", "wanted").mapInArrow(_cut_contexts(length, grain), "_key long, h long, c1 long, c2 long, lo int, back int, context binary")
     contexts = _as_table(cut)
-    # Identical contexts meet map-side; a passage in a third of all documents is a few rows here.
-    distinct = contexts.groupBy("h", "c1", "c2").agg(F.first("back").alias("back"), F.first("context").alias("context"), (F.count("*") > 1).alias("many"))
-    ranges = distinct.repartition("h").sortWithinPartitions("h").mapInArrow(_sort_contexts(length), "c1 long, c2 long, a array<int>, b array<int>")
+    # Identical contexts meet map-side; a passage in a third of all documents is a few rows of each task here.
+    few = contexts.select("h", "c1", "c2", "back", "context").mapInArrow(_collapse, "h long, c1 long, c2 long, n long, back int, context binary")
+    ranges = few.repartition("h").sortWithinPartitions("h", "c1", "c2").mapInArrow(_sort_contexts(length), "c1 long, c2 long, a array<int>, b array<int>")
     shifted = contexts.select("_key", "c1", "c2", "lo").join(ranges, ["c1", "c2"]).select("_key", F.inline(F.arrays_zip((F.transform("a", lambda x: x + F.col("lo"))).alias("a"), F.transform("b", lambda x: x + F.col("lo")).alias("b"))))
     spans = shifted.groupBy("_key").agg(F.collect_list("a").alias("starts"), F.collect_list("b").alias("ends"))
     return packed.join(spans, "_key", "left").select("doc_id", "z", "starts", "ends").mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
