@@ -92,14 +92,17 @@ def judge_documents(df: DataFrame, reject_rate: float = 0.8, id_col: str = "doc_
     return judged.select("doc_id", *MEASURES, "base_failed", "host_rate", (~F.col("base_failed") & ~F.col("host_rejected")).alias("kept"))
 
 
-def keep_good(df: DataFrame, reject_rate: float = 0.8, text_col: str = "text", host_col: str = "source") -> DataFrame:
+def keep_good(df: DataFrame, reject_rate: float = 0.8, broadcast_hosts: int = 100_000, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The rows of ``df`` that the rules and their host's verdict keep, with its columns.
 
-    The measurements of the rejected hosts come from a first pass; the second
-    pass measures again beside the text, which is cheaper than moving texts.
+    The measurements come from a first pass; the second pass measures again
+    beside the text, which is cheaper than moving texts.  Up to
+    ``broadcast_hosts`` rejected hosts (counted first) are broadcast, so the
+    texts stay where they are; more are joined by a shuffle.
     """
     small = cut_lineage(measure(df.select(F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text"))).select("host", "base_failed"))
-    bad = host_verdicts(small, "host", reject_rate).filter("host_rejected").select(F.col("host").alias("_bad_host"))
+    bad = cut_lineage(host_verdicts(small, "host", reject_rate).filter("host_rejected").select(F.col("host").alias("_bad_host")))
     measured = measure(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(text_col).alias("text")))
     kept = measured.filter(~F.col("base_failed")).select("_row")
+    bad = F.broadcast(bad) if bad.limit(broadcast_hosts + 1).count() <= broadcast_hosts else bad
     return kept.join(bad, F.col("_row")[host_col].cast("string").eqNullSafe(F.col("_bad_host")), "left_anti").select("_row.*")
