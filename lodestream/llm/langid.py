@@ -115,7 +115,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
         def one(text: str) -> tuple[str, float]:
             words = _WORD.findall(text.lower())
-            if not words or not model.langs:
+            if not model.langs or not any(c.isalpha() for w in words for c in w):
                 return "und", 0.0
             at = []
             for w in words:

@@ -297,6 +297,8 @@ def test_language_backs_off(spark):
     model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert "withthing" not in model.words and model.langs[int(model.score("withthing").argmax())] == "en"
     assert model.langs[int(model.score("quelquelles").argmax())] == "fr" and not model.score("ыыы").any()
+    odd = spark.createDataFrame([(1, "½ ² 12"), (2, "½ thething")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(odd, model).collect()} == {1: "und", 2: "en"}
 
 
 # 7. BPE
@@ -329,6 +331,7 @@ def brute_base(text):
 def test_pii_base_spans():
     r = random.Random(3)
     texts = [t or "" for t in edge_texts()] + ["".join(r.choice("ab1.2@+ -()4\n") for _ in range(r.randrange(300))) for _ in range(600)] + ["a" * 700 + "@b.c", "x@" * 50 + "y.z"]
+    assert pii.base_spans("1.2.3." + "0" * 5000) == [(1, 0, 5006)] and pii.base_spans("1.2.3." + "0" * 5000 + "256") == []
     for text in texts:
         assert pii.base_spans(text) == brute_base(text), text
     pii.base_spans("1" * 200_000 + "a" * 200_000 + "@" + "b" * 200_000)  # linear
@@ -418,6 +421,8 @@ def test_lines(docs, table, none):
     for df, least in ((docs, 2), (table, 3), (table, 10)):
         got = line_dedup.remove_boilerplate(df, min_sites=least).collect()
         assert Counter((r["doc_id"], r["n_lines"], r["n_removed"], r["text"]) for r in got) == brute_lines(df.collect(), least)
+        got = line_dedup.remove_boilerplate(df, min_sites=least, broadcast_lines=0).collect()
+        assert Counter((r["doc_id"], r["n_lines"], r["n_removed"], r["text"]) for r in got) == brute_lines(df.collect(), least)
     assert line_dedup.remove_boilerplate(none).count() == 0
 
 
