@@ -24,24 +24,27 @@ def _lines(df: DataFrame) -> DataFrame:
     return flat.withColumn("line", line).filter(F.col("line") != "").select("doc_id", "_key", "site", "pos", F.xxhash64("line").alias("h"), F.crc32(F.col("line").cast("binary")).alias("c"))
 
 
-def boilerplate_lines(lines: DataFrame, min_sites: int, margin: float, lg_k: int) -> DataFrame:
-    """Hashes of the lines on at least ``min_sites`` sites, with the smallest doc_id that has them."""
+def _beside(small: DataFrame, rows: int) -> DataFrame:
+    """``small`` marked for broadcast if it is counted to have at most that many rows; else it is joined by a shuffle."""
+    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+
+
+def boilerplate_hits(lines: DataFrame, min_sites: int, margin: float, lg_k: int, broadcast_lines: int) -> DataFrame:
+    """The rows of ``lines`` that stand on at least ``min_sites`` sites, with ``first_doc``, the smallest doc_id that has the line.
+
+    Sketches leave the lines whose estimate reaches the threshold less
+    ``margin``; the places where these stand are written once, and both the
+    exact counts of near-threshold lines and the result are read from them.
+    """
     site = F.xxhash64(F.coalesce(F.col("site"), F.lit("<null>")))
     sketched = lines.groupBy("h", "c").agg(F.hll_sketch_agg(site, lg_k).alias("sketch"), F.min("doc_id").alias("first_doc"))
     spread = sketched.select("h", "c", "first_doc", F.hll_sketch_estimate("sketch").alias("estimate"))
-    low, high = min_sites * (1 - margin), min_sites * (1 + margin)
-    spread = cut_lineage(spread.filter(F.col("estimate") >= low))
-    near = spread.filter(F.col("estimate") <= high)
-    exact = (
-        lines.join(near.select("h", "c"), ["h", "c"], "left_semi")
-        .select("h", "c", site.alias("s"))
-        .distinct()
-        .groupBy("h", "c")
-        .agg(F.count("*").alias("n_sites"))
-        .filter(F.col("n_sites") >= min_sites)
-        .select("h", "c")
-    )
-    return spread.filter(F.col("estimate") > high).unionByName(near.join(exact, ["h", "c"], "left_semi")).select("h", "c", "first_doc")
+    spread = cut_lineage(spread.filter(F.col("estimate") >= min_sites * (1 - margin)))
+    places = cut_lineage(lines.join(_beside(spread, broadcast_lines), ["h", "c"]).select("h", "c", "doc_id", "_key", "pos", "first_doc", "estimate", site.alias("s")))
+    sure = F.col("estimate") > min_sites * (1 + margin)
+    exact = places.filter(~sure).select("h", "c", "s").distinct().groupBy("h", "c").agg(F.count("*").alias("n_sites")).filter(F.col("n_sites") >= min_sites)
+    near = places.filter(~sure).join(exact.select("h", "c"), ["h", "c"], "left_semi")
+    return places.filter(sure).unionByName(near)
 
 
 def remove_boilerplate(
@@ -49,6 +52,7 @@ def remove_boilerplate(
     min_sites: int = 10,
     margin: float = 0.25,
     lg_k: int = 12,
+    broadcast_lines: int = 200_000,
     id_col: str = "doc_id",
     text_col: str = "text",
     site_col: str = "source",
@@ -60,12 +64,12 @@ def remove_boilerplate(
     count; blank lines stay.  A null text stays null with no lines; a null
     site is a site of its own, and a null id is no document's smallest, so all
     its copies of a line go if another row has it.  Repeated rows are cleaned
-    alike.  An empty table gives no rows.
+    alike.  An empty table gives no rows.  Up to ``broadcast_lines`` lines
+    (counted first) are broadcast to find where they stand; more are joined
+    by a shuffle of line hashes.
     """
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(id_col).alias("doc_id"), F.col(site_col).cast("string").alias("site"), text_of(text_col).alias("text"), row_key(id_col, text_col).alias("_key"))
-    lines = _lines(rows.drop("_row"))
-    known = boilerplate_lines(lines, min_sites, margin, lg_k)
-    hits = lines.join(known, ["h", "c"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    hits = boilerplate_hits(_lines(rows.drop("_row")), min_sites, margin, lg_k, broadcast_lines).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     removed = hits.groupBy("_key").agg(F.collect_set("pos").alias("gone"))
     n_lines = F.size(F.filter(F.split(F.col("text"), "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0))
     joined = rows.join(removed, "_key", "left")
