@@ -12,7 +12,8 @@ Prediction covers every row without a shuffle.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+import uuid
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -31,39 +32,86 @@ KNOWN_WORDS = 300_000
 
 @dataclass
 class Model:
+    """Log frequencies by language: a row of ``word_rows`` or ``gram_rows`` for each known word or n-gram."""
+
     langs: list[str]
     prior: np.ndarray
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]
+    word_rows: np.ndarray
+    grams: dict[str, int]
+    gram_rows: np.ndarray
 
     def score(self, word: str) -> np.ndarray:
         """Log scores of one lower-case word, by language."""
         found = self.words.get(word)
         if found is not None:
-            return found
-        padded, parts, at = f"<{word}>", [], 0
-        while at < len(padded):
+            return self.word_rows[found]
+        padded, parts = f"<{word}>", []
+        size = len(padded)
+        for at in range(size):
             for n in NGRAMS:
-                gram = padded[at : at + n]
-                if len(gram) == n and gram in self.grams and gram not in ("<", ">"):
-                    parts.append(self.grams[gram])
+                row = self.grams.get(padded[at : at + n]) if at + n <= size else None
+                if row is not None:
+                    parts.append(row)
                     break
-            at += 1
-        return np.mean(parts, axis=0) if parts else np.zeros(len(self.langs))
+        return self.gram_rows[parts].mean(axis=0) if parts else np.zeros(len(self.langs))
+
+
+class Scorer:
+    """A model with the scores of the words met so far, kept as one table so that a text is one product."""
+
+    def __init__(self, model: Model):
+        self.model, self.known = model, {}
+        self.rows = np.zeros((1024, len(model.langs)))
+
+    def _row(self, word: str) -> int:
+        at = self.known[word] = len(self.known)
+        if at == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[at] = self.model.score(word)
+        return at
+
+    def predict(self, text: str) -> tuple[str, float]:
+        counts = Counter(_WORD.findall(text.lower()))
+        if not self.model.langs or not any(c.isalpha() for w in counts for c in w):
+            return "und", 0.0
+        known = self.known
+        at = [known[w] if w in known else self._row(w) for w in counts]
+        total = self.model.prior + np.fromiter(counts.values(), float, len(at)) @ self.rows[at]
+        odds = np.exp(total - total.max())
+        best = int(total.argmax())
+        return self.model.langs[best], float(odds[best] / odds.sum())
+
+    def forget(self, most: int) -> None:
+        if len(self.known) > most:
+            self.known.clear()
+
+
+#: The scorer of the latest model in this worker; its later tasks find their words in it.
+_LATEST: dict[str, Scorer] = {}
+
+
+def _scorer(key: str, shared) -> Scorer:
+    if key not in _LATEST:
+        _LATEST.clear()
+        _LATEST[key] = Scorer(shared.value)
+    return _LATEST[key]
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _log_table(counts: list, langs: list[str], smooth: float) -> dict[str, np.ndarray]:
-    """Log frequencies by language, per key, from (key, lang, count) rows."""
+def _log_table(counts: list, langs: list[str], smooth: float) -> tuple[dict[str, int], np.ndarray]:
+    """Log frequencies by language from (key, lang, count) rows: each key's row number, and the rows."""
     place = {x: i for i, x in enumerate(langs)}
-    table: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(langs)))
-    for key, lang, n in counts:
-        table[key][place[lang]] += n
-    total = sum(table.values(), np.zeros(len(langs))) + smooth * max(len(table), 1)
-    return {k: np.log((v + smooth) / total) for k, v in table.items()}
+    index: dict[str, int] = {}
+    cells = [(index.setdefault(key, len(index)), place[lang], n) for key, lang, n in counts]
+    table = np.zeros((len(index), len(langs)))
+    for row, column, n in cells:
+        table[row, column] += n
+    total = table.sum(axis=0) + smooth * max(len(index), 1)
+    return index, np.log((table + smooth) / total)
 
 
 def train(df: DataFrame, sample_docs: int = 20_000, max_words: int = 60_000, max_grams: int = 60_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -72,7 +120,7 @@ def train(df: DataFrame, sample_docs: int = 20_000, max_words: int = 60_000, max
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
     langs, total = sorted(sizes), sum(sizes.values())
     if not total:
-        return Model([], np.zeros(0), {}, {})
+        return Model([], np.zeros(0), {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
     # Languages are sampled apart, so a rare one keeps its documents.
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, sample_docs / len(langs) / sizes[lang]))])
     sample = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
@@ -91,12 +139,18 @@ def train(df: DataFrame, sample_docs: int = 20_000, max_words: int = 60_000, max
     top_grams = counted.orderBy(F.desc("n"), "gram", "lang").limit(max_grams).collect()
     prior = np.log(np.array([sizes[x] for x in langs], float) / total)
     by_length = defaultdict(list)
-    for gram, lang, n in ((r["gram"], r["lang"], r["n"]) for r in top_grams):
-        by_length[len(gram)].append((gram, lang, n))
-    tables: dict[str, np.ndarray] = {}
+    for r in top_grams:
+        if r["gram"] not in ("<", ">"):
+            by_length[len(r["gram"])].append((r["gram"], r["lang"], r["n"]))
+    # Each length has frequencies of its own.
+    grams: dict[str, int] = {}
+    gram_rows = [np.zeros((0, len(langs)))]
     for rows in by_length.values():
-        tables.update(_log_table(rows, langs, 0.5))
-    return Model(langs, prior, _log_table([(r["word"], r["lang"], r["n"]) for r in top], langs, 0.5), tables)
+        index, table = _log_table(rows, langs, 0.5)
+        grams.update({gram: len(grams) + i for gram, i in index.items()})
+        gram_rows.append(table)
+    index, table = _log_table([(r["word"], r["lang"], r["n"]) for r in top], langs, 0.5)
+    return Model(langs, prior, index, table, grams, np.concatenate(gram_rows))
 
 
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,37 +160,14 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     'und' with score 0.  Repeated rows are predicted alike; an empty table
     gives no rows; other columns are ignored.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared, key = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        known: dict[str, int] = {}
-        rows: list[np.ndarray] = []
-
-        def one(text: str) -> tuple[str, float]:
-            words = _WORD.findall(text.lower())
-            if not model.langs or not any(c.isalpha() for w in words for c in w):
-                return "und", 0.0
-            at = []
-            for w in words:
-                i = known.get(w)
-                if i is None:
-                    i = known[w] = len(rows)
-                    rows.append(model.score(w))
-                at.append(i)
-            counts: dict[int, int] = defaultdict(int)
-            for i in at:
-                counts[i] += 1
-            total = model.prior + sum(rows[i] * n for i, n in counts.items())
-            odds = np.exp(total - total.max())
-            best = int(total.argmax())
-            return model.langs[best], float(odds[best] / odds.sum())
+        scorer = _scorer(key, shared)
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-                rows.clear()
-            found = [one(x) for x in part.column(1).to_pylist()]
+            scorer.forget(KNOWN_WORDS)
+            found = [scorer.predict(x) for x in part.column(1).to_pylist()]
             return pa.RecordBatch.from_arrays([part.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["doc_id", "lang_pred", "score"])
 
         yield from map_text(batches, SLICE_BYTES, work)
