@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestream.functions.patterns import PATTERNS
-from lodestream.operators import structure
-from lodestream.plans.entities import _quoted
+from lodestream.operators import entities, patches, structure
+from lodestream.plans.entities import _hits, _quoted
 from lodestream.plans.standin import CALLS_SQL, calls
 from lodestream.streaming import latch
 
@@ -65,7 +65,26 @@ def streaming_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latch.run_once(spark, out, f"{base}/latch-{uuid.uuid4().hex}")
 
 
-QUERIES = {f.__name__: f for f in (structural_issues, gate_verdicts, orphan_results, passing_semi, redact_documents, iso_ms_roundtrip, streaming_latch)}
+def patched_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consent pairs before long answers; short turns removed; user turns that hold a number replaced."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    size, none = F.length("text"), F.lit(None).cast("string")
+    edit = lambda match, op, text: turns.filter(match).select("conv_id", F.col("turn").alias("line"), F.lit(op).alias("op"), F.lit(1).cast("long").alias("seq"), none.alias("role"), text.alias("text"))
+    edits = patches.consent_pair(turns.filter((F.col("role") == "assistant") & (size > 400)), ["conv_id"], "turn", "May I go on?", "Yes.")
+    edits = edits.unionByName(edit(size < 60, "remove_event", none)).unionByName(edit((F.col("role") == "user") & F.col("text").rlike("[0-9]"), "replace_text", F.lit("[REDACTED]")))
+    return patches.apply_patches(turns, edits, ["conv_id"], "turn")
+
+
+def entity_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values found in a user turn that a later assistant turn of the conversation repeats, with the first such turn."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = entities.pattern_entities(turns.select(F.struct("conv_id", "turn", "role").alias("at"), "text"), "at", "text").select("at.*", "label", F.lower(F.trim("hit")).alias("value"))
+    said = found.groupBy("conv_id", "label", "value").agg(F.min(F.when(F.col("role") == "user", F.col("turn"))).alias("said_at"), F.array_sort(F.collect_set(F.when(F.col("role") == "assistant", F.col("turn")))).alias("_answers"))
+    later = F.get(F.filter("_answers", lambda t: t > F.col("said_at")), F.lit(0))
+    return said.select("conv_id", "label", "value", "said_at", later.alias("repeated_at")).filter("repeated_at IS NOT NULL")
+
+
+QUERIES = {f.__name__: f for f in (structural_issues, gate_verdicts, orphan_results, passing_semi, redact_documents, iso_ms_roundtrip, streaming_latch, patched_conversations, entity_reuse)}
 
 _RUN = "OVER (PARTITION BY submission ORDER BY pos ROWS UNBOUNDED PRECEDING)"
 _FLAGS = f"""(SELECT submission, pos, event_type, value, row_number() OVER (PARTITION BY submission, props ORDER BY pos) AS copy, lag(event_type) OVER (PARTITION BY submission ORDER BY pos) AS before,
@@ -87,4 +106,11 @@ ORACLE_SQL = {
     "redact_documents": f"SELECT doc_id, {_redacted} AS redacted FROM documents",
     "iso_ms_roundtrip": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso, epoch_ms(date_trunc('millisecond', ts)) AS ms FROM events",
     "streaming_latch": f"SELECT event_id, coalesce(last_value(CASE event_type WHEN 'error' THEN 1 WHEN 'signup' THEN 0 END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 0)::BIGINT AS pending FROM events",
+    "patched_conversations": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, slot) - 1 AS line, role, text FROM (
+        SELECT conv_id, turn, 3 AS slot, role, CASE WHEN role = 'user' AND regexp_matches(text, '[0-9]') THEN '[REDACTED]' ELSE text END AS text FROM conversations WHERE NOT coalesce(length(text) < 60, false)
+        UNION ALL SELECT conv_id, turn, 1, 'assistant', 'May I go on?' FROM conversations WHERE role = 'assistant' AND length(text) > 400
+        UNION ALL SELECT conv_id, turn, 2, 'user', 'Yes.' FROM conversations WHERE role = 'assistant' AND length(text) > 400)""",
+    "entity_reuse": f"""WITH found AS (SELECT f.*, lower(trim(hit)) AS value FROM ({_hits("(SELECT {'c': conv_id, 't': turn, 'r': role} AS spot, text FROM conversations)", "spot", "text")}) f),
+        said AS (SELECT spot.c AS conv_id, label, value, min(spot.t) AS said_at FROM found WHERE spot.r = 'user' GROUP BY ALL)
+        SELECT s.conv_id, s.label, s.value, said_at, min(f.spot.t) AS repeated_at FROM said s JOIN found f ON f.spot.c = s.conv_id AND f.label = s.label AND f.value = s.value AND f.spot.r = 'assistant' AND f.spot.t > said_at GROUP BY ALL""",
 }
