@@ -10,12 +10,18 @@ that are sorted by merging: two suffixes are compared through prefix
 polynomial hashes, a binary search for their common extension and the byte
 after it.  Neighbours that agree over the whole length are verified byte by
 byte.  The ranges found are joined back to the documents.
+
+An anchor hash with more contexts than a task holds is crowded: its windows are
+named by 128-bit hashes, spread over all tasks and counted by name, first in
+blocks of neighbouring windows by the bytes these share, then one by one in the
+blocks left.  As with identical contexts, equal names count as equal bytes.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +36,11 @@ SLICE_BYTES = 4 << 20
 CHUNK_BYTES = 6 << 20
 COLLAPSE_BYTES = 32 << 20
 ENTRIES = 1 << 20
+#: Names on more rows than this are broadcast, so that no task gathers them.
+OFTEN = 512
 BASE = 0x9E3779B97F4A7C15 | 1
+COLLAPSED = "h long, c1 long, c2 long, n long, back int, context binary"
+RANGES = "c1 long, c2 long, a array<int>, b array<int>"
 _U = np.uint64
 
 
@@ -298,6 +308,64 @@ def _sort_contexts(length: int):
     return run
 
 
+def _name_cores(length: int, step: int, coarse: int = 0):
+    """Per context and block of ``step`` neighbouring windows a 128-bit name of the bytes they share; with ``coarse``, only within the given blocks of so many.
+
+    Blocks are counted by the anchor's offset in the window, so equal windows have equal blocks.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def work(part: pa.RecordBatch) -> pa.RecordBatch:
+            c1, c2, n, backs = (part.column(c).to_numpy() for c in range(4))
+            wanted = map(set, part.column(5).to_pylist()) if coarse else [None] * part.num_rows
+            which, at, names = [], [], []
+            for i, (back, context, some) in enumerate(zip(backs.tolist(), part.column(4).to_pylist(), wanted, strict=True)):
+                for k in range((back - len(context) + length) // step, back // step + 1):
+                    if some is None or k * step // coarse in some:
+                        which.append(i)
+                        at.append(k)
+                        names.append(xxhash.xxh3_128_digest(context[back - k * step : back + length - (k + 1) * step + 1], k))
+            w = np.frombuffer(b"".join(names), ">i8").astype(np.int64).reshape(-1, 2)
+            columns = [c1[which], c2[which], n[which], backs[which], np.array(at, np.int32), w[:, 0], w[:, 1]] if which else [np.zeros(0, t) for t in "qqqiiqq"]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["c1", "c2", "n", "back", "at", "w1", "w2"])
+
+        yield from map_text(batches, SLICE_BYTES // 4, work, text_column=4)
+
+    return run
+
+
+def _named_again(names: DataFrame) -> DataFrame:
+    """The rows of ``names`` whose name stands for more than one place."""
+    key = ["w1", "w2"]
+    seen = cut_lineage(names.groupBy(*key).agg(F.sum("n").alias("places"), F.count("*").alias("rows")).filter("places > 1"))
+    often, rest = F.broadcast(seen.filter(F.col("rows") > OFTEN).select(*key)), seen.filter(F.col("rows") <= OFTEN).select(*key)
+    return names.join(often, key, "left_semi").union(names.join(often, key, "left_anti").join(rest, key, "left_semi"))
+
+
+def _windows_to_ranges(length: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ranges = []
+            for back, offsets in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                flags = np.zeros(back + 1 - min(offsets), bool)
+                flags[back - np.array(offsets)] = True
+                ranges.append(_runs(flags))
+            lists = [pa.array([r[k] + (length - 1) * k for r in ranges], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["c1", "c2", "a", "b"])
+
+    return run
+
+
+def _crowded_ranges(contexts: DataFrame, length: int, grain: int) -> DataFrame:
+    """The ranges of (h, c1, c2, back, context) rows as _sort_contexts finds them, however many contexts an anchor hash has."""
+    few = _as_table(contexts.mapInArrow(_collapse, COLLAPSED)).select("c1", "c2", "n", "back", "context")
+    named, step = "c1 long, c2 long, n long, back int, at int, w1 long, w2 long", max(2, isqrt(length - grain + 1))
+    blocks = _named_again(_as_table(few.mapInArrow(_name_cores(length, step), named))).groupBy("c1", "c2").agg(F.collect_set("at").alias("blocks"))
+    wanted = few.join(blocks, ["c1", "c2"]).select(*few.columns, "blocks")
+    windows = _named_again(_as_table(wanted.mapInArrow(_name_cores(length, 1, step), named)))
+    return windows.groupBy("c1", "c2").agg(F.min("back").alias("back"), F.collect_set("at").alias("at")).mapInArrow(_windows_to_ranges(length), RANGES)
+
+
 def _cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     expand = zstandard.ZstdDecompressor().decompress
 
@@ -337,8 +405,13 @@ def remove_repeats(df: DataFrame, length: int = 400, grain: int = 96, id_col: st
     cut = packed.select("_key", "z").join(wanted, "_key").select("_key", "z", "wanted").mapInArrow(_cut_contexts(length, grain), "_key long, h long, c1 long, c2 long, lo int, back int, context binary")
     contexts = _as_table(cut)
     # Identical contexts meet map-side; a passage in a third of all documents is a few rows of each task here.
-    few = contexts.select("h", "c1", "c2", "back", "context").mapInArrow(_collapse, "h long, c1 long, c2 long, n long, back int, context binary")
-    ranges = few.repartition("h").sortWithinPartitions("h", "c1", "c2").mapInArrow(_sort_contexts(length), "c1 long, c2 long, a array<int>, b array<int>")
+    parts = contexts.select("h", "c1", "c2", "back", "context")
+    crowded = cut_lineage(contexts.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > max(2, CHUNK_BYTES // (2 * length))).select("h"))
+    some = not crowded.isEmpty()
+    few = (parts.join(F.broadcast(crowded), "h", "left_anti") if some else parts).mapInArrow(_collapse, COLLAPSED)
+    ranges = few.repartition("h").sortWithinPartitions("h", "c1", "c2").mapInArrow(_sort_contexts(length), RANGES)
+    if some:
+        ranges = ranges.union(_crowded_ranges(parts.join(F.broadcast(crowded), "h", "left_semi"), length, grain))
     shifted = contexts.select("_key", "c1", "c2", "lo").join(ranges, ["c1", "c2"]).select("_key", F.inline(F.arrays_zip((F.transform("a", lambda x: x + F.col("lo"))).alias("a"), F.transform("b", lambda x: x + F.col("lo")).alias("b"))))
     spans = shifted.groupBy("_key").agg(F.collect_list("a").alias("starts"), F.collect_list("b").alias("ends"))
     return packed.join(spans, "_key", "left").select("doc_id", "z", "starts", "ends").mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
