@@ -32,9 +32,9 @@ def text_of(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def row_key(doc_id: str, text: str) -> Column:
+def row_key(doc_id: str | Column, text: str | Column) -> Column:
     """A 64-bit key of a row: equal for repeated rows, different for rows that share an id only."""
-    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("<null>")), text_of(text))
+    return F.xxhash64(F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit("<null>")), text_of(text))
 
 
 def slices(batch: pa.RecordBatch, text_column: int, limit: int) -> Iterator[pa.RecordBatch]:

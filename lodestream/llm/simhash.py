@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.llm._common import cut_lineage, map_text, text_of
+from lodestream.llm._common import cut_lineage, map_text, row_key, text_of
 from lodestream.llm.components import connected_components
 
 SLICE_BYTES = 4 << 20
@@ -55,16 +55,21 @@ def fingerprint(text: str, seed: int = 42) -> int:
 
 def add_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ``fp`` (the fingerprint's bits as a signed long) of every row."""
+    return _keyed_fingerprints(df, id_col, text_col).select("doc_id", "fp")
+
+
+def _keyed_fingerprints(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, ``key`` (of id and text) and ``fp`` of every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             found = np.array([fingerprint(x) for x in part.column(1).to_pylist()], np.uint64)
-            return pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64), pa.int64())], ["doc_id", "fp"])
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(found.view(np.int64), pa.int64())], ["doc_id", "key", "fp"])
 
         yield from map_text(batches, SLICE_BYTES, work)
 
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("key", row_key("doc_id", "text"))
+    return rows.mapInArrow(run, "doc_id long, key long, fp long")
 
 
 @lru_cache(maxsize=1)
@@ -220,12 +225,20 @@ def near_duplicates(df: DataFrame, reach: int = 3, id_col: str = "doc_id", text_
 
 
 def keep_one_each(df: DataFrame, reach: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group, that of its smallest id, with the columns of ``df``.
+    """One row of each group, that of its smallest id (a null one if there is no other), with the columns of ``df``.
 
-    Ids should be unique; where rows share one, a single row of it stays.
+    Groups hang together by their texts alone: rows of other groups stay, also
+    if they share the id or have none.  Of rows of one id the smallest key of
+    id and text stays, of rows of equal id and text the smallest row.
     """
-    found = cut_lineage(near_duplicates(df, reach, id_col, text_col))
-    ids = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = df.join(ids, df[id_col].cast("long").eqNullSafe(ids["doc_id"]), "left_semi")
-    repeated = not ids.filter("n > 1").isEmpty()
-    return kept.dropDuplicates([id_col]) if repeated else kept
+    prints = cut_lineage(_keyed_fingerprints(df, id_col, text_col))
+    parts = connected_components(link_fingerprints(prints, reach)).select(F.col("node").alias("fp"), "component")
+    rows = prints.groupBy("fp", "doc_id", "key").agg(F.count("*").alias("n"))
+    first = rows.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key", "n")).alias("row"))
+    winners = first.join(parts, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("row").alias("row"))
+    winners = cut_lineage(winners.select(F.col("row.doc_id").alias("_id"), F.col("row.key").alias("_key"), "row.n"))
+    keyed = df.select("*", F.col(id_col).cast("long").alias("_row_id"), row_key(F.col(id_col).cast("long"), F.col(text_col)).alias("_row_key"))
+    kept = keyed.join(winners, keyed["_row_id"].eqNullSafe(winners["_id"]) & (keyed["_row_key"] == winners["_key"]), "left_semi")
+    if winners.filter("n > 1").isEmpty():
+        return kept.select(*df.columns)
+    return kept.groupBy("_row_id", "_row_key").agg(F.min(F.struct(*df.columns)).alias("row")).select("row.*")
