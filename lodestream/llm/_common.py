@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -27,13 +28,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def as_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder, so that later steps read only the columns they need."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        cut_lineage(df.limit(0))
+    path = f"{sc.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_of(text: str | Column) -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def beside(small: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``small`` marked for broadcast if it is counted to have at most that many rows; else it is joined by a shuffle."""
+    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+
+
 def row_key(doc_id: str | Column, text: str | Column) -> Column:
-    """A 64-bit key of a row: equal for repeated rows, different for rows that share an id only."""
+    """A 64-bit key of a row beside its id: equal for repeated rows, different for rows that share an id only.
+
+    It is joined on together with the id, so only rows of one id could collide.
+    """
     return F.xxhash64(F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit("<null>")), text_of(text))
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.llm._common import cut_lineage, row_key, text_of
+from lodestream.llm._common import beside, cut_lineage, row_key, text_of
 
 
 def _lines(df: DataFrame) -> DataFrame:
@@ -24,11 +24,6 @@ def _lines(df: DataFrame) -> DataFrame:
     return flat.withColumn("line", line).filter(F.col("line") != "").select("doc_id", "_key", "site", "pos", F.xxhash64("line").alias("h"), F.crc32(F.col("line").cast("binary")).alias("c"))
 
 
-def _beside(small: DataFrame, rows: int) -> DataFrame:
-    """``small`` marked for broadcast if it is counted to have at most that many rows; else it is joined by a shuffle."""
-    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
-
-
 def boilerplate_hits(lines: DataFrame, min_sites: int, margin: float, lg_k: int, broadcast_lines: int) -> DataFrame:
     """The rows of ``lines`` that stand on at least ``min_sites`` sites, with ``first_doc``, the smallest doc_id that has the line.
 
@@ -40,7 +35,7 @@ def boilerplate_hits(lines: DataFrame, min_sites: int, margin: float, lg_k: int,
     sketched = lines.groupBy("h", "c").agg(F.hll_sketch_agg(site, lg_k).alias("sketch"), F.min("doc_id").alias("first_doc"))
     spread = sketched.select("h", "c", "first_doc", F.hll_sketch_estimate("sketch").alias("estimate"))
     spread = cut_lineage(spread.filter(F.col("estimate") >= min_sites * (1 - margin)))
-    places = cut_lineage(lines.join(_beside(spread, broadcast_lines), ["h", "c"]).select("h", "c", "doc_id", "_key", "pos", "first_doc", "estimate", site.alias("s")))
+    places = cut_lineage(lines.join(beside(spread, broadcast_lines), ["h", "c"]).select("h", "c", "doc_id", "_key", "pos", "first_doc", "estimate", site.alias("s")))
     sure = F.col("estimate") > min_sites * (1 + margin)
     exact = places.filter(~sure).select("h", "c", "s").distinct().groupBy("h", "c").agg(F.count("*").alias("n_sites")).filter(F.col("n_sites") >= min_sites)
     near = places.filter(~sure).join(exact.select("h", "c"), ["h", "c"], "left_semi")
@@ -59,6 +54,8 @@ def remove_boilerplate(
 ) -> DataFrame:
     """All rows and columns of ``df``, with ``text_col`` cleaned, plus ``n_lines`` and ``n_removed``.
 
+    Columns of ``df`` with one of these two names (in any case) give way to them.
+
     ``margin`` is many times the sketches' error at ``lg_k``, so the result is
     that of exact counts.  White space around a line and blank lines don't
     count; blank lines stay.  A null text stays null with no lines; a null
@@ -70,11 +67,11 @@ def remove_boilerplate(
     """
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(id_col).alias("doc_id"), F.col(site_col).cast("string").alias("site"), text_of(text_col).alias("text"), row_key(id_col, text_col).alias("_key"))
     hits = boilerplate_hits(_lines(rows.drop("_row")), min_sites, margin, lg_k, broadcast_lines).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-    removed = hits.groupBy("_key").agg(F.collect_set("pos").alias("gone"))
+    removed = hits.groupBy(F.col("doc_id").alias("_hit"), F.col("_key").alias("_hit_key")).agg(F.collect_set("pos").alias("gone"))
     n_lines = F.size(F.filter(F.split(F.col("text"), "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0))
-    joined = rows.join(removed, "_key", "left")
+    joined = rows.join(removed, rows["doc_id"].eqNullSafe(removed["_hit"]) & (rows["_key"] == removed["_hit_key"]), "left")
     cleaned = F.when(F.col("gone").isNull(), F.col("_row")[text_col]).otherwise(_without(F.split(F.col("text"), "\n"), F.col("gone")))
-    kept = [F.col("_row")[c].alias(c) if c != text_col else cleaned.alias(c) for c in df.columns if c not in ("n_lines", "n_removed")]
+    kept = [F.col("_row")[c].alias(c) if c != text_col else cleaned.alias(c) for c in df.columns if c.lower() not in ("n_lines", "n_removed")]
     return joined.select(*kept, n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 

@@ -11,7 +11,7 @@ polynomial hashes, a binary search for their common extension and the byte
 after it.  Neighbours that agree over the whole length are verified byte by
 byte.  The ranges found are joined back to the documents.
 
-An anchor hash with more contexts than a task holds is crowded: its windows are
+An anchor hash with more than ``CROWDED`` contexts is crowded: its windows are
 named by 128-bit hashes, spread over all tasks and counted by name, first in
 blocks of neighbouring windows by the bytes these share, then one by one in the
 blocks left.  As with identical contexts, equal names count as equal bytes.
@@ -19,7 +19,6 @@ blocks left.  As with identical contexts, equal names count as equal bytes.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 from math import isqrt
 
@@ -30,13 +29,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.llm._common import cut_lineage, map_text, row_key, text_of
+from lodestream.llm._common import as_table, beside, cut_lineage, map_text, row_key, text_of
 
 SLICE_BYTES = 4 << 20
 CHUNK_BYTES = 6 << 20
+#: An anchor hash with more contexts than this is crowded.
+CROWDED = 1024
 COLLAPSE_BYTES = 32 << 20
 ENTRIES = 1 << 20
-#: Names on more rows than this are broadcast, so that no task gathers them.
+#: Names on more rows than this are broadcast (if counted to be few enough), so that no task gathers them.
 OFTEN = 512
 BASE = 0x9E3779B97F4A7C15 | 1
 COLLAPSED = "h long, c1 long, c2 long, n long, back int, context binary"
@@ -214,9 +215,9 @@ def _find_anchors(length: int, grain: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([part.column(0), pa.array(map(hashes, part.column(1).to_pylist()), pa.list_(pa.int64()))], ["_key", "h"])
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(map(hashes, part.column(2).to_pylist()), pa.list_(pa.int64()))], ["_id", "_key", "h"])
 
-        yield from map_text(batches, SLICE_BYTES, work)
+        yield from map_text(batches, SLICE_BYTES, work, text_column=2)
 
     return run
 
@@ -224,31 +225,36 @@ def _find_anchors(length: int, grain: int):
 def _squeeze(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as compressed bytes, for the shuffles."""
     squeeze = zstandard.ZstdCompressor(level=6).compress
-    work = lambda part: pa.RecordBatch.from_arrays([part.column(0), pa.array([squeeze(x.encode("utf-8", "surrogatepass")) for x in part.column(1).to_pylist()], pa.binary()), *part.columns[2:]], [*part.schema.names[:1], "z", *part.schema.names[2:]])
-    yield from map_text(batches, SLICE_BYTES, work)
+
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        packed = [squeeze(x.encode("utf-8", "surrogatepass")) for x in part.column(2).to_pylist()]
+        return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary()), part.column(3)], ["_id", "_key", "z", "doc_id"])
+
+    yield from map_text(batches, SLICE_BYTES, work, text_column=2)
 
 
 def _cut_contexts(length: int, grain: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        names = ["_key", "h", "c1", "c2", "lo", "back", "context"]
+        kinds = [pa.int64()] * 5 + [pa.int32(), pa.int32(), pa.binary()]
+        names = ["_id", "_key", "h", "c1", "c2", "lo", "back", "context"]
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             columns: list[list] = [[] for _ in names]
-            for key, packed, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for doc, key, packed, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 data = expand(packed)
                 found = anchors(np.frombuffer(data, np.uint8), length, grain)
                 some = np.isin(found[0], wanted)
                 for h, pos, lo, hi in zip(*(x[some].tolist() for x in found), strict=True):
                     context, back = data[lo : hi + length], pos - lo
                     digest = xxhash.xxh3_128_digest(context, back)
-                    row = (key, h, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), lo, back, context)
+                    row = (doc, key, h, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), lo, back, context)
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-        yield from map_text(batches, SLICE_BYTES // 4, work)
+        yield from map_text(batches, SLICE_BYTES // 4, work, text_column=2)
 
     return run
 
@@ -338,7 +344,7 @@ def _named_again(names: DataFrame) -> DataFrame:
     """The rows of ``names`` whose name stands for more than one place."""
     key = ["w1", "w2"]
     seen = cut_lineage(names.groupBy(*key).agg(F.sum("n").alias("places"), F.count("*").alias("rows")).filter("places > 1"))
-    often, rest = F.broadcast(seen.filter(F.col("rows") > OFTEN).select(*key)), seen.filter(F.col("rows") <= OFTEN).select(*key)
+    often, rest = beside(seen.filter(F.col("rows") > OFTEN).select(*key)), seen.filter(F.col("rows") <= OFTEN).select(*key)
     return names.join(often, key, "left_semi").union(names.join(often, key, "left_anti").join(rest, key, "left_semi"))
 
 
@@ -358,11 +364,11 @@ def _windows_to_ranges(length: int):
 
 def _crowded_ranges(contexts: DataFrame, length: int, grain: int) -> DataFrame:
     """The ranges of (h, c1, c2, back, context) rows as _sort_contexts finds them, however many contexts an anchor hash has."""
-    few = _as_table(contexts.mapInArrow(_collapse, COLLAPSED)).select("c1", "c2", "n", "back", "context")
+    few = as_table(contexts.mapInArrow(_collapse, COLLAPSED)).select("c1", "c2", "n", "back", "context")
     named, step = "c1 long, c2 long, n long, back int, at int, w1 long, w2 long", max(2, isqrt(length - grain + 1))
-    blocks = _named_again(_as_table(few.mapInArrow(_name_cores(length, step), named))).groupBy("c1", "c2").agg(F.collect_set("at").alias("blocks"))
+    blocks = _named_again(as_table(few.mapInArrow(_name_cores(length, step), named))).groupBy("c1", "c2").agg(F.collect_set("at").alias("blocks"))
     wanted = few.join(blocks, ["c1", "c2"]).select(*few.columns, "blocks")
-    windows = _named_again(_as_table(wanted.mapInArrow(_name_cores(length, 1, step), named)))
+    windows = _named_again(as_table(wanted.mapInArrow(_name_cores(length, 1, step), named)))
     return windows.groupBy("c1", "c2").agg(F.min("back").alias("back"), F.collect_set("at").alias("at")).mapInArrow(_windows_to_ranges(length), RANGES)
 
 
@@ -385,7 +391,7 @@ def _cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    yield from map_text(batches, SLICE_BYTES, work)
+    yield from map_text(batches, SLICE_BYTES, work, text_column=1)
 
 
 def remove_repeats(df: DataFrame, length: int = 400, grain: int = 96, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -396,32 +402,26 @@ def remove_repeats(df: DataFrame, length: int = 400, grain: int = 96, id_col: st
     below ``length`` stay whole; an empty table gives no rows; other columns
     are ignored.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("_key", row_key("doc_id", "text"))
-    found = cut_lineage(docs.filter(F.octet_length("text") >= length).select("_key", "text").mapInArrow(_find_anchors(length, grain), "_key long, h array<long>"))
-    flat = found.select("_key", F.explode("h").alias("h"))
-    twice = flat.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    wanted = flat.join(twice, "h").groupBy("_key").agg(F.collect_set("h").alias("wanted"))
-    packed = docs.select("_key", "text", "doc_id").mapInArrow(_squeeze, "_key long, z binary, doc_id long")
-    cut = packed.select("_key", "z").join(wanted, "_key").select("_key", "z", "wanted").mapInArrow(_cut_contexts(length, grain), "_key long, h long, c1 long, c2 long, lo int, back int, context binary")
-    contexts = _as_table(cut)
+    doc_id = F.col(id_col).cast("long")
+    docs = df.select(F.coalesce(doc_id, F.lit(0)).alias("_id"), row_key(doc_id, text_col).alias("_key"), text_of(text_col).alias("text"), doc_id.alias("doc_id"))
+    found = cut_lineage(docs.filter(F.octet_length("text") >= length).select("_id", "_key", "text").mapInArrow(_find_anchors(length, grain), "_id long, _key long, h array<long>"))
+    flat = found.select("_id", "_key", F.explode("h").alias("h"))
+    # Written first, so that both sides of the join are plain shuffles, which the skew handling can split.
+    twice = cut_lineage(flat.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
+    wanted = flat.join(twice, "h").groupBy("_id", "_key").agg(F.collect_set("h").alias("wanted"))
+    packed = docs.select("_id", "_key", "text", "doc_id").mapInArrow(_squeeze, "_id long, _key long, z binary, doc_id long")
+    cut = packed.select("_id", "_key", "z").join(wanted, ["_id", "_key"]).select("_id", "_key", "z", "wanted")
+    contexts = as_table(cut.mapInArrow(_cut_contexts(length, grain), "_id long, _key long, h long, c1 long, c2 long, lo int, back int, context binary"))
     # Identical contexts meet map-side; a passage in a third of all documents is a few rows of each task here.
     parts = contexts.select("h", "c1", "c2", "back", "context")
-    crowded = cut_lineage(contexts.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > max(2, CHUNK_BYTES // (2 * length))).select("h"))
+    crowded = cut_lineage(contexts.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > max(2, min(CROWDED, CHUNK_BYTES // (2 * length)))).select("h"))
     some = not crowded.isEmpty()
-    few = (parts.join(F.broadcast(crowded), "h", "left_anti") if some else parts).mapInArrow(_collapse, COLLAPSED)
+    few = (parts.join(beside(crowded), "h", "left_anti") if some else parts).mapInArrow(_collapse, COLLAPSED)
     ranges = few.repartition("h").sortWithinPartitions("h", "c1", "c2").mapInArrow(_sort_contexts(length), RANGES)
     if some:
-        ranges = ranges.union(_crowded_ranges(parts.join(F.broadcast(crowded), "h", "left_semi"), length, grain))
-    shifted = contexts.select("_key", "c1", "c2", "lo").join(ranges, ["c1", "c2"]).select("_key", F.inline(F.arrays_zip((F.transform("a", lambda x: x + F.col("lo"))).alias("a"), F.transform("b", lambda x: x + F.col("lo")).alias("b"))))
-    spans = shifted.groupBy("_key").agg(F.collect_list("a").alias("starts"), F.collect_list("b").alias("ends"))
-    return packed.join(spans, "_key", "left").select("doc_id", "z", "starts", "ends").mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-
-
-def _as_table(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder, so that later steps read only the columns they need."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        cut_lineage(df.limit(0))
-    path = f"{sc.getCheckpointDir()}/contexts-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        ranges = ranges.union(_crowded_ranges(parts.join(beside(crowded), "h", "left_semi"), length, grain))
+    shifted = contexts.select("_id", "_key", "c1", "c2", "lo").join(ranges, ["c1", "c2"])
+    shifted = shifted.select("_id", "_key", F.inline(F.arrays_zip((F.transform("a", lambda x: x + F.col("lo"))).alias("a"), F.transform("b", lambda x: x + F.col("lo")).alias("b"))))
+    spans = shifted.groupBy("_id", "_key").agg(F.collect_list("a").alias("starts"), F.collect_list("b").alias("ends"))
+    cleaned = packed.join(spans, ["_id", "_key"], "left").select("doc_id", "z", "starts", "ends")
+    return cleaned.mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
