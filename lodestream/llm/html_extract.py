@@ -26,34 +26,43 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|itemprop|aria-hidden)(?:\s
 _SPACE = re.compile(r"\s+")
 
 # Element kinds (fixed values of HTML).
-RAW = frozenset("script style textarea title noscript iframe template svg math xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript iframe template svg xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 #: Never part of the main text.
-DROPPED = RAW | frozenset("head nav footer aside form menu dialog button select input label fieldset figure object embed canvas audio video".split())
-#: An open element that the start of another one ends.
+DROPPED = RAW | frozenset("head nav footer aside form menu dialog button select input label canvas audio video embed".split())
+#: An open element that the start of another one ends, and what hides it.
 CLOSES_P = BLOCKS - frozenset("option body html head".split())
-SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+HIDES_P = ("td", "th", "table", "button", "object")
+SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
+#: An inline end tag doesn't reach out of these.
+HOLDS_INLINE = ("td", "th", "table", "article", "body")
 PARAGRAPHS = frozenset("p pre blockquote td li dd section h1 h2 h3 h4 h5 h6 div article main figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
+#: Class and id words of what is never main text.
 _UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|comments?|commentlist|disqus|respond|discussion|replies|side-?bar|widgets?|menu|nav(?:bar|igation)?|breadcrumbs?|pager|pagination|"
-    r"footer|masthead|site-?header|page-?header|header|top-?bar|cookies?|consent|gdpr|notices?|alert|newsletter|subscribe|subscription|signup|login|popup|modal|overlay|share|sharing|social|related|recommended|more-?posts|trending|popular|outbrain|taboola|tags|toolbar|skip|legal|copyright|disclaimer|metadata|byline)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|comments?|commentlist|disqus|respond|replies|side-?bar|menu|nav(?:bar|igation)?|breadcrumbs?|pager|pagination|"
+    r"footer|masthead|site-?header|page-?header|header|top-?bar|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|signup|login|popup|modal|overlay|share|sharing|social|outbrain|taboola|toolbar)(?:$|[\s_-])",
     re.I,
 )
+#: Words that may name a part of the article too: such a part goes only if it is mostly links.
+_DOUBTFUL = re.compile(r"(?:^|[\s_-])(?:discussion|widgets?|alert|related|recommended|more-?posts|trending|popular|tags|skip|legal|copyright|disclaimer|metadata|byline)(?:$|[\s_-])", re.I)
 _LIKELY = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text|page)(?:$|[\s_-]|body|text|content)", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "hint", "dropped", "likely", "score")
+    __slots__ = ("tag", "parent", "children", "hint", "dropped", "doubtful", "likely", "score")
 
     def __init__(self, tag: str, parent: Node | None, hint: str = ""):
         self.tag, self.parent, self.children, self.hint, self.score = tag, parent, [], hint, 0.0
         self.likely = tag in ("article", "main") or bool(hint and _LIKELY.search(hint))
-        self.dropped = tag in DROPPED or bool(hint and tag not in ("html", "body", "article", "main") and _UNLIKELY.search(hint) and not (self.likely and not re.search("comment|side|share|related|ad", hint, re.I)))
+        named = bool(hint) and tag not in ("html", "body", "article", "main") and tag not in HEADINGS
+        self.dropped = tag in DROPPED or bool(named and _UNLIKELY.search(hint) and not (self.likely and not re.search("comment|side|share|related|ad", hint, re.I)))
+        self.doubtful = bool(named and _DOUBTFUL.search(hint))
 
 
 def _hint(attributes: str) -> str:
@@ -73,13 +82,42 @@ def _hint(attributes: str) -> str:
     return " ".join(words)
 
 
+class _Path:
+    """The open elements, outermost first, and where each tag is open; every step costs what it opens or closes."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], {root.tag: [0]}
+
+    def innermost(self, tags: Iterable[str]) -> int:
+        """Depth of the innermost open element with one of the tags, -1 if none is open."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+
+    def open(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, depth: int) -> None:
+        """Close the element at this depth and all inside it."""
+        while len(self.nodes) > depth:
+            self.places[self.nodes.pop().tag].pop()
+
+    def close_within(self, tags: Iterable[str], scope: Iterable[str]) -> bool:
+        """Close the innermost element of the tags, unless one of the scope lies inside it."""
+        depth = self.innermost(tags)
+        if depth < 1 or depth <= self.innermost(scope):
+            return False
+        self.close(depth)
+        return True
+
+
 def parse(page: str) -> Node:
     """The page's tree; texts are decoded strings among a node's children.
 
     Unclosed and misnested elements are mended as browsers do in the plain
     cases; a mark cut off by the page's end is dropped.
     """
-    root = now = Node("html", None)
+    root = Node("html", None)
+    path = _Path(root)
     at, n = 0, len(page)
     while at < n:
         start = page.find("<", at)
@@ -87,51 +125,38 @@ def parse(page: str) -> Node:
         while start >= 0 and mark is None:  # a lone "<" is text
             start = page.find("<", start + 1)
             mark = _MARK.match(page, start) if start >= 0 else None
+        children = path.nodes[-1].children
         if start < 0:
-            now.children.append(html.unescape(page[at:]))
+            children.append(html.unescape(page[at:]))
             break
         if start > at:
-            now.children.append(html.unescape(page[at:start]))
+            children.append(html.unescape(page[at:start]))
         at = mark.end()
         tag = (mark[3] or mark[6] or "").lower()
         if mark[1] is not None:
-            now.children.append(mark[1])
-        if not tag or not page.endswith(">", start + 1, at):
+            children.append(mark[1])
+        if not tag or not page.endswith(">", start + 1, at) or tag == "html":
             continue
         if mark[2] or mark[5]:
-            node = now
-            while node is not None and node.tag != tag:
-                # An inline end tag doesn't reach out of its block.
-                node = None if node.tag in ("td", "th", "table", "article", "body") and tag not in BLOCKS else node.parent
-            if node is not None and node.parent is not None:
-                now = node.parent
-            elif tag == "p":
-                now.children.append(Node("p", now))
-            continue
-        if tag in ("html", "body") and tag == "html":
+            if not path.close_within((tag,), () if tag in BLOCKS else HOLDS_INLINE) and tag == "p":
+                children.append(Node("p", path.nodes[-1]))
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
         if tag in CLOSES_P:
-            node = now
-            while node is not None and node.tag not in ("p", "td", "th", "table", "button", "object"):
-                node = node.parent
-            if node is not None and node.tag == "p":
-                now = node.parent
+            path.close_within(("p",), HIDES_P)
         if tag in SAME_ENDS:
-            node = now
-            while node is not None and node.tag not in SAME_ENDS[tag] and node.tag not in SCOPES[tag]:
-                node = node.parent
-            if node is not None and node.tag in SAME_ENDS[tag]:
-                now = node.parent
-        if now.tag == "head" and tag in BLOCKS:
-            now = now.parent
-        made = Node(tag, now, _hint(mark[4] or mark[7] or "") if "=" in (mark[4] or mark[7] or "") or "hidden" in (mark[4] or "") else "")
+            path.close_within(SAME_ENDS[tag], SCOPES[tag])
+        if path.nodes[-1].tag == "head" and tag in BLOCKS:
+            path.close(len(path.nodes) - 1)
+        now = path.nodes[-1]
+        attributes = mark[4] or mark[7] or ""
+        made = Node(tag, now, _hint(attributes) if "=" in attributes or "hidden" in attributes else "")
         now.children.append(made)
         if tag not in VOID:
-            now = made
+            path.open(made)
     return root
 
 
@@ -194,6 +219,11 @@ def _text_sizes(root: Node) -> dict[int, tuple[int, int]]:
 def choose(root: Node) -> list[Node]:
     """The best container and the siblings kept with it, in page order; empty if the page has no text."""
     sizes = _text_sizes(root)
+    doubtful = [node for node in _walk(root) if node.doubtful and 2 * sizes[id(node)][1] > sizes[id(node)][0]]
+    if doubtful:
+        for node in doubtful:
+            node.dropped = True
+        sizes = _text_sizes(root)
     scored: list[Node] = []
     for node in _walk(root):
         own = [c for c in node.children if isinstance(c, str) and c.strip()]
@@ -227,9 +257,11 @@ def choose(root: Node) -> list[Node]:
             if up.tag == "article":
                 break
         up = up.parent
-    if best.parent is None or best.tag in ("body", "article", "main"):
+    if best.parent is None or best.tag in ("body", "main"):
         return [best]
     top, kept = weight(best), []
+    if best.tag == "article":  # a text in several articles
+        return [x for x in best.parent.children if x is best or isinstance(x, Node) and x.tag == "article" and not x.dropped and weight(x) >= max(10, 0.2 * top)]
     for child in best.parent.children:
         if isinstance(child, Node) and not child.dropped:
             text, link = sizes[id(child)]
@@ -252,7 +284,8 @@ def extract_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """One row per input row: page_id, url, text ('' if there is none).
 
     Null and empty pages have no text; repeated rows are extracted alike; an
-    empty table gives no rows; other columns are ignored.
+    empty table gives no rows; other columns are ignored.  The work on a page
+    is linear in its length, however deeply it nests.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
