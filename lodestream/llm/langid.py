@@ -4,9 +4,10 @@ Training counts words by language with Spark aggregations, over a sample of
 about ``sample_docs`` labelled documents (the bound is a parameter; where fewer
 are labelled, all count).  A known word scores by its log frequency in each
 language; an unseen word falls back to n-grams of 5, then 4, ... then 1
-characters, using the longest that is known at each place.  The model is the
-most frequent words and n-grams, bounded by parameters, so it may be broadcast.
-Prediction covers every row without a shuffle.
+characters, using the longest that is known at each place.  N-grams are counted
+from whole words, with their full counts.  The model is the most frequent words and
+n-grams, bounded by parameters and each kept with all its languages, so it may be
+broadcast.  Prediction covers every row without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.llm._common import map_text, text_of
+from lodestream.llm._common import cut_lineage, map_text, text_of
 
 SLICE_BYTES = 4 << 20
 NGRAMS = (5, 4, 3, 2, 1)
@@ -103,54 +104,85 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _log_table(counts: list, langs: list[str], smooth: float) -> tuple[dict[str, int], np.ndarray]:
-    """Log frequencies by language from (key, lang, count) rows: each key's row number, and the rows."""
+    """Log frequencies by language from (key, {lang: count}) rows: each key's row number, and the rows."""
     place = {x: i for i, x in enumerate(langs)}
-    index: dict[str, int] = {}
-    cells = [(index.setdefault(key, len(index)), place[lang], n) for key, lang, n in counts]
-    table = np.zeros((len(index), len(langs)))
-    for row, column, n in cells:
-        table[row, column] += n
-    total = table.sum(axis=0) + smooth * max(len(index), 1)
-    return index, np.log((table + smooth) / total)
+    table = np.zeros((len(counts), len(langs)))
+    for row, (_, by_lang) in enumerate(counts):
+        for lang, n in by_lang.items():
+            table[row, place[lang]] = n
+    total = table.sum(axis=0) + smooth * max(len(counts), 1)
+    return {key: i for i, (key, _) in enumerate(counts)}, np.log((table + smooth) / total)
+
+
+def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        counts: Counter = Counter()
+        for lang, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            counts.update((lang, w) for w in _WORD.findall(text.lower()))
+        return _count_rows(counts)
+
+    yield from map_text(batches, SLICE_BYTES, work)
+
+
+def _count_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All n-grams of the padded words, with the words' counts."""
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        counts: Counter = Counter()
+        for lang, word, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            padded = f"<{word}>"
+            for size in NGRAMS:
+                for at in range(len(padded) - size + 1):
+                    counts[lang, padded[at : at + size]] += n
+        return _count_rows(counts)
+
+    yield from map_text(batches, SLICE_BYTES // 8, work)
+
+
+def _count_rows(counts: Counter) -> pa.RecordBatch:
+    langs, keys = zip(*counts, strict=True) if counts else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(keys, pa.string()), pa.array(counts.values(), pa.int64())], ["lang", "key", "n"])
+
+
+def _most_frequent(counts: DataFrame, most: int, least: int) -> list[tuple[str, dict[str, int]]]:
+    """The keys of the highest totals (at least ``least``), each with its counts in all languages."""
+    by_key = counts.groupBy("key").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
+    return [(r["key"], r["by_lang"]) for r in by_key.filter(F.col("total") >= least).orderBy(F.desc("total"), "key").limit(most).collect()]
 
 
 def train(df: DataFrame, sample_docs: int = 20_000, max_words: int = 60_000, max_grams: int = 60_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on labelled rows that are not held out; at most ``max_words`` words and ``max_grams`` n-grams reach the driver."""
+    """Fit on labelled rows that are not held out.
+
+    Languages are sampled apart, so a rare one keeps its documents.  The
+    ``max_words`` most frequent words of the sample that occur twice or more,
+    and the ``max_grams`` most frequent n-grams that occur three times or more,
+    reach the driver, and one row for each language.  Null texts hold no words;
+    rows without a language are left out; repeated rows count each; an empty table gives
+    an empty model; other columns are ignored.
+    """
     labelled = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs, total = sorted(sizes), sum(sizes.values())
     if not total:
         return Model([], np.zeros(0), {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
-    # Languages are sampled apart, so a rare one keeps its documents.
-    share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, sample_docs / len(langs) / sizes[lang]))])
-    sample = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
-    word = F.explode(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")).alias("word")
-    words = sample.select("lang", word).groupBy("lang", "word").agg(F.count("*").alias("n")).filter("n > 1")
-    top = words.orderBy(F.desc("n"), "word", "lang").limit(max_words).collect()
-    padded = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
-    grams = words.select("lang", F.least("n", F.lit(50)).alias("n"), F.substring(padded, 1, 40).alias("w"))
-    def cut(n: int) -> Column:
-        """All n-grams of the padded word; a shorter word has none."""
-        starts = F.sequence(F.lit(1), F.greatest(F.length("w") - n + 1, F.lit(1)))
-        return F.filter(F.transform(starts, lambda i: F.substring(F.col("w"), i, F.lit(n))), lambda gram: F.length(gram) == n)
-
-    spans = F.concat(*map(cut, NGRAMS))
-    counted = grams.select("lang", "n", F.explode(spans).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter("n > 2")
-    top_grams = counted.orderBy(F.desc("n"), "gram", "lang").limit(max_grams).collect()
+    shares = df.sparkSession.createDataFrame([(x, min(1.0, sample_docs / len(langs) / sizes[x])) for x in langs], "lang string, share double")
+    sample = labelled.join(F.broadcast(shares), "lang").filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    counted = "lang string, key string, n long"
+    words = cut_lineage(sample.select("lang", text_of("text").alias("text")).mapInArrow(_count_words, counted).groupBy("lang", "key").agg(F.sum("n").alias("n")))
+    grams = words.select("lang", "key", "n").mapInArrow(_count_grams, counted).groupBy("lang", "key").agg(F.sum("n").alias("n"))
     prior = np.log(np.array([sizes[x] for x in langs], float) / total)
     by_length = defaultdict(list)
-    for r in top_grams:
-        if r["gram"] not in ("<", ">"):
-            by_length[len(r["gram"])].append((r["gram"], r["lang"], r["n"]))
+    for gram, by_lang in _most_frequent(grams, max_grams, 3):
+        if gram not in ("<", ">"):
+            by_length[len(gram)].append((gram, by_lang))
     # Each length has frequencies of its own.
-    grams: dict[str, int] = {}
+    index: dict[str, int] = {}
     gram_rows = [np.zeros((0, len(langs)))]
     for rows in by_length.values():
-        index, table = _log_table(rows, langs, 0.5)
-        grams.update({gram: len(grams) + i for gram, i in index.items()})
+        places, table = _log_table(rows, langs, 0.5)
+        index.update({gram: len(index) + i for gram, i in places.items()})
         gram_rows.append(table)
-    index, table = _log_table([(r["word"], r["lang"], r["n"]) for r in top], langs, 0.5)
-    return Model(langs, prior, index, table, grams, np.concatenate(gram_rows))
+    return Model(langs, prior, *_log_table(_most_frequent(words, max_words, 2), langs, 0.5), index, np.concatenate(gram_rows))
 
 
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
