@@ -73,8 +73,7 @@ def _joined(spans: str) -> Column:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents")
-    found = pii.find_spans(documents, pii.fit(documents))
+    found = pii.find_spans(_table(spark, sf_dir, "documents"))
     counted = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(counted, pii.BASE_KINDS), _sha256(_joined("base")).alias("base_sha256"), _joined("spans").alias("spans"))
 
