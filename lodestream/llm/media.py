@@ -26,6 +26,7 @@ from lodestream.llm._common import map_text, text_of
 
 PAD = 64
 SLICE_BYTES = 2 << 20
+BLOCK_FRAMES = 1 << 13
 SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media binary, times array<int>, hashes array<int>"
 
 
@@ -52,20 +53,35 @@ def stft(samples: np.ndarray, frame: int, hop: int) -> np.ndarray:
     return np.abs(np.fft.rfft(frames * np.hanning(frame).astype(np.float32), axis=1))
 
 
-def peak_pairs(magnitudes: np.ndarray, bands: tuple[int, ...], reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frame numbers and hashes of all pairs of band peaks 1 to ``reach`` frames apart, by frame."""
-    n, edges = len(magnitudes), [*bands, magnitudes.shape[1]]
-    peaks = np.stack([lo + magnitudes[:, lo:hi].argmax(axis=1) for lo, hi in zip(edges, edges[1:], strict=False)], axis=1)
-    times, hashes = [], []
-    for far in range(1, min(reach, n - 1) + 1):
-        pair = peaks[:-far, :, None] << 16 | peaks[far:, None, :] << 4 | far
-        hashes.append(pair.reshape(n - far, -1))
-        times.append(np.broadcast_to(np.arange(n - far)[:, None], hashes[-1].shape))
-    if not hashes:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32)
-    flat_t, flat_h = np.concatenate([x.ravel() for x in times]), np.concatenate([x.ravel() for x in hashes])
-    order = np.lexsort((flat_h, flat_t))
-    return flat_t[order].astype(np.int32), flat_h[order].astype(np.int32)
+def spectral_peaks(samples: np.ndarray, frame: int, hop: int, bands: tuple[int, ...]) -> np.ndarray:
+    """The strongest bin of each band, one row per frame; the transform is made for ``BLOCK_FRAMES`` frames at a time."""
+    n = max(1, 1 + -(-(len(samples) - frame) // hop))
+    out = []
+    for first in range(0, n, BLOCK_FRAMES):
+        last = min(n, first + BLOCK_FRAMES)
+        magnitudes = stft(samples[first * hop : (last - 1) * hop + frame], frame, hop)
+        edges = [*bands, magnitudes.shape[1]]
+        out.append(np.stack([lo + magnitudes[:, lo:hi].argmax(axis=1) for lo, hi in zip(edges, edges[1:], strict=False)], axis=1).astype(np.int32))
+    return np.concatenate(out)
+
+
+def peak_pairs(peaks: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frame numbers and hashes of all pairs of band peaks 1 to ``reach`` frames apart, by frame, then hash."""
+    n, times, hashes = len(peaks), [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for first in range(0, n, BLOCK_FRAMES):
+        block_t, block_h = [], []
+        for far in range(1, reach + 1):
+            last = min(n - far, first + BLOCK_FRAMES)
+            if last > first:
+                pair = peaks[first:last, :, None] << 16 | peaks[first + far : last + far, None, :] << 4 | far
+                block_h.append(pair.ravel())
+                block_t.append(np.repeat(np.arange(first, last, dtype=np.int32), pair[0].size))
+        if block_h:
+            flat_t, flat_h = np.concatenate(block_t), np.concatenate(block_h)
+            order = np.lexsort((flat_h, flat_t))
+            times.append(flat_t[order])
+            hashes.append(flat_h[order])
+    return np.concatenate(times), np.concatenate(hashes)
 
 
 def fingerprint_media(
@@ -81,8 +97,8 @@ def fingerprint_media(
     """One row per input row: the stored WAV, facts of the payload read back, and its peak pairs.
 
     A null or empty text is a payload of 64 zero bytes.  One frame has no
-    pairs, so short texts have empty arrays.  Equal texts give equal rows;
-    other columns of ``df`` are ignored.  A payload is limited only by WAV's
+    pairs, so short texts have empty arrays.  Equal texts give equal rows, an
+    empty table none; other columns of ``df`` are ignored.  A payload is limited only by WAV's
     own 4 GB.  ``bands`` are the first bins of the bands.
     """
 
@@ -91,7 +107,7 @@ def fingerprint_media(
             data = text.encode("utf-8", "surrogatepass")
             media = write_wav(data + bytes(-len(data) % PAD or (0 if data else PAD)), rate)
             payload = read_wav(media)
-            times, hashes = peak_pairs(stft(np.frombuffer(payload, np.uint8), frame, hop), bands, reach)
+            times, hashes = peak_pairs(spectral_peaks(np.frombuffer(payload, np.uint8), frame, hop, bands), reach)
             return doc, len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-PAD:]), media, times, hashes
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
