@@ -13,30 +13,31 @@ snake order of their attention cost, which balances the steps.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from bisect import bisect_right, insort
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestream.llm._common import slices, text_of
-from lodestream.llm.bpe import chunks_of
 
-SLICE_BYTES = 4 << 20
-CACHE_CHUNKS = 500_000
+SLICE_BYTES = 2 << 20
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, tier int, step_id long, ids binary"
 
-#: A piece is (doc_id, start, length, doc_tokens, the document's packed ids).
+#: A piece is (doc_id, start, length, doc_tokens, the piece's packed ids).
 Piece = tuple
 
 
 def cut_piece(piece: Piece, length: int) -> tuple[Piece, Piece]:
     doc, start, n, total, ids = piece
-    return (doc, start, length, total, ids), (doc, start + length, n - length, total, ids)
+    return (doc, start, length, total, ids[: 4 * length]), (doc, start + length, n - length, total, ids[4 * length :])
 
 
 def pack_tiers(pieces: list[Piece], tiers: list[int], last: bool) -> tuple[list[list[Piece]], list[Piece]]:
@@ -113,26 +114,59 @@ def balance_steps(windows: list[list[Piece]], step_tokens: int) -> list[int]:
     return steps
 
 
+#: How byte-level tokenizers cut text before merging (fixed value).
+BYTE_LEVEL_CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LONG_SPACE = re.compile(r"\s{500}")
+LONG_WORD = 500
+
+
+def byte_level_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Token ids by bytes, if the tokenizer is plain byte-level BPE whose merges stand in the order of their ids; else None."""
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True) and not spec.get("normalizer")
+    if not plain or model.get("type", "BPE") != "BPE" or any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return None
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+    byte_of = {chr(b): b for b in printed} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printed)}
+    made = ["".join(x) if isinstance(x, list) else x.replace(" ", "") for x in model["merges"]]
+    ids = [model["vocab"][x] for x in made]
+    if ids != sorted(set(ids)):
+        return None
+    return {bytes(byte_of[c] for c in x): model["vocab"][x] for x in [*byte_of, *made]}
+
+
 @lru_cache(maxsize=1)
-def _tokenizer(path: str):
+def _encoder(path: str) -> Callable[[str], bytes]:
+    """A function from text to packed ids.
+
+    Plain byte-level BPE runs on the rank-based library, which gives the same
+    ids as the tokenizer file faster: no merge can cross a token's ends before the token is
+    made, so the pair that makes it is always that of its merge.  Texts with very long words
+    or runs of white space, and all other kinds of tokenizer, use the tokenizer file itself.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the executor's cores are Spark's to share out
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
     made.encode_special_tokens = True
-    return made
 
+    def plainly(text: str) -> bytes:
+        return np.array(made.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-@lru_cache(maxsize=1)
-def _known(path: str) -> dict[str, bytes]:
-    """Tokenised chunks; a Python worker keeps them for its later tasks."""
-    return {}
+    with open(path, encoding="utf-8") as file:
+        ranks = byte_level_ranks(json.load(file))
+    if ranks is None:
+        return plainly
+    import tiktoken
 
+    fast = tiktoken.Encoding("own", pat_str=BYTE_LEVEL_CUT, mergeable_ranks=ranks, special_tokens={})
 
-def _packed(chunks: list[str], path: str) -> list[bytes]:
-    import numpy as np
+    def encode(text: str) -> bytes:
+        if max(map(len, text.split()), default=0) > LONG_WORD or _LONG_SPACE.search(text):
+            return plainly(text)
+        return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
-    return [np.array(x.ids, "<u4").tobytes() for x in _tokenizer(path).encode_batch_fast(chunks, add_special_tokens=False)]
+    return encode
 
 
 def pack_documents(
@@ -152,16 +186,17 @@ def pack_documents(
     sequence's length), step_id, ids (binary, little-endian unsigned 32-bit).
     Each document ends with ``end_id``; a null or empty text is that id alone.
     Repeated rows are packed once each.  An empty table gives no rows.  Other
-    columns of ``df`` are ignored.  ``tiers`` are powers of two, longest first,
-    the first being ``window``.  Memory is bounded by ``block_docs`` documents'
-    rests, four slices of text and the longest document.
+    columns of ``df`` are ignored, whatever their names.  ``tiers`` are powers of two, longest first,
+    the first being ``window``.  A task holds at most the rests (each below a
+    window) of ``block_docs`` documents, windows of 2**21 ids, a slice of text
+    and one document's ids at a time.
     """
     sizes = list(tiers)
     if sizes[0] != window or sizes != sorted(sizes, reverse=True) or any(x & (x - 1) for x in sizes):
         raise ValueError("tiers must be powers of two from the window down")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _known(tokenizer_path)
+        encode = _encoder(tokenizer_path)
         high, end = TaskContext.get().partitionId() << 40, end_id.to_bytes(4, "little")
         made = steps = 0
         pool: list[Piece] = []
@@ -174,7 +209,7 @@ def pack_documents(
             for held, step in zip(windows, step_of, strict=True):
                 offset, size = 0, sum(x[2] for x in held)
                 for doc, start, length, total, ids in held:
-                    row = (doc, start, length, total, high + made, offset, size, high + steps + step, ids[4 * start : 4 * (start + length)])
+                    row = (doc, start, length, total, high + made, offset, size, high + steps + step, ids)
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
                     offset += length
@@ -185,19 +220,17 @@ def pack_documents(
 
         for batch in batches:
             for part in slices(batch, 1, SLICE_BYTES):
-                if len(known) > CACHE_CHUNKS:
-                    known.clear()
-                docs, texts = part.column(0).to_pylist(), [chunks_of(x) for x in part.column(1).to_pylist()]
-                new = [x for x in set().union(*texts) if x not in known]
-                known.update(zip(new, _packed(new, tokenizer_path), strict=True))
-                for doc, text in zip(docs, texts, strict=True):
-                    ids = b"".join([known[x] for x in text]) + end
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    ids = encode(text) + end
                     total = len(ids) // 4
-                    whole += [[(doc, at, window, total, ids)] for at in range(0, total - window + 1, window)]
+                    whole += [[(doc, at, window, total, ids[4 * at : 4 * (at + window)])] for at in range(0, total - window + 1, window)]
                     if rest := total % window:
-                        pool.append((doc, total - rest, rest, total, ids))
-                if len(pool) >= block_docs or sum(map(len, whole)) * window > 1 << 21:
-                    packed, pool = pack_tiers(pool, sizes, False) if len(pool) >= block_docs else ([], pool)
+                        pool.append((doc, total - rest, rest, total, ids[4 * (total - rest) :]))
+                    if len(whole) * window > 1 << 21:
+                        yield emit(whole)
+                        whole = []
+                if len(pool) >= block_docs:
+                    packed, pool = pack_tiers(pool, sizes, False)
                     yield emit(whole + packed)
                     whole = []
         packed, _ = pack_tiers(pool, sizes, True)
