@@ -4,8 +4,8 @@ Encoding works on the distinct pretokens of a bounded slice of the corpus at a
 time.  All of them lie in one array of token ids; an inverted index leads from
 a merge's rank to the positions of its pair.  Merges are applied in rank order
 to all their positions at once, and only the touched neighbours get new index
-entries.  Texts are then put together from the encoded pretokens, which a
-bounded cache carries from slice to slice.
+entries.  Texts are then put together from the encoded pieces, which a cache
+bounded in bytes carries from slice to slice and task to task.
 
 No row leaves its partition, so there is no shuffle at any size.
 """
@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -25,17 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestream.llm._common import map_text, text_of
+from lodestream.llm.pretokens import Pieces
 
-#: A space before a letter or digit always begins a pretoken, so texts can be cut there without changing any.
-_SAFE_CUT = re.compile(r" (?=[^\W_])")
-SLICE_BYTES = 8 << 20
-CACHE_CHUNKS = 400_000
-
-
-def chunks_of(text: str) -> list[str]:
-    """Cut a text where pretokens surely begin; the chunks concatenate to the text."""
-    first, *rest = _SAFE_CUT.split(text)
-    return [first, *[" " + x for x in rest]]
+SLICE_BYTES = 4 << 20
+DECODE_BYTES = 1 << 20
+DECODE_IDS = 1 << 18
 
 
 class MergeReplay:
@@ -55,7 +48,7 @@ class MergeReplay:
 
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where no merge makes one token of it."""
-        key = (left << 32) | right
+        key = (left.astype(np.int64) << 32) | right
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
 
@@ -65,14 +58,14 @@ class MergeReplay:
             return []
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         n = int(lengths.sum())
-        token = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        kind = np.int32 if n < 1 << 31 else np.int64
+        token = np.append(self.byte_ids[np.frombuffer(b"".join(words), np.uint8)], -1).astype(kind)
         ends = np.cumsum(lengths)
         # Neighbours by position; n stands for none. A word's bounds are never crossed.
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after, before = np.arange(1, n + 2, dtype=kind), np.arange(-1, n, dtype=kind)
         after[ends[lengths > 0] - 1] = n
         before[(ends - lengths)[lengths > 0]] = n
-        token = np.append(token, -1)
-        after, before = np.append(after, n), np.append(before, n)
+        after[n] = before[n] = n
         alive = np.ones(n + 1, bool)
         index: dict[int, list[np.ndarray]] = {}
         due: list[int] = []
@@ -95,7 +88,8 @@ class MergeReplay:
                     index[r] = [at[lo:hi]]
                     heapq.heappush(due, r)
 
-        add(np.arange(n))
+        for at in range(0, n, 1 << 20):
+            add(np.arange(at, min(n, at + (1 << 20)), dtype=kind))
         while due:
             rank = heapq.heappop(due)
             found = index.pop(rank)
@@ -144,9 +138,17 @@ def _replay(path: str) -> MergeReplay:
 
 
 @lru_cache(maxsize=2)
-def _known(path: str, pattern: str) -> dict[str, bytes]:
-    """Encoded chunks; a Python worker keeps them for its later tasks."""
-    return {}
+def _pieces(path: str, pattern: str) -> Pieces:
+    """Pieces that are coded already; a Python worker keeps them for its later tasks."""
+    replay, cut = _replay(path), regex.compile(pattern)
+
+    def encode(texts: list[str]) -> list[bytes]:
+        cuts = [cut.findall(x) for x in texts]
+        words = list(set().union(*cuts))
+        coded = dict(zip(words, replay.encode([x.encode("utf-8", "surrogatepass") for x in words]), strict=True))
+        return [b"".join([coded[w] for w in ws]) for ws in cuts]
+
+    return Pieces(encode)
 
 
 def encode_corpus(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,19 +161,10 @@ def encode_corpus(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay, cut, known = _replay(ranks_path), regex.compile(pattern), _known(ranks_path, pattern)
+        coder = _pieces(ranks_path, pattern)
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            if len(known) > CACHE_CHUNKS:
-                known.clear()
-            texts = [chunks_of(x) for x in part.column(1).to_pylist()]
-            new = [x for x in set().union(*texts) if x not in known]
-            cuts = [cut.findall(x) for x in new]
-            words = list(set().union(*cuts))
-            coded = dict(zip(words, replay.encode([x.encode("utf-8", "surrogatepass") for x in words]), strict=True))
-            known.update((x, b"".join([coded[w] for w in ws])) for x, ws in zip(new, cuts, strict=True))
-            ids = [b"".join([known[x] for x in text]) for text in texts]
-            return pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            return pa.RecordBatch.from_arrays([part.column(0), pa.array(coder.code(part.column(1).to_pylist()), pa.binary())], ["doc_id", "ids"])
 
         yield from map_text(batches, SLICE_BYTES, work)
 
@@ -182,7 +175,8 @@ def encode_corpus(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
 def decode_corpus(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """Decode packed ids; adds nothing else: ``doc_id``, ``ids_text`` (decimal ids, spaced), ``n_tokens``, ``decoded`` (binary).
 
-    Null ids decode to no bytes.  An id outside the vocabulary raises.
+    Null ids decode to no bytes; repeated rows are decoded alike; an empty table
+    gives no rows; other columns are ignored.  An id outside the vocabulary raises.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,18 +184,19 @@ def decode_corpus(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataF
         token = dict(zip(ranks.values(), ranks.keys(), strict=True))
         decimal = {i: str(i) for i in token}
 
+        def one(packed: bytes | None) -> tuple[str, int, bytes]:
+            ids, digits, data = np.frombuffer(packed or b"", "<u4"), [], []
+            for at in range(0, len(ids), DECODE_IDS):
+                some = ids[at : at + DECODE_IDS].tolist()
+                digits.append(" ".join([decimal[i] for i in some]))
+                data.append(b"".join([token[i] for i in some]))
+            return " ".join(digits), len(ids), b"".join(data)
+
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [np.frombuffer(x or b"", "<u4").tolist() for x in part.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    pa.array([" ".join([decimal[i] for i in x]) for x in ids], pa.string()),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([b"".join([token[i] for i in x]) for x in ids], pa.binary()),
-                ],
-                ["doc_id", "ids_text", "n_tokens", "decoded"],
-            )
+            columns = zip(*map(one, part.column(1).to_pylist()), strict=True)
+            kinds = [pa.string(), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], ["doc_id", "ids_text", "n_tokens", "decoded"])
 
-        yield from map_text(batches, SLICE_BYTES, work)
+        yield from map_text(batches, DECODE_BYTES, work)
 
     return df.select("doc_id", ids_col).mapInArrow(run, "doc_id long, ids_text string, n_tokens long, decoded binary")
