@@ -20,10 +20,18 @@ def free_band(tier: Column, is_write: Column, default: int = 0) -> Column:
     return found.cast("long")
 
 
+def above_band(tier: Column, is_write: Column, level: Column, encrypted: Column | None = None) -> Column:
+    """Why a call lies outside its band: a local write of level 3 or more that isn't encrypted, or missing authorization; '' within the band."""
+    local = (tier == 1) & is_write & (level >= 3)
+    reason = F.when(local, "local_write_above_band").when(level > free_band(tier, is_write), "missing_authorization").otherwise("")
+    return F.when((reason == "local_write_above_band") & encrypted, "missing_authorization").otherwise(reason) if encrypted is not None else reason
+
+
 def action(tier: Column, is_write: Column, level: Column) -> Column:
-    """Allowed within the band; above it: the highest level is denied outside tier 1, writes go to the vault in tier 1, all else needs consent."""
-    over = level > free_band(tier, is_write)
-    return F.when(~over, "allow").when((level >= 4) & (tier > 1), "hard_deny").when((tier == 1) & is_write, "vault_redirect").otherwise("consent_gate")
+    """The decision on a single call without history: reads pass; local writes above the band are denied, other calls above it need
+    consent; writes of level 2 or more within it are minimised."""
+    reason = above_band(tier, is_write, level)
+    return F.when(~is_write, "allow").when(reason == "local_write_above_band", "hard_deny").when(reason != "", "consent_gate").when(level >= 2, "minimize").otherwise("allow")
 
 
 def priority(name: Column) -> Column:
@@ -37,7 +45,7 @@ def most_severe(df: DataFrame, by: list[str], action_col: str, order: str) -> Da
     return df.groupBy(*by).agg(best.alias(action_col), F.count("*").alias("n_calls"))
 
 
-def later_reads(writes: DataFrame, reads: DataFrame, key: list[str], order: str, most: int = 5) -> DataFrame:
+def later_reads(writes: DataFrame, reads: DataFrame, key: list[str], order: str) -> DataFrame:
     """Each write with its number of later reads of the same key, by one window over both (no self join)."""
     both = writes.select(*key, order, F.lit(True).alias("_w")).unionByName(reads.select(*key, order, F.lit(False).alias("_w")))
     after = Window.partitionBy(*key).orderBy(order, "_w").rowsBetween(1, Window.unboundedFollowing)

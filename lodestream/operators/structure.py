@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestream.functions.patterns import PATTERNS
+from lodestream.functions.patterns import NEEDS, RULES
 from lodestream.operators.ordered_state import so_far
 
 
@@ -39,6 +39,6 @@ def verdicts(found: DataFrame, severities: dict[str, str], by: list[str]) -> Dat
 
 def redact(text: Column) -> Column:
     """The text with every pattern hit replaced by its label, rule after rule; null stays null."""
-    for label, _, pattern, _ in PATTERNS:
-        text = F.regexp_replace(text, pattern, f"[{label}]")
+    for label, _, pattern, _ in RULES:
+        text = F.when(NEEDS[label](text), F.regexp_replace(text, pattern, f"[{label}]")).otherwise(text)
     return text

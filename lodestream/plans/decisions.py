@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestream.functions import values
 from lodestream.operators import joins, policy
 from lodestream.plans.standin import CALLS_SQL, calls
 
@@ -16,7 +17,8 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def free_band_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _judged(spark, sf_dir).select("event_id", "free", (F.col("level") > F.col("free")).alias("violation"), "action")
+    reason = policy.above_band(F.col("tier"), F.col("is_write"), F.col("level"))
+    return _judged(spark, sf_dir).select("event_id", "free", (F.col("level") > F.col("free")).alias("violation"), reason.alias("reason"), "action")
 
 
 def severity_max_per_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,10 +62,13 @@ def nearest_event_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.nearest_in_time(left, right, "submission", "error_ts", "view_ts", "error_id", "view_id", 1800, 60)
 
 
-def country_names_in_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = [r["r_name"] for r in spark.read.parquet(f"{sf_dir}/region.parquet").orderBy("r_name").collect()] + ["the", "license"]
+def region_names_in_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of regions in texts; their table is collected up to a bound that is checked."""
+    names = [r["r_name"] for r in spark.read.parquet(f"{sf_dir}/region.parquet").orderBy("r_name").limit(1001).collect()]
+    if len(names) > 1000:
+        raise ValueError("more names than an array literal should hold")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return joins.names_in_texts(docs, "doc_id", "text", names)
+    return joins.names_in_texts(docs, "doc_id", "text", [*names, "the", "license"])
 
 
 def resume_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,15 +133,23 @@ def json_field_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_normalised_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assistant turns of a conversation that begin alike (300 characters, white space made one, lower case) stay once; short ones are exempt."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").filter("role = 'assistant'")
+    key = F.regexp_replace(F.lower(F.substring(F.trim("text"), 1, 300)), r"[ \t\n\r]+", " ")
+    n = F.row_number().over(Window.partitionBy("conv_id", key).orderBy("turn"))
+    return turns.withColumn("n", n).withColumn("exempt", F.length("text") < 40).filter("n = 1 OR exempt").select("conv_id", "turn")
+
+
+def copies_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents grouped by their whole normalised text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    key = F.md5(F.substring(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")), 1, 300).cast("binary"))
-    return docs.groupBy(key.alias("prefix_key")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"))
+    key = F.md5(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")).cast("binary"))
+    return docs.groupBy(key.alias("text_key")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"))
 
 
 def iso_ms_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    iso = F.date_format(F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp"))), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    out = calls(spark, sf_dir).select("event_id", iso.alias("iso"))
-    return out.withColumn("ms", F.unix_millis(F.to_timestamp("iso")))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("iso"))
+    return events.select("event_id", "iso", values.epoch_ms(F.col("iso")).alias("ms"))
 
 
 def knn_topn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,26 +157,30 @@ def knn_topn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     q = vectors.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), "label")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    norm = lambda c: F.sqrt(dot(F.col(c), F.col(c)))
+    vectors, q = vectors.withColumn("norm", norm("embedding")), q.withColumn("q_norm", norm("q"))
+    # The query side is broadcast if it is counted to be small; a label of many vectors is then no hot key.
+    q = F.broadcast(q) if q.limit(100_001).count() <= 100_000 else q
     pairs = vectors.join(q, "label").filter("vec_id <> query_id")
-    score = F.round(dot(F.col("embedding"), F.col("q")) / F.sqrt(dot(F.col("embedding"), F.col("embedding")) * dot(F.col("q"), F.col("q"))), 6)
+    score = F.round(dot(F.col("embedding"), F.col("q")) / (F.col("norm") * F.col("q_norm")), 6)
     return policy.top_k(pairs.withColumn("score", score), ["query_id"], [F.desc("score"), F.col("vec_id")], 5).select("query_id", "vec_id", "score", "rank")
 
 
 _FUNCTIONS = (
-    free_band_verdict, severity_max_per_submission, action_histogram, first_consent_per_key, remediation_choice, topk_by_criticality, budget_split, per_group_sample, nearest_event_asof, country_names_in_texts, resume_anti,
-    composite_left_join_notnull, filtered_inner_join, conditional_batch_report, rollup_usage, balance_check, worst_per_submission, task_keyword_overlap, json_field_trace, dedupe_normalised_prefix, iso_ms_roundtrip, knn_topn_filtered,
+    free_band_verdict, severity_max_per_submission, action_histogram, first_consent_per_key, remediation_choice, topk_by_criticality, budget_split, per_group_sample, nearest_event_asof, region_names_in_texts, resume_anti,
+    composite_left_join_notnull, filtered_inner_join, conditional_batch_report, rollup_usage, balance_check, worst_per_submission, task_keyword_overlap, json_field_trace, dedupe_normalised_prefix, copies_of_documents, iso_ms_roundtrip, knn_topn_filtered,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
 
 _FREE = "CASE WHEN tier = 1 AND NOT is_write THEN 4 WHEN tier = 3 THEN 1 ELSE 2 END"
-_JUDGED = f"""(SELECT *, CASE WHEN level <= free THEN 'allow' WHEN level >= 4 AND tier > 1 THEN 'hard_deny' WHEN tier = 1 AND is_write THEN 'vault_redirect' ELSE 'consent_gate' END AS action
+_JUDGED = f"""(SELECT *, CASE WHEN NOT is_write THEN 'allow' WHEN tier = 1 AND level >= 3 THEN 'hard_deny' WHEN level > free THEN 'consent_gate' WHEN level >= 2 THEN 'minimize' ELSE 'allow' END AS action
   FROM (SELECT *, ({_FREE})::BIGINT AS free FROM {CALLS_SQL}))"""
 _RANKED = f"""SELECT submission, pos, criticality, row_number() OVER (PARTITION BY submission ORDER BY criticality DESC, pos) AS rank FROM (
   SELECT *, least(1.0, round(0.15 * level + CASE action WHEN 'allow' THEN 0.2 ELSE 0.3 END + CASE tier WHEN 3 THEN 0.15 WHEN 2 THEN 0.10 ELSE 0.05 END + CASE action WHEN 'allow' THEN 0 ELSE 0.1 END, 6))::DOUBLE AS criticality FROM {_JUDGED}) WHERE criticality >= 0.3"""
-_PRIORITY = "CASE action WHEN 'hard_deny' THEN 7 WHEN 'vault_redirect' THEN 6 WHEN 'consent_gate' THEN 4 ELSE 0 END"
+_PRIORITY = "CASE action WHEN 'hard_deny' THEN 7 WHEN 'consent_gate' THEN 4 WHEN 'minimize' THEN 2 ELSE 0 END"
 
 ORACLE_SQL = {
-    "free_band_verdict": f"SELECT event_id, free, level > free AS violation, action FROM {_JUDGED}",
+    "free_band_verdict": f"SELECT event_id, free, level > free AS violation, CASE WHEN tier = 1 AND is_write AND level >= 3 THEN 'local_write_above_band' WHEN level > free THEN 'missing_authorization' ELSE '' END AS reason, action FROM {_JUDGED}",
     "severity_max_per_submission": f"SELECT submission, arg_max(action, ({_PRIORITY})::BIGINT * 1000000000 - pos) AS action, count(*) AS n_calls FROM {_JUDGED} GROUP BY submission",
     "action_histogram": f"SELECT tier, action, count(*) AS n FROM {_JUDGED} GROUP BY ALL",
     "first_consent_per_key": f"SELECT arg_min(event_id, pos) AS event_id, submission, tool, level FROM {_JUDGED} WHERE action = 'consent_gate' GROUP BY submission, tool, level",
@@ -176,7 +193,7 @@ ORACLE_SQL = {
       SELECT e.event_id AS error_id, v.event_id AS view_id, abs(epoch_us(e.ts) - epoch_us(v.ts)) AS gap_us FROM {CALLS_SQL} e JOIN {CALLS_SQL} v ON e.submission = v.submission WHERE e.event_type = 'error' AND v.event_type = 'view'
     ), n AS (SELECT *, min(gap_us) OVER (PARTITION BY error_id) AS best FROM p WHERE gap_us <= 1800000000)
     SELECT error_id, min(view_id) AS view_id, arg_min(gap_us, view_id) AS gap_us FROM n WHERE gap_us <= best + 60000000 GROUP BY error_id""",
-    "country_names_in_texts": "SELECT doc_id, name, instr(lower(text), name) AS first_at FROM documents, (SELECT lower(r_name) AS name FROM region UNION ALL SELECT unnest(['the', 'license'])) WHERE contains(lower(text), name)",
+    "region_names_in_texts": "SELECT doc_id, name, instr(lower(text), name) AS first_at FROM documents, (SELECT lower(r_name) AS name FROM region UNION ALL SELECT unnest(['the', 'license'])) WHERE contains(lower(text), name)",
     "resume_anti": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')",
     "composite_left_join_notnull": "SELECT a.l_orderkey, a.l_linenumber, a.l_quantity, b.l_discount FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber WHERE b.l_discount > 0.05",
     "filtered_inner_join": "SELECT l_orderkey, l_linenumber, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'F' AND o_totalprice > 1000 AND o_totalprice < 200000",
@@ -191,8 +208,9 @@ ORACLE_SQL = {
                list_distinct(list_filter(string_split(lower(coalesce(arg_min(text, turn) FILTER (role = 'user'), '')), ' '), lambda w: length(w) > 3)) AS k
         FROM conversations GROUP BY conv_id))""",
     "json_field_trace": f"SELECT event_id, (props::JSON ->> '$.k')::BIGINT AS k FROM {CALLS_SQL} WHERE (props::JSON ->> '$.k') IS NOT NULL",
-    "dedupe_normalised_prefix": r"SELECT md5(substring(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')), 1, 300)) AS prefix_key, min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY 1",
-    "iso_ms_roundtrip": f"SELECT event_id, strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS iso, epoch_us(ts) // 1000 AS ms FROM {CALLS_SQL}",
+    "dedupe_normalised_prefix": r"""SELECT conv_id, turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, regexp_replace(lower(left(trim(text), 300)), '[ \t\n\r]+', ' ', 'g') ORDER BY turn) AS n FROM conversations WHERE role = 'assistant') WHERE n = 1 OR length(text) < 40""",
+    "copies_of_documents": r"SELECT md5(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'))) AS text_key, min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY 1",
+    "iso_ms_roundtrip": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso, epoch_ms(date_trunc('millisecond', ts)) AS ms FROM events",
     "knn_topn_filtered": """SELECT query_id, vec_id, score, rank FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
         SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(v.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score FROM embeddings v JOIN embeddings q USING (label) WHERE q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id)) WHERE rank <= 5""",

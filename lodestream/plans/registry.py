@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestream.plans import decisions, entities, streams, structure
+from lodestream.plans import decisions, entities, event_streams, streams, structure, text_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (entities, streams, decisions, structure):
+for _module in (entities, streams, decisions, structure, text_rules, event_streams):
+    if twice := QUERIES.keys() & _module.QUERIES.keys():
+        raise ValueError(f"registered twice: {sorted(twice)}")
     QUERIES.update(_module.QUERIES)
     ORACLE_SQL.update(_module.ORACLE_SQL)

@@ -32,7 +32,7 @@ def first_turn_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def last_user_text_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = state.last_value_where(_turns(spark, sf_dir), F.col("role") == "user", F.col("text"), ["conv_id"], ["turn"], "user_text")
-    return out.select("conv_id", "turn", "user_text")
+    return out.select("conv_id", "turn", F.coalesce("user_text", F.lit("")).alias("user_text"))
 
 
 def pm1_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,8 @@ def duplicate_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_backwards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.backwards_in_time(calls(spark, sf_dir), "ts", _BY, ["event_id"]).select("event_id", "submission")
+    """In the order of values, times do go backwards."""
+    return state.backwards_in_time(calls(spark, sf_dir), "ts", _BY, ["value", "event_id"]).select("event_id", "submission")
 
 
 def latch_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,14 +89,14 @@ ORACLE_SQL = {
     "role_turn_index": f"SELECT conv_id, turn, role, (sum((role = 'assistant')::INT) {_TURN} - 1)::BIGINT AS assistant_index FROM conversations",
     "turn_to_user_map": _MAP,
     "first_turn_of_user": f"SELECT conv_id, min(turn) AS turn, user_turn FROM ({_MAP}) WHERE user_turn IS NOT NULL GROUP BY conv_id, user_turn",
-    "last_user_text_state": f"SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) {_TURN} AS user_text FROM conversations",
+    "last_user_text_state": f"SELECT conv_id, turn, coalesce(last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) {_TURN}, '') AS user_text FROM conversations",
     "pm1_window": "SELECT conv_id, turn, concat_ws(chr(10), lag(text) OVER w, text, lead(text) OVER w) AS passage FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)",
     "chunk_by_6": "SELECT conv_id, chunk, count(*) AS n_messages, string_agg(text, chr(10) ORDER BY turn) AS passage FROM (SELECT *, ((row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 6)::BIGINT AS chunk FROM conversations) GROUP BY conv_id, chunk HAVING count(*) >= 2 AND length(string_agg(text, chr(10) ORDER BY turn)) >= 50",
     "consecutive_types": f"SELECT event_id, submission, pos, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY submission ORDER BY pos) AS b FROM {CALLS_SQL}) WHERE b = event_type",
     "collapse_runs": f"""SELECT submission, island, event_type, min(pos) AS first_pos, count(*) AS n_events, string_agg(event_id::VARCHAR, ',' ORDER BY pos) AS ids FROM (
         SELECT *, (sum(s) {_RUN} - 1)::BIGINT AS island FROM (SELECT *, (lag(event_type) OVER (PARTITION BY submission ORDER BY pos) IS DISTINCT FROM event_type)::INT AS s FROM {CALLS_SQL})) GROUP BY ALL""",
     "duplicate_values": f"SELECT event_id, submission, props, copy FROM (SELECT *, row_number() OVER (PARTITION BY submission, props ORDER BY pos) AS copy FROM {CALLS_SQL}) WHERE copy > 1",
-    "time_backwards": f"SELECT event_id, submission FROM (SELECT *, max(event_id) OVER () AS m, lag(ts) OVER (PARTITION BY submission ORDER BY event_id) AS b FROM {CALLS_SQL}) WHERE ts < b",
+    "time_backwards": f"SELECT event_id, submission FROM (SELECT *, max(event_id) OVER () AS m, lag(ts) OVER (PARTITION BY submission ORDER BY value, event_id) AS b FROM {CALLS_SQL}) WHERE ts < b",
     "latch_state": f"SELECT event_id, coalesce(last_value(CASE event_type WHEN 'error' THEN 1 WHEN 'signup' THEN 0 END IGNORE NULLS) {_RUN}, 0)::BIGINT AS pending FROM {CALLS_SQL}",
     "epoch_reset_state": f"SELECT event_id, CASE WHEN e > 0 THEN max((event_type = 'view')::INT) OVER (PARTITION BY submission, e ORDER BY pos ROWS UNBOUNDED PRECEDING) ELSE 0 END::BIGINT AS seen FROM (SELECT *, sum((event_type = 'signup')::INT) {_RUN} AS e FROM {CALLS_SQL})",
     "clamped_counter": f"SELECT event_id, (t - least(0, min(t) {_RUN}))::BIGINT AS approvals FROM (SELECT *, sum(CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN -1 ELSE 0 END) {_RUN} AS t FROM {CALLS_SQL})",

@@ -8,9 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestream.functions.patterns import PATTERNS
 from lodestream.operators import entities, patches, structure
-from lodestream.plans.entities import _hits, _quoted
+from lodestream.plans.entities import ORACLE_RULES, hits_sql
 from lodestream.plans.standin import CALLS_SQL, calls
 from lodestream.streaming import latch
 
@@ -49,18 +48,12 @@ def redact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", structure.redact(F.col("text")).alias("redacted"))
 
 
-def iso_ms_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", text.alias("iso"))
-    return events.select("event_id", "iso", F.unix_millis(F.to_timestamp("iso")).alias("ms"))
-
-
 def streaming_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latch of ``latch_state`` as a stateful stream; its tables go to the shared checkpoint folder."""
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     # A stream takes a single file only through a glob.
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{sf_dir}/event[s].parquet")
     out = latch.latch(stream.select("event_id", "user_id", "ts", "event_type"), "user_id", ["ts", "event_id"], "error", "signup", "event_id", "event_type")
     return latch.run_once(spark, out, f"{base}/latch-{uuid.uuid4().hex}")
 
@@ -84,7 +77,7 @@ def entity_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("conv_id", "label", "value", "said_at", later.alias("repeated_at")).filter("repeated_at IS NOT NULL")
 
 
-QUERIES = {f.__name__: f for f in (structural_issues, gate_verdicts, orphan_results, passing_semi, redact_documents, iso_ms_roundtrip, streaming_latch, patched_conversations, entity_reuse)}
+QUERIES = {f.__name__: f for f in (structural_issues, gate_verdicts, orphan_results, passing_semi, redact_documents, streaming_latch, patched_conversations, entity_reuse)}
 
 _RUN = "OVER (PARTITION BY submission ORDER BY pos ROWS UNBOUNDED PRECEDING)"
 _FLAGS = f"""(SELECT submission, pos, event_type, value, row_number() OVER (PARTITION BY submission, props ORDER BY pos) AS copy, lag(event_type) OVER (PARTITION BY submission ORDER BY pos) AS before,
@@ -95,8 +88,8 @@ _ISSUES = f"""SELECT submission, pos, 'duplicate_event_id' AS code FROM {_FLAGS}
   UNION ALL SELECT submission, pos, 'empty_assistant_message' FROM {_FLAGS} WHERE value < 1"""
 _GRAVE = "bool_or(code IN ('orphan_tool_result', 'duplicate_event_id'))"
 _redacted = "text"
-for _label, _, _pattern, _ in PATTERNS:
-    _redacted = f"regexp_replace({_redacted}, {_quoted(_pattern)}, '[{_label}]', 'g')"
+for _label, _, _pattern, _ in ORACLE_RULES:
+    _redacted = f"regexp_replace({_redacted}, '{_pattern}', '[{_label}]', 'g')"
 
 ORACLE_SQL = {
     "structural_issues": _ISSUES,
@@ -104,13 +97,12 @@ ORACLE_SQL = {
     "orphan_results": f"SELECT event_id, submission FROM {CALLS_SQL} a WHERE event_type = 'error' AND NOT EXISTS (SELECT 1 FROM {CALLS_SQL} b WHERE b.event_type = 'signup' AND b.submission = a.submission AND b.props = a.props)",
     "passing_semi": "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0)",
     "redact_documents": f"SELECT doc_id, {_redacted} AS redacted FROM documents",
-    "iso_ms_roundtrip": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso, epoch_ms(date_trunc('millisecond', ts)) AS ms FROM events",
     "streaming_latch": f"SELECT event_id, coalesce(last_value(CASE event_type WHEN 'error' THEN 1 WHEN 'signup' THEN 0 END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 0)::BIGINT AS pending FROM events",
     "patched_conversations": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, slot) - 1 AS line, role, text FROM (
         SELECT conv_id, turn, 3 AS slot, role, CASE WHEN role = 'user' AND regexp_matches(text, '[0-9]') THEN '[REDACTED]' ELSE text END AS text FROM conversations WHERE NOT coalesce(length(text) < 60, false)
         UNION ALL SELECT conv_id, turn, 1, 'assistant', 'May I go on?' FROM conversations WHERE role = 'assistant' AND length(text) > 400
         UNION ALL SELECT conv_id, turn, 2, 'user', 'Yes.' FROM conversations WHERE role = 'assistant' AND length(text) > 400)""",
-    "entity_reuse": f"""WITH found AS (SELECT f.*, lower(trim(hit)) AS value FROM ({_hits("(SELECT {'c': conv_id, 't': turn, 'r': role} AS spot, text FROM conversations)", "spot", "text")}) f),
+    "entity_reuse": f"""WITH found AS (SELECT f.*, lower(trim(hit)) AS value FROM ({hits_sql("(SELECT {'c': conv_id, 't': turn, 'r': role} AS spot, text FROM conversations)", "spot", "text")}) f),
         said AS (SELECT spot.c AS conv_id, label, value, min(spot.t) AS said_at FROM found WHERE spot.r = 'user' GROUP BY ALL)
         SELECT s.conv_id, s.label, s.value, said_at, min(f.spot.t) AS repeated_at FROM said s JOIN found f ON f.spot.c = s.conv_id AND f.label = s.label AND f.value = s.value AND f.spot.r = 'assistant' AND f.spot.t > said_at GROUP BY ALL""",
 }
