@@ -92,7 +92,7 @@ def has_entity(text: Column, value: Column, level: Column, stopwords: tuple[str,
 
 
 def word_bounded(text: Column, value: Column) -> Column:
-    return text.rlike(F.concat(F.lit(r"(?<![A-Za-z0-9_])"), quoted(value), F.lit(r"(?![A-Za-z0-9_])")))
+    return F.regexp_like(text, F.concat(F.lit(r"(?<![A-Za-z0-9_])"), quoted(value), F.lit(r"(?![A-Za-z0-9_])")))
 
 
 def is_real_value(value: Column) -> Column:

@@ -35,7 +35,7 @@ def reference_ms(name: Column) -> Column:
 
 
 def luhn_valid(digits: Column) -> Column:
-    return F.coalesce(F.luhn_check(digits), F.lit(False))
+    return F.coalesce(F.call_function("luhn_check", digits), F.lit(False))
 
 
 def parse_score(text: Column) -> Column:

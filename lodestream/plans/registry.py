@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestream.plans import decisions, entities, event_streams, streams, structure, text_rules
+from lodestream.plans import decisions, detection, entities, event_streams, quality_gates, relations, streams, structure, text_rules, training_pairs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (entities, streams, decisions, structure, text_rules, event_streams):
+for _module in (entities, streams, decisions, structure, text_rules, event_streams, detection, quality_gates, training_pairs, relations):
     if twice := QUERIES.keys() & _module.QUERIES.keys():
         raise ValueError(f"registered twice: {sorted(twice)}")
     QUERIES.update(_module.QUERIES)

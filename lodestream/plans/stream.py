@@ -93,7 +93,7 @@ STREAM_SQL = f"""(
         CASE WHEN event_id % 2 = 0 AND event_type = 'view' THEN {_pick_sql(ASKS, _STRETCH_SQL)} WHEN event_id % 2 = 0 AND event_type IN ('click', 'error') THEN {_pick_sql(REPLIES, _STRETCH_SQL)}
           ELSE {_pick_sql(TEXTS, f'(event_id * 7 + submission) % {_N}')} END AS text, {_pick_sql(TOOLS, f'event_id % {len(TOOLS)}')} AS tool,
         {_pick_sql(PATHS, f'(event_id // 3) % {len(PATHS)}')} AS path, {_pick_sql(COMMANDS, f'(event_id // 2) % {len(COMMANDS)}')} AS command
-      FROM (SELECT event_id, user_id AS submission, event_type, value, epoch_ms(ts) - CASE WHEN event_id % 17 = 0 THEN 2592000000 ELSE 0 END AS ms,
+      FROM (SELECT event_id, user_id AS submission, event_type, value, epoch_us(ts) // 1000 - CASE WHEN event_id % 17 = 0 THEN 2592000000 ELSE 0 END AS ms,
                    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events))))"""
 
 VALUES_SQL = "(SELECT * FROM (VALUES " + ", ".join(f"({i}, {sql_text(t)}, '{label}', {level})" for i, (t, label, level) in enumerate(VALUES)) + ") v (number, text, label, level))"
