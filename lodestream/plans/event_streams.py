@@ -15,7 +15,6 @@ from lodestream.operators import structure
 from lodestream.plans.stream import ENTITIES_SQL, REFUSAL, STREAM_SQL, entities, sql_text, stream
 
 _BY = ["submission"]
-_ROLE = F.col("role")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -41,19 +40,19 @@ def stream_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream(spark, sf_dir)
     own, made = F.nullif(F.col("id"), F.lit("")), F.nullif(F.col("call_id"), F.lit(""))
     rows = E.seen_before(E.seen_before(rows, _BY, "pos", "parent", own, "parent_seen"), _BY, "pos", "ref", made, "made_before")
-    message = F.when(_ROLE.isin("user", "assistant", "toolResult"), _ROLE).when(_ROLE.eqNullSafe("custom") & F.col("kind").startswith("exec.approval."), F.lit("reset"))
+    message = F.when(F.col("role").isin("user", "assistant", "toolResult"), F.col("role")).when(F.col("role").eqNullSafe("custom") & F.col("kind").startswith("exec.approval."), F.lit("reset"))
     before = F.last(message, ignorenulls=True).over(_before())
     again = lambda c: F.row_number().over(Window.partitionBy(*_BY, c).orderBy("pos")) > 1
     rules = {
         "missing_event_id": F.col("id") == "",
         "duplicate_event_id": (F.col("id") != "") & again("id"),
         "parent_not_seen": F.coalesce((F.col("parent") != "") & ~F.col("parent_seen"), F.lit(False)),
-        "consecutive_assistant_messages": (_ROLE == "assistant") & before.eqNullSafe(F.lit("assistant")),
+        "consecutive_assistant_messages": (F.col("role") == "assistant") & before.eqNullSafe(F.lit("assistant")),
         "tool_call_missing_id": F.col("has_call") & (F.col("call_id") == ""),
         "duplicate_tool_call_id": F.col("has_call") & (F.col("call_id") != "") & again("call_id"),
-        "empty_assistant_message": (_ROLE == "assistant") & ~F.col("has_call") & (F.trim("text") == ""),
-        "tool_result_missing_tool_call_id": (_ROLE == "toolResult") & (F.coalesce("ref", F.lit("")) == ""),
-        "orphan_tool_result": (_ROLE == "toolResult") & (F.coalesce("ref", F.lit("")) != "") & ~F.col("made_before"),
+        "empty_assistant_message": (F.col("role") == "assistant") & ~F.col("has_call") & (F.trim("text") == ""),
+        "tool_result_missing_tool_call_id": (F.col("role") == "toolResult") & (F.coalesce("ref", F.lit("")) == ""),
+        "orphan_tool_result": (F.col("role") == "toolResult") & (F.coalesce("ref", F.lit("")) != "") & ~F.col("made_before"),
     }
     return structure.issues(rows, ["submission", "pos"], rules)
 
@@ -67,21 +66,21 @@ def artifact_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = E.seen_before(rows, _BY, "pos", "ref", made, "made_before")
     whole = Window.partitionBy(*_BY)
     constant = (F.count("*").over(whole) >= 4) & (F.min(F.col("ms") % 1000).over(whole) == F.max(F.col("ms") % 1000).over(whole)) & (F.col("pos") == F.max("pos").over(whole))
-    before = F.last(F.when(_ROLE.isin("user", "assistant", "toolResult"), _ROLE), ignorenulls=True).over(_before())
+    before = F.last(F.when(F.col("role").isin("user", "assistant", "toolResult"), F.col("role")), ignorenulls=True).over(_before())
     again = lambda c: F.row_number().over(Window.partitionBy(*_BY, c).orderBy("pos")) > 1
     rules = {
         "id contains synth": F.lower("id").contains("synth"),
         "duplicate id": again("id"),
-        "missing id": own.isNull() & (_ROLE == "custom"),
+        "missing id": own.isNull() & (F.col("role") == "custom"),
         "parent not prior": F.coalesce((F.col("parent") != "") & ~F.col("parent_seen"), F.lit(False)),
         "construction key": (F.col("event_id") % 53 == 0),
         "time backwards": F.coalesce(F.col("ms") < F.lag("ms").over(Window.partitionBy(*_BY).orderBy("pos")), F.lit(False)),
-        "consecutive assistant": (_ROLE == "assistant") & before.eqNullSafe(F.lit("assistant")),
-        "empty assistant": (_ROLE == "assistant") & ~F.col("has_call") & (F.trim("text") == ""),
+        "consecutive assistant": (F.col("role") == "assistant") & before.eqNullSafe(F.lit("assistant")),
+        "empty assistant": (F.col("role") == "assistant") & ~F.col("has_call") & (F.trim("text") == ""),
         "call id missing": F.col("has_call") & (F.col("call_id") == ""),
         "duplicate call id": F.col("has_call") & (F.col("call_id") != "") & again("call_id"),
-        "result id missing": (_ROLE == "toolResult") & (F.coalesce("ref", F.lit("")) == ""),
-        "unknown result ref": (_ROLE == "toolResult") & (F.coalesce("ref", F.lit("")) != "") & ~F.col("made_before"),
+        "result id missing": (F.col("role") == "toolResult") & (F.coalesce("ref", F.lit("")) == ""),
+        "unknown result ref": (F.col("role") == "toolResult") & (F.coalesce("ref", F.lit("")) != "") & ~F.col("made_before"),
         "constant milliseconds": constant,
     }
     return structure.issues(rows, ["submission", "pos"], rules)
@@ -92,7 +91,7 @@ def repaired_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stub() -> F.Column:
-    return (_ROLE == "assistant") & ~F.col("has_call") & (F.trim("text") == "")
+    return (F.col("role") == "assistant") & ~F.col("has_call") & (F.trim("text") == "")
 
 
 def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,16 +120,16 @@ def dropped_stubs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def collapsed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream(spark, sf_dir).select("submission", "pos", "role", "text", "has_call")
-    return E.collapse_runs(rows, _BY, "pos", (_ROLE == "assistant") & ~F.col("has_call"), P.is_boilerplate).select("submission", "pos", "text")
+    return E.collapse_runs(rows, _BY, "pos", (F.col("role") == "assistant") & ~F.col("has_call"), P.is_boilerplate).select("submission", "pos", "text")
 
 
 def collapsed_across_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream(spark, sf_dir).select("submission", "pos", "role", "text", "has_call")
-    return E.collapse_runs(rows, _BY, "pos", (_ROLE == "assistant") & ~F.col("has_call"), P.is_boilerplate, counts=_ROLE != "custom").select("submission", "pos", "text")
+    return E.collapse_runs(rows, _BY, "pos", (F.col("role") == "assistant") & ~F.col("has_call"), P.is_boilerplate, counts=F.col("role") != "custom").select("submission", "pos", "text")
 
 
 def results_with_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.drop_orphan_results(stream(spark, sf_dir), _BY, "pos", _ROLE == "toolResult", F.col("call_id"), "ref").select("event_id")
+    return E.drop_orphan_results(stream(spark, sf_dir), _BY, "pos", F.col("role") == "toolResult", F.col("call_id"), "ref").select("event_id")
 
 
 #: What an assistant says before a call (a convention of the stand-in).
@@ -139,8 +138,8 @@ LEAD_INS = {"read": "Let me pull that up.", "write": "Writing that now.", "exec"
 
 def lead_ins(spark: SparkSession, sf_dir: str) -> DataFrame:
     default = F.coalesce(F.create_map(*[F.lit(x) for i in LEAD_INS.items() for x in i])[F.col("tool")], F.lit("On it."))
-    blank = stream(spark, sf_dir).withColumn("text", F.when((F.col("event_id") % 4 == 0) & (_ROLE == "assistant"), F.lit(" ")).otherwise(F.col("text")))
-    return E.lead_in(blank, _BY, "pos", _ROLE == "user", _ROLE == "assistant", F.col("text"), default).filter("role = 'assistant'").select("event_id", "text")
+    blank = stream(spark, sf_dir).withColumn("text", F.when((F.col("event_id") % 4 == 0) & (F.col("role") == "assistant"), F.lit(" ")).otherwise(F.col("text")))
+    return E.lead_in(blank, _BY, "pos", F.col("role") == "user", F.col("role") == "assistant", F.col("text"), default).filter("role = 'assistant'").select("event_id", "text")
 
 
 def ended_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +149,7 @@ def ended_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stepped_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps by kind of row (fixed values): a first user row 800 to 2500 ms, later ones 20 to 180 s, and so on."""
     first = F.row_number().over(Window.partitionBy("submission", "role").orderBy("pos")) == 1
-    pick = lambda i: F.when(_ROLE == "custom", (2, 8)[i]).when((_ROLE == "user") & F.col("first"), (800, 2500)[i]).when(_ROLE == "user", (20000, 180000)[i]).when(_ROLE == "toolResult", (350, 2500)[i]).when(F.col("has_call"), (1500, 6000)[i]).otherwise((4000, 18000)[i])
+    pick = lambda i: F.when(F.col("role") == "custom", (2, 8)[i]).when((F.col("role") == "user") & F.col("first"), (800, 2500)[i]).when(F.col("role") == "user", (20000, 180000)[i]).when(F.col("role") == "toolResult", (350, 2500)[i]).when(F.col("has_call"), (1500, 6000)[i]).otherwise((4000, 18000)[i])
     rows = stream(spark, sf_dir).withColumn("first", first)
     return E.step_times(rows, _BY, "pos", pick(0), pick(1), F.lit(1_700_000_000_000), F.col("event_id"), "time_ms").select("event_id", "time_ms")
 
@@ -166,7 +165,7 @@ def approvals_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deduplicated_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consent questions of one 50-character key stay once; with a repeated one the row that carries it out goes."""
-    key = F.when((_ROLE == "assistant") & P.asks_permission(F.col("text")), F.lower(F.substring("text", 1, 50)))
+    key = F.when((F.col("role") == "assistant") & P.asks_permission(F.col("text")), F.lower(F.substring("text", 1, 50)))
     return E.first_of_key(stream(spark, sf_dir), _BY, "pos", key, F.col("has_call")).select("event_id")
 
 
@@ -180,8 +179,8 @@ def unbacked_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kept_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The refusal sentence stays only behind a user row that asked to keep something."""
-    last = F.coalesce(F.last(F.when(_ROLE == "user", F.col("text")), ignorenulls=True).over(_before()), F.lit(""))
-    rows = stream(spark, sf_dir).withColumn("last_user", last).filter(F.col("text").contains(REFUSAL) & (_ROLE == "assistant"))
+    last = F.coalesce(F.last(F.when(F.col("role") == "user", F.col("text")), ignorenulls=True).over(_before()), F.lit(""))
+    rows = stream(spark, sf_dir).withColumn("last_user", last).filter(F.col("text").contains(REFUSAL) & (F.col("role") == "assistant"))
     asked = F.col("last_user").rlike(r"(?i)\b(save|store|persist|keep|retain|memory|file)\b")
     left = F.trim(F.replace(F.col("text"), F.lit(REFUSAL), F.lit("")))
     return rows.select("event_id", F.when(asked, F.col("text")).when(left == "", F.lit("I can keep working with what you provide in this session.")).otherwise(left).alias("text"))
@@ -210,7 +209,7 @@ def consent_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recent_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    may_go = _ROLE.isin("assistant", "user") & (F.col("text") != "") & ~F.col("has_call") & (F.length("text") < 240)
+    may_go = F.col("role").isin("assistant", "user") & (F.col("text") != "") & ~F.col("has_call") & (F.length("text") < 240)
     rows = stream(spark, sf_dir).select("submission", "pos", "role", "text", may_go.alias("may_go"))
     return E.drop_recent_copies(rows, _BY, "pos", "role", "text", "may_go").select("submission", "pos")
 
@@ -221,7 +220,7 @@ def cut_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def absorbed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The results behind an assistant row that was replaced go up to the next row of another kind."""
-    return E.runs_behind(stream(spark, sf_dir), _BY, "pos", (_ROLE == "assistant") & F.col("has_call") & (F.col("level") >= 2), _ROLE == "toolResult").select("event_id")
+    return E.runs_behind(stream(spark, sf_dir), _BY, "pos", (F.col("role") == "assistant") & F.col("has_call") & (F.col("level") >= 2), F.col("role") == "toolResult").select("event_id")
 
 
 def spliced_probes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodestream.operators import entities, patches, structure
 from lodestream.plans.entities import ORACLE_RULES, hits_sql
 from lodestream.plans.standin import CALLS_SQL, calls
+from lodestream.plans.stream import STREAM_SQL, stream
 from lodestream.streaming import latch
 
 #: Severity by code; codes that are not here are minor (a convention for the stand-in).
@@ -70,14 +71,22 @@ def patched_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entity_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values found in a user turn that a later assistant turn of the conversation repeats, with the first such turn."""
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return _reuse(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def value_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the stand-in streams."""
+    return _reuse(stream(spark, sf_dir).select(F.col("submission").alias("conv_id"), F.col("pos").alias("turn"), "role", "text"))
+
+
+def _reuse(turns: DataFrame) -> DataFrame:
     found = entities.pattern_entities(turns.select(F.struct("conv_id", "turn", "role").alias("at"), "text"), "at", "text").select("at.*", "label", F.lower(F.trim("hit")).alias("value"))
     said = found.groupBy("conv_id", "label", "value").agg(F.min(F.when(F.col("role") == "user", F.col("turn"))).alias("said_at"), F.array_sort(F.collect_set(F.when(F.col("role") == "assistant", F.col("turn")))).alias("_answers"))
     later = F.get(F.filter("_answers", lambda t: t > F.col("said_at")), F.lit(0))
     return said.select("conv_id", "label", "value", "said_at", later.alias("repeated_at")).filter("repeated_at IS NOT NULL")
 
 
-QUERIES = {f.__name__: f for f in (structural_issues, gate_verdicts, orphan_results, passing_semi, redact_documents, streaming_latch, patched_conversations, entity_reuse)}
+QUERIES = {f.__name__: f for f in (structural_issues, gate_verdicts, orphan_results, passing_semi, redact_documents, streaming_latch, patched_conversations, entity_reuse, value_reuse)}
 
 _RUN = "OVER (PARTITION BY submission ORDER BY pos ROWS UNBOUNDED PRECEDING)"
 _FLAGS = f"""(SELECT submission, pos, event_type, value, row_number() OVER (PARTITION BY submission, props ORDER BY pos) AS copy, lag(event_type) OVER (PARTITION BY submission ORDER BY pos) AS before,
@@ -106,3 +115,4 @@ ORACLE_SQL = {
         said AS (SELECT spot.c AS conv_id, label, value, min(spot.t) AS said_at FROM found WHERE spot.r = 'user' GROUP BY ALL)
         SELECT s.conv_id, s.label, s.value, said_at, min(f.spot.t) AS repeated_at FROM said s JOIN found f ON f.spot.c = s.conv_id AND f.label = s.label AND f.value = s.value AND f.spot.r = 'assistant' AND f.spot.t > said_at GROUP BY ALL""",
 }
+ORACLE_SQL["value_reuse"] = ORACLE_SQL["entity_reuse"].replace("FROM conversations)", f"FROM (SELECT submission AS conv_id, pos AS turn, role, text FROM {STREAM_SQL}))")
