@@ -1,6 +1,6 @@
 """The words and phrases that the rules look for, each list in the order of its rule."""
 
-# Resources, health, gates
+# Resources, health, gates (names of rules in other modules are fixed values too)
 RESOURCE_EXTENSION = r"\.(docx?|md|markdown|pdf|html?|png|jpe?g|webp|gif)\b"
 RESOURCE_WORD = r"\b(attached|uploaded|provided|shared|resource|document|file|pdf|image|screenshot|html|markdown|md)\b"
 RESOURCE_VERBS = ("read", "open", "review", "use", "extract", "parse", "summarize", "summarise", "manipulate")

@@ -20,6 +20,7 @@ class Lines:
 
     def __init__(self, n: int):
         self.pieces: list[tuple[int | None, int]] = [(1, n)]
+        self.end = n + 1
 
     def _split(self, line: int) -> int:
         """The number of the piece that begins at a current line, which is cut there if need be."""
@@ -34,13 +35,13 @@ class Lines:
         return len(self.pieces)
 
     def place(self, line: int) -> int | None:
-        """The input line of a current line; null for an inserted row, one behind the last for the end."""
-        at = last = 1
+        """The input line of a current line; null for an inserted row, one behind the last input line for the end."""
+        at = 1
         for first, n in self.pieces:
             if line < at + n:
                 return first and first + line - at
-            at, last = at + n, first + n if first else last
-        return last
+            at += n
+        return self.end
 
     def insert(self, line: int, n: int) -> None:
         k = self._split(line)
@@ -54,7 +55,8 @@ class Lines:
 
 def resolve_lines(patches: DataFrame, by: list[str]) -> DataFrame:
     """Patches (by, seq, op, line, n_rows: the stream's length, ok: whether an insert has both texts) with ``row``: the input line
-    (from 1) that each meant; null for lines that don't exist or are inserted ones.  An insert at the end has the row n_rows + 1."""
+    (from 1) that each meant; null for lines that don't exist, and for inserted rows, which patches don't change any more.  An insert
+    among inserted rows is one before the next input row, behind them; one at the end has the row n_rows + 1."""
 
     def fresh() -> dict:
         return {"lines": None, "n": 0}
@@ -70,9 +72,9 @@ def resolve_lines(patches: DataFrame, by: list[str]) -> DataFrame:
             line += 1
             row = state["lines"].place(line)
         if p.op == "insert_consent_pair_before" and p.ok:
-            state["lines"].insert(p.line, 2)
+            state["lines"].insert(line, 2)
             state["n"] += 2
-        elif p.op == "remove_event":
+        elif p.op == "remove_event" and row is not None:
             state["lines"].remove(p.line)
             state["n"] -= 1
         return row or 0
@@ -129,7 +131,7 @@ def apply_edits(rows: DataFrame, patches: DataFrame, by: list[str], order: str,
     pair = F.inline(F.array(*[F.struct(F.lit(i).cast("long").alias("_seq"), F.lit(r).alias("role"), F.col(c).alias("text")) for i, (r, c) in enumerate((("assistant", "ask"), ("user", "answer")))]))
     none = lambda n, t="string": F.lit(None).cast(t).alias(n)
     inserts = p.filter("op = 'insert_consent_pair_before' AND ok").select(*by, "row", F.lit(0).alias("_slot"), F.col("seq").alias("_at"), pair)
-    # Of several inserts before one row the later stands nearer to it.
+    # Of several inserts before one row the later one stands nearer to it.
     inserts = inserts.select(*by, "row", "_slot", (F.col("_at") * 2 + F.col("_seq")).cast("long").alias("_seq"), "role", "text", none("call_id"), none("tool"), none("arguments"), none("ref"), none("is_error", "boolean"))
     n = F.row_number().over(Window.partitionBy(*by).orderBy("row", "_slot", "_seq"))
     return kept.unionByName(inserts).withColumn("line", n.cast("long")).drop("row", "_slot", "_seq")

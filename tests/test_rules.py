@@ -90,3 +90,15 @@ def test_detectors(spark):
     one = lambda c: spark.range(1).select(c.alias("c")).first()["c"]
     assert one(detect.occurrences(F.lit("ab.ab ab"), F.lit("ab"))) == [0, 3, 6]
     assert one(detect.context_names(F.lit("About Anna Keller. plan for New York City"), ("new york city",))) == ["Anna Keller"]
+
+
+def test_authorization(spark):
+    flag = "struct<is_violation:boolean,authorization:struct<needed:boolean,granted:boolean>>"
+    rows = [((True, (True, False)),), ((True, (False, True)),), ((False, (True, True)),), (None,)]
+    df = spark.createDataFrame(rows, f"flag {flag}")
+    got = df.select(P.authorization_required(F.col("flag")).alias("r"), P.authorization_granted(F.col("flag")).alias("g")).collect()
+    assert [(r["r"], r["g"]) for r in got] == [(True, False), (False, True), (False, True), (False, False)]
+    gate = spark.createDataFrame([(True, True, True), (True, True, False), (True, False, True), (False, False, False)], "r boolean, g boolean, p boolean")
+    assert [r[0] for r in gate.select(P.needs_approval(F.col("r"), F.col("g"), F.col("p"))).collect()] == [False, True, True, False]
+    levels = spark.createDataFrame([(3, 2, False), (2, 2, True), (2, 3, True), (1, 4, True), (3, 1, True)], "tier int, level int, w boolean")
+    assert [r[0] for r in levels.select(P.requires_approval(F.col("tier"), F.col("level"), F.col("w"))).collect()] == [True, False, True, False, False]

@@ -130,3 +130,18 @@ def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("s", "1", None, "c", None), ("s", "2", "1", None, "c")], "submission string, id string, parent string, call_id string, ref string")
     got = {r["source_id"]: r for r in S.remap_ids(rows, ["submission"]).collect()}
     assert got["2"]["parent"] == got["1"]["id"] and got["2"]["ref"] == got["1"]["call_id"] and len(got["1"]["id"]) == 24
+
+
+def test_samples_and_headers(spark, tmp_path):
+    rows = spark.createDataFrame([(f"f{i % 4}", "x" * (10 * i)) for i in range(12)] + [("f0", "HEARTBEAT " + "y" * 30)], "file string, text string")
+    picked = S.sampled_messages(rows, "file", "text", 2, 15, 100)
+    found = picked.collect()
+    assert len({r["file"] for r in found}) == 2 and all(15 < len(r["text"]) < 100 and "HEART" not in r["text"] for r in found)
+    assert sorted(map(tuple, picked.collect())) == sorted(map(tuple, found))  # the same seed, the same sample
+    assert {len(r["opener"]) for r in S.openers(rows, "text", 30, 50).collect()} == {40, 50}
+    head = S.session_header(spark.createDataFrame([("a",)], "submission string"), "submission").orderBy("pos").collect()
+    assert [(r["pos"], r["type"], r["is_synthetic"]) for r in head] == [(-4, "session", True), (-3, "model_change", True), (-2, "thinking_level_change", True), (-1, "custom", True)]
+    (tmp_path / "d.md").write_text("abcdef")
+    assert [r["text"] for r in S.digest(spark, str(tmp_path), 4).collect()] == ["abcd"]
+    lines = spark.createDataFrame([("keep\ndo not save this\n__PII_REDACTED__",)], "c string")
+    assert lines.select(S.safe_lines(F.col("c")).alias("s")).first()["s"] == ["do not save this", "__PII_REDACTED__"]
