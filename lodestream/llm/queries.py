@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestream.llm import bpe, html_extract, langid, line_dedup, media, packing, pii, quality, simhash, suffix_dedup
+from lodestream.llm import bpe, graph_index, html_extract, langid, line_dedup, media, packing, periodic_runs, pii, quality, simhash, suffix_dedup, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,6 +88,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", _sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(periodic_runs.plant_tails(_table(spark, sf_dir, "documents")))
+    # longest first, then smallest start, then smallest period
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        _sha256(F.array_join(lines, "")).alias("runs_sha256"),
+        _sha256(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_graph_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_index.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_html": op2_html,
@@ -99,6 +124,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
+    "op13_graph_index": op13_graph_index,
 }
 
 #: Words and lines, as in the operators: DuckDB's patterns have the same classes.
