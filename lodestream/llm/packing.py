@@ -137,7 +137,7 @@ def byte_level_ranks(spec: dict) -> dict[bytes, int] | None:
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> Callable[[str], bytes]:
-    """A function from text to packed ids.
+    """A function from text to packed ids, those of the tokenizer file's library as it stands.
 
     Plain byte-level BPE runs on the rank-based library, which gives the same
     ids as the tokenizer file faster: no merge can cross a token's ends before the token is
@@ -148,21 +148,22 @@ def _encoder(path: str) -> Callable[[str], bytes]:
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
 
     def plainly(text: str) -> bytes:
         return np.array(made.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
     with open(path, encoding="utf-8") as file:
-        ranks = byte_level_ranks(json.load(file))
+        spec = json.load(file)
+    ranks = byte_level_ranks(spec)
     if ranks is None:
         return plainly
+    added = re.compile("|".join(re.escape(x["content"]) for x in spec.get("added_tokens") or []) or r"(?!)")
     import tiktoken
 
     fast = tiktoken.Encoding("own", pat_str=BYTE_LEVEL_CUT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> bytes:
-        if max(map(len, text.split()), default=0) > LONG_WORD or _LONG_SPACE.search(text):
+        if max(map(len, text.split()), default=0) > LONG_WORD or _LONG_SPACE.search(text) or added.search(text):
             return plainly(text)
         return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 

@@ -73,12 +73,12 @@ def test_packing_ids_are_the_tokenizer_s():
 
     path, r = public_tokenizers.path("byte_bpe_50k.json"), random.Random(1)
     made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
     texts = ["".join(r.choice("ab cde'st  \n\t0123.,;:éß🙂漢  ZQ<|endoftext|>") for _ in range(r.randrange(400))) for _ in range(2000)]
     texts += ["a" * n for n in range(1, 200)] + ["".join(chr(r.randrange(32, 0x2FFF)) for _ in range(60)) for _ in range(500)] + ["<|endoftext|>", " " * 600 + "x", "y" * 3000]
     encode = packing._encoder(path)
     for text, want in zip(texts, made.encode_batch(texts, add_special_tokens=False), strict=True):
         assert np.frombuffer(encode(text), "<u4").tolist() == want.ids, text
+    assert np.frombuffer(encode("<|endoftext|> a"), "<u4").tolist() == [50256, 257]
 
 
 def plain_features(payload, frame, hop, bands, reach):
