@@ -237,8 +237,11 @@ def keep_one_each(df: DataFrame, reach: int = 3, id_col: str = "doc_id", text_co
     first = rows.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "key", "n")).alias("row"))
     winners = first.join(parts, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("row").alias("row"))
     winners = cut_lineage(winners.select(F.col("row.doc_id").alias("_id"), F.col("row.key").alias("_key"), "row.n"))
-    keyed = df.select("*", F.col(id_col).cast("long").alias("_row_id"), row_key(F.col(id_col).cast("long"), F.col(text_col)).alias("_row_key"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    keyed = df.select(whole, F.col(id_col).cast("long").alias("_row_id"), row_key(F.col(id_col).cast("long"), F.col(text_col)).alias("_row_key"))
     kept = keyed.join(winners, keyed["_row_id"].eqNullSafe(winners["_id"]) & (keyed["_row_key"] == winners["_key"]), "left_semi")
     if winners.filter("n > 1").isEmpty():
-        return kept.select(*df.columns)
-    return kept.groupBy("_row_id", "_row_key").agg(F.min(F.struct(*df.columns)).alias("row")).select("row.*")
+        return kept.select("_row.*")
+    # Of rows of equal id and text the first by their columns as text stays; maps have no order of their own.
+    by = [F.col("_row").getField(c).cast("string") for c in df.columns]
+    return kept.groupBy("_row_id", "_row_key").agg(F.min_by("_row", F.struct(*by)).alias("_row")).select("_row.*")

@@ -16,3 +16,11 @@ def test_one_row_a_group_not_an_id(spark):
         assert sorted(got, key=repr) == sorted(want, key=repr)
     single = spark.createDataFrame(rows[:7], df.schema)
     assert simhash.keep_one_each(single).columns == df.columns and simhash.keep_one_each(single).count() == 7
+
+
+def test_columns_of_any_name(spark):
+    text = prose(1, 200)
+    rows = [(1, text, "x", 1, {"k": 2}, "z"), (1, text, "x", 1, {"k": 1}, "z"), (2, text, "y", 2, None, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, _row_id int, m map<string,int>, _row_key string")
+    out = simhash.keep_one_each(df)
+    assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [rows[1]]
