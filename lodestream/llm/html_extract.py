@@ -26,13 +26,13 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|itemprop|aria-hidden)(?:\s
 _SPACE = re.compile(r"\s+")
 
 # Element kinds (fixed values of HTML).
-RAW = frozenset("script style textarea title noscript iframe template svg xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript iframe template svg noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 #: Never part of the main text.
-DROPPED = RAW | frozenset("head nav footer aside form menu dialog button select input label canvas audio video embed".split())
+DROPPED = RAW | frozenset("head nav footer aside form menu button select input embed".split())
 #: An open element that the start of another one ends, and what hides it.
 CLOSES_P = BLOCKS - frozenset("option body html head".split())
 HIDES_P = ("td", "th", "table", "button", "object")
@@ -42,6 +42,8 @@ SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("tabl
 HOLDS_INLINE = ("td", "th", "table", "article", "body")
 PARAGRAPHS = frozenset("p pre blockquote td li dd section h1 h2 h3 h4 h5 h6 div article main figcaption".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Kept beside the best container if they are no lists of links.
+TEXT_SIBLINGS = HEADINGS | frozenset("p blockquote pre table ul ol dl figure".split())
 
 #: Class and id words of what is never main text.
 _UNLIKELY = re.compile(
@@ -49,25 +51,34 @@ _UNLIKELY = re.compile(
     r"footer|masthead|site-?header|page-?header|header|top-?bar|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|signup|login|popup|modal|overlay|share|sharing|social|outbrain|taboola|toolbar)(?:$|[\s_-])",
     re.I,
 )
+#: An id with one of the words above that is none of these may be an anchor of a section of the article: such a section goes only if it is mostly links.
+_NO_ANCHOR = re.compile(
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|banner|sponsor(?:ed)?|comments?|commentlist|disqus|respond|side-?bar|menu|nav(?:bar)?|breadcrumbs?|pager|pagination|"
+    r"footer|masthead|site-?header|page-?header|top-?bar|gdpr|newsletter|signup|login|popup|modal|overlay|outbrain|taboola|toolbar)(?:$|[\s_-])",
+    re.I,
+)
 #: Words that may name a part of the article too: such a part goes only if it is mostly links.
 _DOUBTFUL = re.compile(r"(?:^|[\s_-])(?:discussion|widgets?|alert|related|recommended|more-?posts|trending|popular|tags|skip|legal|copyright|disclaimer|metadata|byline)(?:$|[\s_-])", re.I)
 _LIKELY = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text|page)(?:$|[\s_-]|body|text|content)", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "hint", "dropped", "doubtful", "likely", "score")
+    __slots__ = ("tag", "parent", "children", "hint", "dropped", "doubtful", "likely", "score", "anchored")
 
-    def __init__(self, tag: str, parent: Node | None, hint: str = ""):
-        self.tag, self.parent, self.children, self.hint, self.score = tag, parent, [], hint, 0.0
+    def __init__(self, tag: str, parent: Node | None, shown: str = "", anchor: str = ""):
+        """``shown``: class, role and visibility as words; ``anchor``: the id."""
+        self.tag, self.parent, self.children, self.hint, self.score = tag, parent, [], f"{shown} {anchor}".strip(), 0.0
+        hint = self.hint
         self.likely = tag in ("article", "main") or bool(hint and _LIKELY.search(hint))
         named = bool(hint) and tag not in ("html", "body", "article", "main") and tag not in HEADINGS
         self.dropped = tag in DROPPED or bool(named and _UNLIKELY.search(hint) and not (self.likely and not re.search("comment|side|share|related|ad", hint, re.I)))
         self.doubtful = bool(named and _DOUBTFUL.search(hint))
+        self.anchored = self.dropped and tag not in DROPPED and not _UNLIKELY.search(shown) and not _NO_ANCHOR.search(anchor)
 
 
-def _hint(attributes: str) -> str:
-    """Class, id, role and visibility of an element, as words."""
-    words = []
+def _hint(attributes: str) -> tuple[str, str]:
+    """Class, role and visibility of an element, as words, and its id."""
+    words, anchor = [], ""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "style":
@@ -77,9 +88,11 @@ def _hint(attributes: str) -> str:
             words.append("overlay")
         elif name == "role":
             words.append({"navigation": "nav", "complementary": "sidebar", "contentinfo": "footer", "banner": "banner", "search": "toolbar", "alert": "alert", "dialog": "modal", "main": "main"}.get(value.lower(), ""))
-        elif name in ("class", "id"):
+        elif name == "class":
             words.append(value)
-    return " ".join(words)
+        elif name == "id":
+            anchor = value
+    return " ".join(words), anchor
 
 
 class _Path:
@@ -153,7 +166,7 @@ def parse(page: str) -> Node:
             path.close(len(path.nodes) - 1)
         now = path.nodes[-1]
         attributes = mark[4] or mark[7] or ""
-        made = Node(tag, now, _hint(attributes) if "=" in attributes or "hidden" in attributes else "")
+        made = Node(tag, now, *(_hint(attributes) if "=" in attributes or "hidden" in attributes else ()))
         now.children.append(made)
         if tag not in VOID:
             path.open(made)
@@ -161,7 +174,10 @@ def parse(page: str) -> Node:
 
 
 def _blocks(node: Node, inside: bool = False) -> list[str]:
-    """Texts of the blocks under a node, white space made one, in page order; dropped nodes left out."""
+    """Texts of the blocks under a node, white space made one, in page order; dropped nodes left out.
+
+    A header that isn't ``inside`` an article stays only if it is the text's title.
+    """
     out: list[str] = []
     run: list[str] = []
 
@@ -183,7 +199,7 @@ def _blocks(node: Node, inside: bool = False) -> list[str]:
             run.append(child)
         elif child.tag in ("br", "wbr"):
             run.append(" " if child.tag == "br" else "")
-        elif not (child.dropped or (child.tag == "header" and not inside)):
+        elif not (child.dropped or (child.tag == "header" and not inside and top.tag != "header" and (node.tag in ("html", "body") or not _titled(child)))):
             if child.tag in BLOCKS:
                 close()
             if child.tag not in VOID:
@@ -216,8 +232,34 @@ def _text_sizes(root: Node) -> dict[int, tuple[int, int]]:
     return sizes
 
 
+def _titled(header: Node) -> bool:
+    """Whether a header holds a heading and few links."""
+    text, link = _text_sizes(header)[id(header)]
+    return 4 * link < text and any(node.tag in HEADINGS for node in _walk(header))
+
+
+def _sectioned(node: Node) -> bool:
+    """Whether an element is a section, by its tag or by the heading that it starts with."""
+    first = next((c for c in node.children if not isinstance(c, str) or c.strip()), None)
+    return node.tag == "section" or isinstance(first, Node) and first.tag in HEADINGS
+
+
+def _settle_anchors(root: Node) -> None:
+    """Sections of the article whose id alone sounds like something else are kept as doubtful."""
+    stack = [(root, False)]
+    while stack:
+        node, inside = stack.pop()
+        inside = inside or node.likely
+        for child in node.children:
+            if isinstance(child, Node):
+                if child.anchored and inside and _sectioned(child):
+                    child.dropped, child.doubtful = False, True
+                stack.append((child, inside))
+
+
 def choose(root: Node) -> list[Node]:
     """The best container and the siblings kept with it, in page order; empty if the page has no text."""
+    _settle_anchors(root)
     sizes = _text_sizes(root)
     doubtful = [node for node in _walk(root) if node.doubtful and 2 * sizes[id(node)][1] > sizes[id(node)][0]]
     if doubtful:
@@ -267,7 +309,7 @@ def choose(root: Node) -> list[Node]:
             text, link = sizes[id(child)]
             density = link / text if text else 1
             alike = child.hint and child.hint == best.hint
-            if child is best or weight(child) + (0.2 * top if alike else 0) >= max(10, 0.2 * top) or (child.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") and text and density < 0.25):
+            if child is best or weight(child) + (0.2 * top if alike else 0) >= max(10, 0.2 * top) or (child.tag in TEXT_SIBLINGS and text and density < 0.25):
                 kept.append(child)
     return kept
 

@@ -66,7 +66,6 @@ def test_packing_covers_every_id_once(docs, table, none):
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
     for df in (docs, table):
         texts = [(r["doc_id"], r["text"] or "") for r in df.collect()]
         want = Counter((d, tuple(made.encode(t, add_special_tokens=False).ids) + (0,)) for d, t in texts)
@@ -132,6 +131,28 @@ def test_html_without_article():
     assert text.startswith("Paragraph 0") and text.endswith("\n\nok.") and "Side" not in text and "Home" not in text
 
 
+@pytest.mark.parametrize("name", "market-share informed-consent cookies social promotion navigation subscription legal-notice replies section-header".split())
+def test_html_sections_of_the_article(name):
+    body = "".join(f"<p>Paragraph {i}, with some words, and commas, to be scored well enough here.</p>" for i in range(3))
+    for mark in ("<section id='%s'>", "<div id='%s'>"):
+        page = f"<body><nav>Menu</nav><article>{body}{mark % name}<h2>Head</h2><p>A full sentence, of the text.</p>{'</section>' if 'section>' in mark else '</div>'}</article></body>"
+        assert html_extract.main_text(page).endswith("\n\nHead\n\nA full sentence, of the text.")
+    links = "<a href=/1>One thing here</a> <a href=/2>Another thing there</a>"
+    assert "thing" not in html_extract.main_text(f"<body><article>{body}<section id='{name}'><h2>H</h2>{links}</section></article></body>")
+    assert "Sign" not in html_extract.main_text(f"<body><article>{body}<div class='cookie-notice'>Sign here, now.</div><section id='comments'><h2>Sign</h2>, x.</section></article></body>")
+
+
+def test_html_siblings_of_the_best_container():
+    body = "".join(f"<p>Paragraph {i}, with some words, and commas, to be scored well enough here.</p>" for i in range(5))
+    page = f"<body><div id='w'><ul><li>one point</ul><h4>Low head</h4><div id='c1'>{body}</div><table><tr><td>cell</table><dl><dt>term<dd>what it is</dl><ol><li><a href=/>link</a></ol></div></body>"
+    text = html_extract.main_text(page)
+    assert text.startswith("one point\n\nLow head\n\nParagraph 0") and text.endswith("cell\n\nterm\n\nwhat it is")
+    titled = f"<body><header><h1>Site</h1></header><div class='x'><header><h1>The title</h1></header>{body}<label>seen</label></div><div class='y'><header><h1>No</h1><a href=/>links, many of them</a></header></div></body>"
+    text = html_extract.main_text(titled)
+    assert text.startswith("The title\n\nParagraph 0") and text.endswith("seen") and "Site" not in text
+    assert html_extract.main_text("<div>" + "<header>" * 4000 + "<h1>t</h1>").endswith("t")
+
+
 def test_html_rows(spark, sf, docs):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     out = {r["page_id"]: r for r in queries.op2_html(spark, sf).collect()}
