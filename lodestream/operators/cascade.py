@@ -23,15 +23,16 @@ def call_facts(calls: DataFrame, by: list[str], reads: DataFrame | None = None)
     tool, path, held = F.col("tool"), F.col("path"), F.col("held")
     payload = F.coalesce(F.nullif(F.col("content"), F.lit("")), F.col("command"), F.lit(""))
     c = calls.withColumn("tier", P.tier_of(tool)).withColumn("is_read", tool.isin(*T.READ_TOOLS)).withColumn("found", detect.matched_values(payload, held))
-    in_path = detect.matched_values(path, held)
-    c = c.withColumn("found", F.when((F.size("found") == 0) & (path != ""), in_path).otherwise(F.col("found"))).withColumn("level", detect.highest(F.col("found")))
+    c = c.withColumn("found", F.when((F.size("found") == 0) & (path != ""), detect.matched_values(path, held)).otherwise(F.col("found"))).withColumn("level", detect.highest(F.col("found")))
     # Addresses and queries of third-tier calls count too, but not above level 2 before the user brought such a value up.
-    wide = detect.matched_values(F.col("args"), held)
-    early = F.col("user_index") < F.col("intro_index")
-    wide = F.when(early & (detect.highest(wide) >= 3), F.filter(wide, lambda e: e["level"] < 3)).otherwise(wide)
-    wide_level = F.when(early & (detect.highest(detect.matched_values(F.col("args"), held)) >= 3), 2).otherwise(detect.highest(wide))
-    lifts = (F.col("tier") == 3) & (F.col("level") < 3) & (wide_level > F.col("level"))
-    c = c.withColumn("_lifts", lifts).withColumn("found", F.when(lifts, wide).otherwise(F.col("found"))).withColumn("level", F.when(F.col("_lifts"), wide_level).otherwise(F.col("level"))).drop("_lifts")
+    may_lift = (F.col("tier") == 3) & (F.col("level") < 3)
+    c = c.withColumn("_wide", F.when(may_lift, detect.matched_values(F.col("args"), held)))
+    c = c.withColumn("_early", (F.col("user_index") < F.col("intro_index")) & (detect.highest(F.col("_wide")) >= 3))
+    c = c.withColumn("_wide", F.when(F.col("_early"), F.filter("_wide", lambda e: e["level"] < 3)).otherwise(F.col("_wide")))
+    c = c.withColumn("_wide_level", F.when(F.col("_early"), 2).otherwise(detect.highest(F.col("_wide"))))
+    c = c.withColumn("_lifts", may_lift & (F.col("_wide_level") > F.col("level")))
+    c = c.withColumn("found", F.when(F.col("_lifts"), F.col("_wide")).otherwise(F.col("found"))).withColumn("level", F.when(F.col("_lifts"), F.col("_wide_level")).otherwise(F.col("level")))
+    c = c.drop("_wide", "_wide_level", "_early", "_lifts")
     said = lambda text: F.exists("found", lambda e: (e["level"] >= 3) & X.has_entity(text, e["text"], e["level"]))
     approved = P.is_approval_reply(F.col("current_user")) & P.asks_permission(F.col("asked_before"))
     whole_turn = F.array_join(F.collect_list("args").over(Window.partitionBy(*by, "turn")), " ")
@@ -62,18 +63,22 @@ def call_facts(calls: DataFrame, by: list[str], reads: DataFrame | None = None)
 def own_action(has_lower: Column | None = None) -> Column:
     """The action of a call as far as it does not hang on consents: 'skip' for those that decide nothing, 'ask' where consent is the matter,
     'gate?' where a value of level 3 needs to be given now or through a consent just asked for."""
-    level, mem = F.col("level"), F.col("is_mem")
-    needs_source = (level >= 3) & ~mem & ~F.col("given_now")
+    needs_source = (F.col("level") >= 3) & ~F.col("is_mem") & ~F.col("given_now")
     stale = needs_source & ~(F.col("approved") & F.col("given_before"))
+    return F.when(F.col("is_read"), "skip").when(stale & F.col("given_before"), "gate?").when(stale, "elicit").otherwise(sourced_action(has_lower))
+
+
+def sourced_action(has_lower: Column | None = None) -> Column:
+    """The action of a writing call whose values have their source: downgrade, then the band, then what lies outside it."""
+    level = F.col("level")
     lower = F.lit(False) if has_lower is None else has_lower
-    kept = mem | F.col("is_profile")
+    kept = F.col("is_mem") | F.col("is_profile")
     within = F.when(
         (level >= 2) & (F.size("found") > 0),
         F.when(F.col("writes_l3") & kept & ~F.col("encrypted"), "hard_deny").when(kept & ~F.col("save_asked"), "suppress").otherwise("minimize"),
     ).otherwise("skip")
     later = F.when(F.col("later_reads").between(3, 4), "vault_redirect").otherwise("hard_deny")
-    rest = F.when((level >= 2) & lower, "downgrade").when(F.col("reason") == "", within).when(F.col("reason") == "local_write_above_band", later).otherwise("ask")
-    return F.when(F.col("is_read"), "skip").when(stale & F.col("given_before"), "gate?").when(stale, "elicit").otherwise(rest)
+    return F.when((level >= 2) & lower, "downgrade").when(F.col("reason") == "", within).when(F.col("reason") == "local_write_above_band", later).otherwise("ask")
 
 
 def decide(facts: DataFrame, by: list[str], has_lower: Column | None = None) -> DataFrame:
@@ -83,8 +88,7 @@ def decide(facts: DataFrame, by: list[str], has_lower: Column | None = None) ->
     distinct keys).  Of a turn's calls the strongest action wins, the first of
     equal ones; a denied local write or its redirection decides at once.
     """
-    again = F.when(F.col("reason") == "", "skip").otherwise("ask")
-    rest = facts.withColumn("own", own_action(has_lower)).withColumn("bridged", F.when(F.col("own") == "gate?", again))
+    rest = facts.withColumn("own", own_action(has_lower)).withColumn("bridged", F.when(F.col("own") == "gate?", sourced_action(has_lower)))
     last = F.row_number().over(Window.partitionBy(*by, "turn").orderBy(F.desc("slot"))) == 1
     rows = rest.withColumn("is_last", last).select(
         *by, "turn", "slot", "tool", "tier", "level", "own", "bridged", "reason", "approved", "consent_key", "target", "is_last", "is_read", "expected"

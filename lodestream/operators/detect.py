@@ -7,6 +7,7 @@ row of a text and a value ever forms unless the value is found.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,12 +19,19 @@ from lodestream.functions import text as X
 
 
 def held_by(entities: DataFrame, by: list[str], name: str = "held") -> DataFrame:
-    """One row per stream with its values as an array, in their order."""
-    return entities.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("number", "text", "label", "level"))).alias(name))
+    """One row per stream with its values as an array, in their order; each with its lower-cased form and its fragments."""
+    listed = entities.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("number", "text", "label", "level"))).alias(name))
+    full = lambda e: F.struct(e["number"].alias("number"), e["text"].alias("text"), e["label"].alias("label"), e["level"].alias("level"), F.lower(e["text"]).alias("low"), X.fragments(e["text"]).alias("parts"))
+    return listed.withColumn(name, F.transform(name, full))
 
 
 def no_values() -> Column:
-    return F.array().cast("array<struct<number:int,text:string,label:string,level:int>>")
+    return F.array().cast("array<struct<number:int,text:string,label:string,level:int,low:string,parts:array<string>>>")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def occurrences(text: Column, value: Column) -> Column:
@@ -52,20 +60,21 @@ def matched_values(content: Column, held: Column) -> Column:
     found, all values of the first domain (health, government, finance) that
     has such values and of which a keyword stands in it.
     """
-    low = F.lower(F.coalesce(content, F.lit("")))
-    exact = lambda e: low.contains(F.lower(e["text"]))
-
-    def loose(e: Column) -> Column:
-        parts = X.fragments(e["text"])
-        hits = F.size(F.filter(parts, lambda w: low.contains(w)))
-        return (e["level"] >= 3) & ((hits >= 2) | ((F.size(parts) == 1) & (hits == 1)))
-
-    found = F.filter(held, lambda e: exact(e) | loose(e))
     domain = reduce(
         lambda chain, d: chain.when(P.any_of(content, T.DOMAIN_WORDS[d]) & F.exists(held, lambda e: (e["level"] >= 3) & e["label"].startswith(d)), F.lit(d)), T.DOMAIN_WORDS, F.when(F.lit(False), F.lit(""))
     )
-    more = F.filter(held, lambda e: (e["level"] >= 3) & F.coalesce(e["label"].startswith(domain), F.lit(False)) & ~exact(e) & ~loose(e))
-    return F.when(F.exists(found, lambda e: e["level"] >= 3), found).otherwise(F.concat(found, more))
+
+    def stands(low: Column, e: Column) -> Column:
+        hits = F.size(F.filter(e["parts"], lambda w: low.contains(w)))
+        return low.contains(e["low"]) | ((e["level"] >= 3) & ((hits >= 2) | ((F.size(e["parts"]) == 1) & (hits == 1))))
+
+    def settle(marks: Column) -> Column:
+        found = F.filter(held, lambda e, i: marks[i])
+        of_domain = lambda d: F.filter(held, lambda e, i: ~marks[i] & (e["level"] >= 3) & F.coalesce(e["label"].startswith(d), F.lit(False)))
+        return F.when(F.exists(found, lambda e: e["level"] >= 3), found).otherwise(F.concat(found, let(domain, of_domain)))
+
+    marked = let(F.lower(F.coalesce(content, F.lit(""))), lambda low: F.transform(held, lambda e: F.coalesce(stands(low, e), F.lit(False))))
+    return let(marked, settle)
 
 
 def highest(found: Column) -> Column:

@@ -26,10 +26,20 @@ def decision_points(calls: DataFrame, by: list[str], order: str, least: float =
     return c.filter(F.col("criticality") >= least).withColumn("rank", n.cast("long"))
 
 
-def recent_messages(rows: DataFrame, by: list[str], order: str, n: int = 2, most: int = 300) -> Column:
-    """The last n user texts so far, each cut, as an array."""
-    said = F.collect_list(F.when(F.col("role") == "user", F.substring("text", 1, most))).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return F.slice(said, F.greatest(F.size(said) - n + 1, F.lit(1)), n)
+def recent_messages(rows: DataFrame, by: list[str], order: str, name: str, n: int = 2, most: int = 300) -> DataFrame:
+    """``rows`` with the last n user texts up to each row, each cut, as an array.
+
+    The texts go from user row to user row, one further at a time, so a row
+    holds n of them at most, however long its stream is.
+    """
+    w = Window.partitionBy(*by).orderBy(order)
+    out = rows.withColumn("_said1", F.when(F.col("role") == "user", F.substring("text", 1, most)))
+    for k in range(2, n + 1):
+        before = F.last(f"_said{k - 1}", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        out = out.withColumn(f"_said{k}", F.when(F.col("_said1").isNotNull(), before))
+    said = F.when(F.col("_said1").isNotNull(), F.array_compact(F.array(*[F.col(f"_said{k}") for k in range(n, 0, -1)])))
+    held = F.last(said, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return out.withColumn(name, F.coalesce(held, F.array().cast("array<string>"))).drop(*[f"_said{k}" for k in range(1, n + 1)])
 
 
 def template_key(tool: Column, args: Column, known: list[str], default: str = "exec") -> Column:

@@ -37,17 +37,61 @@ def _outside_recipients(arguments: Column, skill: Column, domain: str = "@corp.c
     return F.when((skill == "enterprise-mail") & outside, "external recipient")
 
 
-def consumed_fields(result: Column, later: Column) -> Column:
-    """Top-level fields of a JSON result whose values stand in later text, whole words; null if the result is no object."""
-    fields = F.from_json(F.to_json(F.try_parse_json(result)), "map<string,string>")
-    found = F.filter(F.map_entries(fields), lambda f: X.is_real_value(f["value"]) & X.word_bounded(later, f["value"]))
-    return F.when(F.schema_of_variant(F.try_parse_json(result)).startswith("OBJECT"), F.array_sort(F.transform(found, lambda f: f["key"])))
+def result_fields(result: Column) -> Column:
+    """Fields of a JSON result with their plain values (of a list all its plain items) that mean something when they occur again.
+
+    An array of structs field, value; null if the result is no object.
+    """
+    parsed = F.try_parse_json(result)
+
+    def plain(value: Column) -> Column:
+        """The value as text; null for booleans, 0 and 1 (which say as little), lists and objects."""
+        text, kind = F.try_variant_get(value, "$", "string"), F.schema_of_variant(value)
+        number = F.try_variant_get(value, "$", "double")
+        said = F.when(kind.startswith("ARRAY") | kind.startswith("OBJECT") | kind.isin("BOOLEAN", "VOID"), F.lit(None)).when(kind == "STRING", text).when(~number.isin(0.0, 1.0), text)
+        return F.when(X.is_real_value(said), said)
+
+    def of(entry: Column) -> Column:
+        items = F.when(F.schema_of_variant(entry["value"]).startswith("ARRAY"), F.try_variant_get(entry["value"], "$", "array<variant>")).otherwise(F.array(entry["value"]))
+        return F.transform(F.array_distinct(F.array_compact(F.transform(items, plain))), lambda v: F.struct(entry["key"].alias("field"), v.alias("value")))
+
+    fields = F.flatten(F.transform(F.map_entries(F.try_variant_get(parsed, "$", "map<string,variant>")), of))
+    return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), fields)
 
 
-def later_texts(rows: DataFrame, by: list[str], order: str, text: str, name: str = "later", most: int = 200) -> DataFrame:
-    """Each row with the texts behind it (the next ``most`` rows), joined by line ends."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(1, most)
-    return rows.withColumn(name, F.array_join(F.collect_list(text).over(w), "\n"))
+TOKEN = r"[A-Za-z0-9_]+"
+
+
+def last_mentions(values: DataFrame, texts: DataFrame, by: list[str], order: str) -> DataFrame:
+    """by, value, last: where each value last stands in its stream's texts, bounded by other than word characters.
+
+    ``values``: by, value, distinct; ``texts``: by, order, text.  An inverted
+    index of the texts' tokens is joined with one token of each value, the
+    longest.  Where that token is the whole value, the index tells; otherwise the texts that hold
+    it are looked at.  Values without a token meet all texts of their stream.
+    """
+    tokens = F.regexp_extract_all("value", F.lit(TOKEN), 0)
+    longest = F.array_max(F.transform(tokens, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
+    anchored = values.withColumn("_anchor", F.coalesce(longest, F.lit("")))
+    index = texts.select(*by, order, F.explode(F.array_append(F.array_distinct(F.regexp_extract_all("text", F.lit(TOKEN), 0)), F.lit(""))).alias("_anchor"))
+    met = anchored.join(index, [*by, "_anchor"])
+    whole = F.col("_anchor") == F.col("value")
+    sure = met.filter(whole).groupBy(*by, "value").agg(F.max(order).alias("last"))
+    looked = met.filter(~whole).select(*by, order, "value").join(texts.select(*by, order, "text"), [*by, order]).filter(X.word_bounded(F.col("text"), F.col("value")))
+    return sure.unionByName(looked.groupBy(*by, "value").agg(F.max(order).alias("last")))
+
+
+def consumed_fields(results: DataFrame, texts: DataFrame, by: list[str], order: str) -> DataFrame:
+    """by, order, consumed: of each JSON object in ``results`` the fields that any later text of the stream takes up, sorted.
+
+    Both have by, order and text; ``order`` names a row of a stream.  All later texts count, however far
+    behind; no text is carried to a row.  Results that are no objects give no row.
+    """
+    fields = results.select(*by, order, result_fields(F.col("text")).alias("_fields")).filter("_fields IS NOT NULL")
+    each = fields.select(*by, order, F.explode("_fields").alias("f")).select(*by, order, "f.field", "f.value")
+    last = last_mentions(each.select(*by, "value").distinct(), texts, by, order)
+    used = each.join(last, [*by, "value"]).filter(F.col("last") > F.col(order)).groupBy(*by, order).agg(F.array_sort(F.collect_set("field")).alias("consumed"))
+    return fields.select(*by, order).join(used, [*by, order], "left").withColumn("consumed", F.coalesce("consumed", F.array().cast("array<string>")))
 
 
 def alternatives(calls: DataFrame, catalog: DataFrame, key: list[str]) -> DataFrame:

@@ -62,7 +62,7 @@ def shifted_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream(spark, sf_dir)
-    rows = rows.withColumn("context", preferences.recent_messages(rows, _BY, "pos"))
+    rows = preferences.recent_messages(rows, _BY, "pos", "context")
     return rows.filter("has_call").withColumn("tier", P.tier_of(F.col("tool"))).withColumn("acted", F.col("declared"))
 
 
@@ -111,9 +111,28 @@ def _catalog(spark: SparkSession) -> DataFrame:
 
 
 def consumed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields of JSON results that the next texts of the stream take up."""
-    rows = substitution.later_texts(stream(spark, sf_dir), _BY, "pos", "text", most=40)
-    return rows.select("event_id", F.array_join(substitution.consumed_fields(F.col("text"), F.col("later")), ",").alias("consumed")).filter("consumed IS NOT NULL")
+    """Fields of JSON results that any later text of the stream takes up."""
+    rows = stream(spark, sf_dir).select("submission", "pos", "text")
+    found = substitution.consumed_fields(rows, rows, _BY, "pos")
+    return found.select("submission", "pos", F.array_join("consumed", ",").alias("consumed"))
+
+
+def _event_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of six fields by event: plain values, a list, a phrase, and values that say nothing."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    number = F.get_json_object("props", "$.k")
+    made = F.format_string(
+        '{"k": %s, "kind": "%s", "pair": ["x", "%s-%s"], "phrase": "seen %s (%s)", "flag": true, "inner": {"k": %s}, "one": 1}', number, "event_type", number, "user_id", number, "event_type", number
+    )
+    told = F.concat_ws(" ", F.lit("then"), number.cast("long") + F.when(F.col("event_id") % 3 == 0, 0).otherwise(1), F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("seen "), number, F.lit(" ("), F.col("event_type"), F.lit(")"))), F.when(F.col("event_id") % 5 == 0, F.concat(number, F.lit("-"), "user_id")))
+    return events.select(F.col("user_id").alias("submission"), F.col("event_id").alias("pos"), made.alias("text"), told.alias("told"))
+
+
+def recurring_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of results made of ``events`` that later texts of the same user take up: numbers, list items and phrases."""
+    rows = _event_results(spark, sf_dir)
+    found = substitution.consumed_fields(rows, rows.select("submission", "pos", F.col("told").alias("text")), _BY, "pos")
+    return found.select("submission", "pos", F.array_join("consumed", ",").alias("consumed"))
 
 
 def _substitutable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +192,7 @@ def write_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FUNCTIONS = (
-    edited_calls, shifted_edits, decision_points, rejected_alternatives, single_pairs, turn_pairs, pair_report, failure_histogram, consumed_fields, lower_tier_tools, drop_in_tools, skill_index, remapped_arguments, time_scalars,
+    edited_calls, shifted_edits, decision_points, rejected_alternatives, single_pairs, turn_pairs, pair_report, failure_histogram, consumed_fields, recurring_values, lower_tier_tools, drop_in_tools, skill_index, remapped_arguments, time_scalars,
     score_scalars, write_payloads,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
@@ -222,8 +241,14 @@ ORACLE_SQL = {
     "pair_report": f"""SELECT submission, count(*) AS n, round_even(avg(reward), 6) AS mean_reward, count(*) FILTER (mode NOT IN ('over_refusal', 'hallucination')) AS n_violations, round_even(count(*) FILTER (mode = 'over_refusal') / count(*), 6) AS refusal_share,
       count(*) FILTER (mode = 'over_refusal') / count(*) >= 0.2 AS refusals_suffice FROM {_REJECTED} GROUP BY submission""",
     "failure_histogram": f"SELECT mode, severity, count(*) AS n FROM {_REJECTED} GROUP BY ALL",
-    "consumed_fields": rf"""SELECT event_id, array_to_string(list_sort(list_filter(['name', 'id', 'state'], lambda k: CASE k WHEN 'name' THEN regexp_matches(later, '(^|[^A-Za-z0-9_])report([^A-Za-z0-9_]|$)') WHEN 'id' THEN regexp_matches(later, '(^|[^A-Za-z0-9_])77([^A-Za-z0-9_]|$)') ELSE false END)), ',') AS consumed FROM (
-      SELECT *, coalesce(string_agg(text, chr(10)) OVER (PARTITION BY submission ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 40 FOLLOWING), '') AS later FROM {STREAM_SQL}) WHERE starts_with(text, '{{')""",
+    "consumed_fields": rf"""SELECT submission, pos, array_to_string(list_sort(list_filter(['name', 'id', 'state'], lambda k: CASE k WHEN 'name' THEN regexp_matches(later, '(^|[^A-Za-z0-9_])report([^A-Za-z0-9_]|$)') WHEN 'id' THEN regexp_matches(later, '(^|[^A-Za-z0-9_])77([^A-Za-z0-9_]|$)') ELSE false END)), ',') AS consumed FROM (
+      SELECT *, coalesce(string_agg(text, chr(10)) OVER (PARTITION BY submission ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS later FROM {STREAM_SQL}) WHERE starts_with(text, '{{')""",
+    "recurring_values": rf"""WITH r AS (SELECT user_id AS submission, event_id AS pos, event_type AS kind, props ->> '$.k' AS k FROM events
+    ), t AS (SELECT submission, pos, ' then ' || (k::BIGINT + CASE WHEN pos % 3 = 0 THEN 0 ELSE 1 END) || CASE WHEN pos % 7 = 0 THEN ' seen ' || k || ' (' || kind || ')' ELSE '' END || CASE WHEN pos % 5 = 0 THEN ' ' || k || '-' || submission ELSE '' END || ' ' AS told FROM r
+    ), f AS (SELECT submission, pos, 'k' AS field, k AS value FROM r WHERE length(k) > 1 UNION ALL SELECT submission, pos, 'kind', kind FROM r WHERE kind <> 'error'
+      UNION ALL SELECT submission, pos, 'pair', k || '-' || submission FROM r UNION ALL SELECT submission, pos, 'phrase', 'seen ' || k || ' (' || kind || ')' FROM r
+    ), used AS (SELECT DISTINCT f.submission, f.pos, field FROM f JOIN t ON t.submission = f.submission AND t.pos > f.pos AND regexp_matches(told, '[^A-Za-z0-9_]' || regexp_escape(value) || '[^A-Za-z0-9_]'))
+    SELECT r.submission, r.pos, coalesce(string_agg(field, ',' ORDER BY field), '') AS consumed FROM r LEFT JOIN used USING (submission, pos) GROUP BY r.submission, r.pos""",
     "lower_tier_tools": f"SELECT * FROM {_SUBST}",
     "drop_in_tools": f"SELECT event_id, arg_min(alt_tool, place) AS alt_tool, arg_min(alt_tier, place) AS alt_tier, arg_min(capability, place) AS capability FROM {_SUBST} WHERE verdict = 'drop-in' GROUP BY event_id",
     "skill_index": f"SELECT skill, string_agg(DISTINCT capability, ',' ORDER BY capability) AS capabilities FROM {_CATALOG} GROUP BY skill",

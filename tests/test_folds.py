@@ -3,9 +3,10 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodestream.functions import terms as T
-from lodestream.operators import cascade, policy
+from lodestream.operators import cascade, policy, preferences, substitution
 from lodestream.plans import detection, event_streams, quality_gates, training_pairs
 from lodestream.plans.stream import stream
 
@@ -53,23 +54,33 @@ def test_recent_copies(spark, sf):
 
 
 def test_cascade(spark, sf):
-    """The walk over facts, again as a plain loop in the order of the rules."""
-    facts = detection.cascade_calls(spark, sf).withColumn("own", cascade.own_action()).collect()
+    """Decisions over facts, again as a plain loop: each rule in turn, with the source of values first."""
+    facts = detection.cascade_calls(spark, sf).collect()
     got = {(r["submission"], r["turn"]): r["action"] for r in detection.cascade_decisions(spark, sf).collect()}
     seen = Counter()
     for sub, rows in by_stream(facts, "turn").items():
         consents, asked = [], None
         for r in rows:
-            action = r["own"]
-            if action == "gate?":
-                action = ("ask" if r["reason"] else "skip") if asked == r["turn"] - 1 else "elicit"
             gate = False
-            if action == "ask":
-                if r["approved"] or covers(consents, r["consent_key"]):
-                    action = "allow" if r["tier"] == 3 and r["tool"] in ("browser", "agent-browser", "web_fetch") else "minimize"
+            kept_place = r["is_mem"] or r["is_profile"]
+            sourced = r["is_mem"] or r["given_now"] or r["given_before"] and (r["approved"] or asked == r["turn"] - 1)
+            if r["is_read"]:
+                action = "allow"
+            elif r["level"] >= 3 and not sourced:
+                action = "elicit"
+            elif r["reason"] == "":
+                if r["level"] < 2 or not r["found"]:
+                    action = "allow"
+                elif r["writes_l3"] and kept_place and not r["encrypted"]:
+                    action = "hard_deny"
                 else:
-                    action, gate = "consent_gate", True
-            action = "allow" if action == "skip" else action
+                    action = "suppress" if kept_place and not r["save_asked"] else "minimize"
+            elif r["reason"] == "local_write_above_band":
+                action = "vault_redirect" if r["later_reads"] in (3, 4) else "hard_deny"
+            elif r["approved"] or covers(consents, r["consent_key"]):
+                action = "allow" if r["tier"] == 3 and r["tool"] in ("browser", "agent-browser", "web_fetch") else "minimize"
+            else:
+                action, gate = "consent_gate", True
             seen[action] += 1
             assert got[sub, r["turn"]] == action, r
             if gate:
@@ -78,7 +89,7 @@ def test_cascade(spark, sf):
     assert {"allow", "consent_gate", "hard_deny", "minimize"} <= set(seen)
 
 
-SCHEMA = "submission long, turn long, slot int, tool string, tier int, level int, own string, reason string, approved boolean, consent_key string, target string, is_read boolean, expected string"
+SCHEMA = "submission long, turn long, slot int, tool string, tier int, level int, own string, reason string, approved boolean, consent_key string, target string, is_read boolean, expected string, later_reads long"
 
 
 @pytest.mark.parametrize(
@@ -94,22 +105,65 @@ SCHEMA = "submission long, turn long, slot int, tool string, tier int, level int
         ([(0, 0, "web_search", 3, 2, "ask", "missing_authorization"), (1, 0, "browser", 3, 2, "ask", "missing_authorization")], ["consent_gate:0", "consent_gate:0"]),
         # A value given before is bridged only by a consent asked for in the turn before.
         ([(0, 0, "browser", 3, 3, "ask", "missing_authorization"), (1, 0, "web_fetch", 3, 3, "gate?", "missing_authorization"), (3, 0, "web_fetch", 3, 3, "gate?", "missing_authorization")], ["consent_gate:0", "allow:-1", "elicit:0"]),
+        # A bridged value goes through the rest of the rules: in a plaintext local write it is denied all the same, or goes to the vault.
+        ([(0, 0, "browser", 3, 3, "ask", "missing_authorization"), (1, 0, "write", 1, 3, "gate?", "local_write_above_band")], ["consent_gate:0", "hard_deny:0"]),
+        ([(0, 0, "browser", 3, 3, "ask", "missing_authorization"), (1, 0, "write", 1, 3, "gate?", "local_write_above_band", 3)], ["consent_gate:0", "vault_redirect:0"]),
+        ([(0, 0, "write", 1, 3, "gate?", "local_write_above_band")], ["elicit:0"]),
         # Reads decide nothing.
         ([(0, 0, "read", 1, 3, "skip", "")], ["allow:-1"]),
     ],
 )
 def test_turns(spark, calls, want):
-    rows = [(1, t, s, tool, tier, level, own, reason, False, tool, tool, own == "skip", "") for t, s, tool, tier, level, own, reason in calls]
+    rows = [(1, t, s, tool, tier, level, own, reason, False, tool, tool, own == "skip", "", reads[0] if reads else 0) for t, s, tool, tier, level, own, reason, *reads in calls]
     facts = spark.createDataFrame(rows, SCHEMA)
+    facts = facts.withColumns({x: F.lit(False) for x in ("is_mem", "is_profile", "writes_l3", "encrypted", "save_asked")}).withColumn("found", F.array(F.lit(1)))
     from unittest import mock
 
-    from pyspark.sql import functions as F
-
     with mock.patch.object(cascade, "own_action", lambda _=None: F.col("own")):
         got = cascade.decide(facts, ["submission"]).orderBy("turn").collect()
     assert [f"{r['action']}:{r['slot']}" for r in got] == want
 
 
+@pytest.mark.parametrize(
+    "expected, tool, tier, level, target, want",
+    [
+        ("hard_deny", "browser", 3, 3, "/w/memory/today.md", "hard_deny"),
+        ("hard_deny", "browser", 3, 3, "/w/notes.txt", "allow"),
+        ("hard_deny", "browser", 3, 2, "/w/memory/today.md", "allow"),
+        ("consent_gate", "browser", 3, 2, "other", "consent_gate"),
+        ("consent_gate", "browser", 3, 1, "other", "allow"),
+        ("consent_gate", "browser", 2, 2, "other", "allow"),
+        ("", "browser", 3, 3, "/w/memory/today.md", "allow"),
+    ],
+)
+def test_expected_actions(spark, expected, tool, tier, level, target, want):
+    """What a task expects lifts a turn that would be allowed: a consent given lets the call pass, the task says otherwise."""
+    rows = [(1, 0, 0, tool, tier, level, "downgrade", "", False, tool, target, False, expected, 0)]
+    from unittest import mock
+
+    with mock.patch.object(cascade, "own_action", lambda _=None: F.col("own")), mock.patch.object(cascade, "sourced_action", lambda _=None: F.col("own")):
+        assert [r["action"] for r in cascade.decide(spark.createDataFrame(rows, SCHEMA), ["submission"]).collect()] == [want]
+
+
+def test_recent_messages(spark):
+    rows = [(1, i, "user" if i % 3 else "assistant", None if i == 7 else f"t{i}" * 200) for i in range(1, 12)] + [(2, 1, "assistant", "x"), (None, 1, "user", "y")]
+    df = spark.createDataFrame(rows, "submission long, pos long, role string, text string")
+    for n in (1, 2, 4):
+        got = {(r["submission"], r["pos"]): list(r["said"]) for r in preferences.recent_messages(df, ["submission"], "pos", "said", n, 9).collect()}
+        want = {(s, p): [t[:9] for s2, p2, r, t in rows if s2 == s and p2 <= p and r == "user" and t is not None][-n:] for s, p, _, _ in rows}
+        assert got == want
+
+
+def test_values_recur_far_behind(spark):
+    """A value 10 000 rows later is found; booleans, 0, 1, objects and common words are no values."""
+    result = '{"code": "AB-77", "n": 42, "half": 2.5, "list": ["zz", "ref 9"], "flag": true, "one": 1, "inner": {"v": "AB-77"}, "state": "open", "dots": "...", "none": null}'
+    rows = [(1, 0, result), (1, 1, "not json"), (1, 2, "[1]"), (1, 3, '{"x": "AB-77"}'), (2, 0, result), (2, 1, "xAB-77 AB-770 142 12.5 ref 9a"), (3, 5, None), (3, 6, "{}")]
+    rows += [(1, i, "word " * 3) for i in range(4, 10_000)] + [(1, 10_000, "so (AB-77), 42. 2.5 and ref 9 true 1 open ...")]
+    df = spark.createDataFrame(rows, "submission long, pos long, text string")
+    got = {(r["submission"], r["pos"]): list(r["consumed"]) for r in substitution.consumed_fields(df, df, ["submission"], "pos").collect()}
+    assert got == {(1, 0): ["code", "dots", "half", "list", "n"], (1, 3): ["x"], (2, 0): [], (3, 6): []}
+
+
 def test_bands():
     assert policy.FREE_BAND == {(1, False): 4, (1, True): 2, (2, False): 2, (2, True): 2, (3, False): 1, (3, True): 1}
 
