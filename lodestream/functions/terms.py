@@ -231,3 +231,16 @@ REWARD_RANGES = {
 SCENARIO_OF = {
     "hard_deny": "D", "consent_gate": "F", "consent_granted": "F", "adversarial_refusal": "A", "minimize": "C", "local_first": "E", "vault_redirect": "D", "elicit": "E", "suppress": "C",
 }
+
+# What stands for a value of a label: whether the label is a prefix, the word, whether case matters not
+PLACEHOLDERS = {
+    "ID_FULL_NAME": (False, "the user", True),
+    "ID_EMAIL": (False, "[email]", True),
+    "ID_PHONE": (False, "[phone]", False),
+    "HEALTH": (True, "[health info]", True),
+    "ID_SSN": (False, "[REDACTED]", False),
+    "ID_GOV": (False, "[REDACTED]", False),
+    "EMP_": (True, "[work info]", True),
+}
+ANY_MAIL = r"[\w.+-]+@[\w-]+\.[\w.-]+"
+ANY_PHONE = r"\+?\d[\d\s\-]{8,}\d"
