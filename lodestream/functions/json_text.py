@@ -46,3 +46,16 @@ def transform_strings(json: Column, value: Callable[[Column], Column], key: Call
         return F.concat(F.array_join(F.transform(found, at), ""), F.element_at(parts, -1))
 
     return F.when(F.try_parse_json(json).isNotNull(), F.transform(F.array(gaps), one)[0]).otherwise(value(json))
+
+
+def keys_of(json: Column) -> Column:
+    """The keys of a JSON text at every depth, in their order; null if it is no JSON."""
+    gaps, found = F.split(json, LITERAL, -1), F.regexp_extract_all(json, F.lit(LITERAL), 0)
+    listed = F.transform(F.array(gaps), lambda parts: F.transform(F.filter(found, lambda x, i: parts[i + 1].rlike(r"^\s*:")), unquote))[0]
+    return F.when(F.try_parse_json(json).isNotNull(), listed)
+
+
+def string_at(value: Column, path: str) -> Column:
+    """The string at a path of a variant; null if another kind stands there."""
+    part = F.try_variant_get(value, path, "variant")
+    return F.when(F.schema_of_variant(part) == "STRING", F.try_variant_get(value, path, "string"))

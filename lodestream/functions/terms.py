@@ -244,3 +244,5 @@ PLACEHOLDERS = {
 }
 ANY_MAIL = r"[\w.+-]+@[\w-]+\.[\w.-]+"
 ANY_PHONE = r"\+?\d[\d\s\-]{8,}\d"
+# Keys that only the making of a record needs
+CONSTRUCTION_KEYS = ("is_adversarial", "attack_type", "is_synthetic", "_synthetic")

@@ -41,22 +41,37 @@ def repair_parents(df: DataFrame, by: list[str], order: str, id_col: str = "id",
     return marked.withColumn(parent_col, F.when(F.col("_valid"), F.col(parent_col)).otherwise(previous)).drop("_valid")
 
 
-def _follow(links: DataFrame, checkpoint: Callable[[DataFrame], DataFrame], max_rounds: int = 40) -> DataFrame:
-    """Pointer doubling: links (by.., node, to) until no ``to`` is a node of the links itself."""
+def follow_links(links: DataFrame, checkpoint: Callable[[DataFrame], DataFrame], max_rounds: int = 64) -> DataFrame:
+    """Pointer doubling: links (by.., node, to) until no ``to`` is a node of the links itself; adds ``cyclic``.
+
+    After k rounds a link spans 2^k steps.  Once that is more than a stream has
+    links, what still meets a node goes around or into a cycle: its ``to`` is null and ``cyclic`` is true.
+    Other links of the stream are as they would be without the cycle.
+    """
     keys = [c for c in links.columns if c not in ("node", "to")]
+    longest = links.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    links, span = links.withColumn("cyclic", F.lit(False)), 1
     for _ in range(max_rounds):
         nxt = links.select(*keys, F.col("node").alias("to"), F.col("to").alias("_further"), F.lit(True).alias("_hit"))
-        jumped = checkpoint(links.join(nxt, [*keys, "to"], "left").select(*keys, "node", F.when(F.col("_hit"), F.col("_further")).otherwise(F.col("to")).alias("to"), F.coalesce("_hit", F.lit(False)).alias("_hit")))
-        links = jumped.drop("_hit")
+        jumped = checkpoint(links.join(nxt, [*keys, "to"], "left").select(*keys, "node", F.when(F.col("_hit"), F.col("_further")).otherwise(F.col("to")).alias("to"), "cyclic", F.coalesce("_hit", F.lit(False)).alias("_hit")))
+        links, span = jumped.drop("_hit"), 2 * span
         if jumped.filter("_hit").isEmpty():
             return links
-    raise ValueError("the links hold a cycle")
+        if span > 2 * longest:
+            return jumped.select(*keys, "node", F.when(~F.col("_hit"), F.col("to")).alias("to"), F.col("_hit").alias("cyclic"))
+    raise ValueError("longer chains than 2 to the number of rounds")
+
+
+def cyclic_streams(df: DataFrame, by: list[str], checkpoint: Callable[[DataFrame], DataFrame], id_col: str = "id", parent_col: str = "parent") -> DataFrame:
+    """The keys of the streams whose parents lead around in a circle; of rows of one id the first by parent counts."""
+    links = df.filter(f"{id_col} <> '' AND {parent_col} IS NOT NULL").groupBy(*by, F.col(id_col).alias("node")).agg(F.min(parent_col).alias("to"))
+    return follow_links(links, checkpoint).filter("cyclic").select(*by).distinct()
 
 
 def drop_stubs(df: DataFrame, by: list[str], order: str, is_stub: Column, checkpoint: Callable[[DataFrame], DataFrame], id_col: str = "id", parent_col: str = "parent") -> DataFrame:
-    """Rows that are stubs go; their children hang on the nearest ancestor that is none, over chains of stubs too."""
+    """Rows that are stubs go; their children hang on the nearest ancestor that is none, over chains of stubs too (on none where the stubs hang on each other in a circle)."""
     stubs = df.filter(is_stub & (F.col(id_col) != "")).select(*by, F.col(id_col).alias("node"), F.col(parent_col).alias("to")).dropDuplicates([*by, "node"])
-    ends = _follow(stubs, checkpoint).select(*by, F.col("node").alias("_node"), F.col("to").alias("_to"), F.lit(True).alias("_moved"))
+    ends = follow_links(stubs, checkpoint).select(*by, F.col("node").alias("_node"), F.col("to").alias("_to"), F.lit(True).alias("_moved"))
     kept = df.filter(~(is_stub & (F.col(id_col) != "")))
     joined = kept.join(ends, [*[kept[b] == ends[b] for b in by], kept[parent_col] == ends["_node"]], "left")
     return joined.select(*[kept[c] if c != parent_col else F.when(F.col("_moved"), F.col("_to")).otherwise(kept[c]).alias(c) for c in df.columns])
@@ -115,6 +130,22 @@ def collapse_runs(df: DataFrame, by: list[str], order: str, mergeable: Column, b
     return kept.unionByName(others)
 
 
+def normalise(df: DataFrame, by: list[str], order: str, checkpoint: Callable[[DataFrame], DataFrame], boilerplate: Callable[[Column], Column]) -> DataFrame:
+    """The active branch without stubs and orphaned results, text-only answers in a row made one, parents put right.
+
+    ``df``: by, order, id, parent, role, text, has_call, call_id, ref and others.  Adds
+    ``cyclic``: the stream's parents led around in a circle as it came; its rows are
+    put right like all others, so one bad stream never ends the query.
+    """
+    marked = df.join(cyclic_streams(df, by, checkpoint).withColumn("cyclic", F.lit(True)), by, "left").withColumn("cyclic", F.coalesce("cyclic", F.lit(False)))
+    rows = checkpoint(active_branch(marked, by, order, checkpoint))
+    answer = F.col("role") == "assistant"
+    rows = drop_stubs(rows, by, order, answer & ~F.col("has_call") & (F.trim(F.coalesce("text", F.lit(""))) == ""), checkpoint)
+    rows = collapse_runs(rows, by, order, answer & ~F.col("has_call"), boilerplate)
+    rows = drop_orphan_results(rows, by, order, F.col("role") == "toolResult", F.col("call_id"), "ref")
+    return repair_parents(rows, by, order)
+
+
 def drop_orphan_results(df: DataFrame, by: list[str], order: str, is_result: Column, call_id: Column, ref: str) -> DataFrame:
     """Results whose call id no earlier row made go."""
     marked = seen_before(df, by, order, ref, F.nullif(call_id, F.lit("")), "_made")

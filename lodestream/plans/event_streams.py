@@ -114,7 +114,7 @@ def active_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dropped_stubs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third row is a stub too, so that stubs hang on stubs."""
-    rows = _linked(spark, sf_dir).filter("submission % 5 > 1")
+    rows = _linked(spark, sf_dir)
     return E.drop_stubs(rows, _BY, "pos", _stub() | (F.col("pos") % 3 == 2), checkpoint).select("event_id", "parent")
 
 
@@ -330,7 +330,7 @@ ORACLE_SQL = {
       SELECT submission FROM real JOIN sizes USING (submission) GROUP BY submission, n HAVING count(*) < greatest(2, n // 2)
       UNION SELECT submission FROM way WHERE (submission, id) NOT IN (SELECT (submission, id) FROM s)
     ) SELECT event_id, submission FROM s WHERE submission IN (SELECT submission FROM whole) OR (submission, id) IN (SELECT (submission, id) FROM real)""",
-    "dropped_stubs": f"""WITH RECURSIVE s AS (SELECT *, {_STUB_SQL} OR pos % 3 = 2 AS stub FROM {_LINKED_SQL} WHERE submission % 5 > 1
+    "dropped_stubs": f"""WITH RECURSIVE s AS (SELECT *, {_STUB_SQL} OR pos % 3 = 2 AS stub FROM {_LINKED_SQL}
     ), up AS (
       SELECT event_id, submission, parent FROM s WHERE NOT stub
       UNION ALL SELECT up.event_id, up.submission, s.parent FROM up JOIN s ON s.submission = up.submission AND s.id = up.parent AND s.stub
