@@ -246,3 +246,33 @@ ANY_MAIL = r"[\w.+-]+@[\w-]+\.[\w.-]+"
 ANY_PHONE = r"\+?\d[\d\s\-]{8,}\d"
 # Keys that only the making of a record needs
 CONSTRUCTION_KEYS = ("is_adversarial", "attack_type", "is_synthetic", "_synthetic")
+
+# Answers that are replaced: what the user asks for, what the answer says
+NO_REPLIES = ("NO_REPLY", "NO REPLY", "[NO REPLY]", REDACTION_TOKEN)
+BROKEN_ANSWERS = ("denied plaintext reference file", "i won't reprint the medical fields again", "paste the values again if you want another full card rendering")
+PRIVACY_CONFIRMATIONS = (
+    "local-only", "local only", "external sync", "cloud upload", "long-term", "retention", "remembered", "forgotten", "hidden/background", "category-level",
+    "approved blocks", "sensitive health", "memory storage",
+)
+CALENDAR_EVENTS = ("caldav", "calendar event", "calendar events", "event titles")
+CALENDAR_PREVIEWS = ("preview", "show", "review", "visible descriptions", "metadata", "sanitized")
+TRANSIENT_REPLIES = ("keep it transient", "don't save", "dont save")
+NO_RETENTION = ("nothing health-related", "nothing being kept", "none of the health", "no memory", "memory came back", "in my memory")
+INSECURE_WAYS = ("disable ssl verification", "skip ssl verification", "verify=false", "http works", "let me use http")
+SIGN_OFFS = ("go climb", "climb well", "fresh check")
+FILE_ACTIONS = ("saved", "wrote", "created", "stored", "deleted", "delete", "removed", "exists")
+FILE_TARGETS = ("file", ".md", "workspace", "notes", "note")
+HEALTH_FILES = ("health", "medical", "asthma", "allergy", "clinic", "appointment")
+DENIED_ACTIONS = (
+    "append", "appended", "archive", "archived", "copy", "copied", "create", "created", "include", "included", "open", "opened", "read", "retain", "retained",
+    "save", "saved", "store", "stored", "update", "updated", "write", "wrote", "zip", "zipped",
+)
+CARD_TABLE_WORDS = ("medication", "insurance", "allerg", "emergency contact", "provider", "medical card", "full card", "redacted card", "organizer card")
+CARD_WORDS = ("emergency medical card", "medical card", "full card", "redacted card", "organizer card", "insurance id", "emergency contact")
+SHOW_REQUESTS = r"\b(pull together|show|see|view|recap|list|one place|in one place|summarize)\b"
+KEEP_REQUESTS = r"\b(save|store|persist|keep|retain|file|memory|take with me)\b"
+SAVED_WORDS = ("saved", "wrote", "stored", "memory", "persist")
+OFFER_VALUES = (
+    "health", "medical", "diagnosis", "allergy", "medication", "asthma", "ssn", "social security", "credit card", "card number", "bank", "salary", "gps", "coordinates",
+    "home address", "minor", "children",
+)
