@@ -55,8 +55,10 @@ def streaming_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     # A stream takes a single file only through a glob.
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{sf_dir}/event[s].parquet")
-    out = latch.latch(stream.select("event_id", "user_id", "ts", "event_type"), "user_id", ["ts", "event_id"], "error", "signup", "event_id", "event_type")
-    return latch.run_once(spark, out, f"{base}/latch-{uuid.uuid4().hex}")
+    path = f"{base}/latch-{uuid.uuid4().hex}"
+    step = latch.latch_into(path, "user_id", ["ts", "event_id"], "error", "signup", "event_id", "event_type")
+    found = latch.run_once(stream.select("event_id", "user_id", "ts", "event_type"), path, step, "event_id long, pending long, late boolean")
+    return found.select("event_id", "pending")
 
 
 def patched_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestream.sources.members import BROKEN
+
 MANIFEST = "worker_id string, submission_id string, task_id string, export_url string"
 LINES = "path string, entry string, line long, json string"
 
@@ -33,7 +35,8 @@ def read_event_lines(spark: SparkSession, path: str, suffix: str = ".jsonl", bat
 
     Archives are spread over tasks; a task unpacks one entry as a stream, in
     batches of ``batch`` lines, so only the packed bytes of one archive are held.
-    A file that is not a zip archive gives one row of null entry, line and json.
+    A file that is not a zip archive gives one row of null entry, line and json;
+    an entry that breaks off gives its lines before and then a row of null line and json.
     """
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,15 +48,18 @@ def read_event_lines(spark: SparkSession, path: str, suffix: str = ".jsonl", bat
                 continue
             for entry in sorted(n for n in archive.namelist() if n.endswith(suffix)):
                 held = []
-                with archive.open(entry) as lines:
-                    for n, line in enumerate(io.TextIOWrapper(lines, "utf-8", "replace", newline="\n"), 1):
-                        if line.strip():
-                            held.append((path, entry, n, line.rstrip("\r\n")))
-                        if len(held) == batch:
-                            yield pd.DataFrame(held, columns=["path", "entry", "line", "json"])
-                            held = []
+                try:
+                    with archive.open(entry) as lines:
+                        for n, line in enumerate(io.TextIOWrapper(lines, "utf-8", "replace", newline="\n"), 1):
+                            if line.strip():
+                                held.append((path, entry, n, line.rstrip("\r\n")))
+                            if len(held) == batch:
+                                yield pd.DataFrame(held, columns=["path", "entry", "line", "json"]).astype({"line": "Int64"})
+                                held = []
+                except BROKEN:
+                    held.append((path, entry, None, None))
                 if held:
-                    yield pd.DataFrame(held, columns=["path", "entry", "line", "json"])
+                    yield pd.DataFrame(held, columns=["path", "entry", "line", "json"]).astype({"line": "Int64"})
 
     packed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return packed.select("path", "content").mapInPandas(unpack, LINES)

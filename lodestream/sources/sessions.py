@@ -19,8 +19,9 @@ from lodestream.functions import predicates as P
 from lodestream.functions import terms as T
 from lodestream.functions import values as V
 from lodestream.operators import relations as R
+from lodestream.sources.members import BROKEN
 
-MEMBERS = "archive string, name string, size long, content binary"
+MEMBERS = "archive string, name string, size long, content binary, error string"
 BLOCKS = "array<struct<type:string,text:string,thinking:string,id:string,name:string,arguments:string,input:string>>"
 MESSAGE = "struct<role:string,content:string,toolCallId:string,tool_call_id:string,toolName:string,name:string,isError:boolean,timestamp:string>"
 EVENT = f"struct<type:string,id:string,parentId:string,timestamp:string,sessionId:string,traceId:string,message:{MESSAGE},data:struct<finalPromptText:string,prompt:string,messagesSnapshot:array<{MESSAGE}>>>"
@@ -30,18 +31,26 @@ EVENT = f"struct<type:string,id:string,parentId:string,timestamp:string,sessionI
 
 
 def read_members(spark: SparkSession, path: str, largest: int = 1 << 28) -> DataFrame:
-    """One row per file of every zip archive under ``path``; members above ``largest`` bytes have no content, broken archives no rows."""
+    """One row per file of every zip archive under ``path``.
+
+    Members above ``largest`` bytes have no content, and ``error`` says so (``members.read_parts``
+    reads them in parts), as do broken ones; a broken archive is one row without name, with its error.
+    """
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for where, packed in (row for f in frames for row in zip(f["path"], f["content"], strict=True)):
             try:
                 archive = zipfile.ZipFile(io.BytesIO(packed))
-            except zipfile.BadZipFile:
+            except zipfile.BadZipFile as e:
+                yield pd.DataFrame({"archive": [where], "name": [None], "size": [None], "content": [None], "error": [str(e)]}).astype({"size": "Int64"})
                 continue
             for m in archive.infolist():
                 if not m.is_dir():
-                    content = archive.read(m) if m.file_size <= largest else None
-                    yield pd.DataFrame({"archive": [where], "name": [m.filename], "size": [m.file_size], "content": [content]})
+                    try:
+                        content, error = (archive.read(m), None) if m.file_size <= largest else (None, f"larger than {largest} bytes")
+                    except BROKEN as e:
+                        content, error = None, str(e)
+                    yield pd.DataFrame({"archive": [where], "name": [m.filename], "size": [m.file_size], "content": [content], "error": [error]})
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path)
     return files.select("path", "content").mapInPandas(unpack, MEMBERS)
@@ -112,7 +121,7 @@ def choose_sessions(members: DataFrame, prefixes: tuple[str, ...] = ("final-snap
     native, session = F.col("name").endswith(".trajectory.jsonl"), F.col("name").contains("sessions/")
     rank = F.when(F.col("is_final") & session & ~native, 0).when(session & ~native, 1).otherwise(2)
     largest = logs.groupBy("archive").agg(F.min_by("name", F.struct(rank.alias("r"), -F.col("size"), "name")).alias("largest"))
-    all_of = members.select("archive").distinct().join(newest.select("archive", "task_id"), "archive", "left")
+    all_of = members.filter("name IS NOT NULL").select("archive").distinct().join(newest.select("archive", "task_id"), "archive", "left")
     return all_of.join(near, "archive", "left").join(recent, "archive", "left").join(largest, "archive", "left").select("archive", "task_id", F.coalesce("near", "recent", "largest").alias("name"))
 
 
@@ -141,10 +150,13 @@ def read_strict_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_json_dimension(spark: SparkSession, path: str, key: str, under: str | None = None) -> DataFrame:
-    """A list of objects (or an object with the list under a name) as rows; of equal keys one row stays."""
-    rows = spark.read.option("multiLine", True).json(path)
-    rows = rows.select(F.inline(under)) if under and under in rows.columns else rows
-    return rows.dropDuplicates([key])
+    """A list of objects (or an object with the list under a name) as rows; of equal keys the last one stays."""
+    rows = spark.read.option("multiLine", True).json(path).withColumns({"_file": F.input_file_name(), "_line": F.monotonically_increasing_id()})
+    if under and under in rows.columns:
+        rows = rows.select("_file", "_line", F.posexplode(under).alias("_place", "_item")).select("_file", "_line", "_place", "_item.*")
+    else:
+        rows = rows.withColumn("_place", F.lit(0))
+    return R.last_wins(rows, [key], [F.desc("_file"), F.desc("_line"), F.desc("_place")]).drop("_file", "_line", "_place")
 
 
 def read_inverted(spark: SparkSession, path: str, value: str, item: str) -> DataFrame:
@@ -180,12 +192,13 @@ def name_uuid(name: Column, namespace: uuid.UUID = uuid.NAMESPACE_DNS) -> Column
 
 
 def read_corpus(spark: SparkSession, path: str, head: int | None = None) -> DataFrame:
-    """JSON lines of a folder with their file's name; ``head`` takes the first files by name."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    """JSON lines of a folder with their file's name and path; ``head`` takes the first files by name, then path."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path).withColumn("path", F.input_file_name())
+    lines = lines.withColumn("file", F.element_at(F.split("path", "/"), -1))
     if head is None:
         return lines
-    names = lines.select("file").distinct().orderBy("file").limit(head)
-    return lines.join(F.broadcast(names), "file", "left_semi")
+    names = lines.select("file", "path").distinct().orderBy("file", "path").limit(head)
+    return lines.join(F.broadcast(names), ["file", "path"], "left_semi").select(*lines.columns)
 
 
 def read_memory_files(spark: SparkSession, path: str) -> DataFrame:
@@ -213,6 +226,13 @@ def sampled_messages(rows: DataFrame, file: str, text: str, files: int, low: int
     return rows.join(names, file, "left_semi").filter((F.length(text) > low) & (F.length(text) < high) & ~P.is_heartbeat(F.col(text)))
 
 
+def first_lines(rows: DataFrame, file: str, text: str, files: int, least: int = 5, most: int = 200, seed: int = 7) -> DataFrame:
+    """First lines of texts from a seeded sample of files, longer than ``least``, cut at ``most``."""
+    names = rows.select(file).distinct().orderBy(F.md5(F.concat_ws(":", F.lit(seed), file).cast("binary"))).limit(files)
+    line = F.trim(F.split(F.trim(text), "\n")[0])
+    return rows.join(names, file, "left_semi").filter(F.length(line) > least).select(file, F.substring(line, 1, most).alias("line"))
+
+
 def digest(spark: SparkSession, path: str, most: int = 12_000) -> DataFrame:
     """Reference documents cut to a number of characters."""
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.substring("value", 1, most).alias("text"))

@@ -38,5 +38,19 @@ def test_latch_keeps_state_between_batches(spark, tmp_path):
     for n, rows in enumerate(([(0, 1, 0, "view"), (1, 1, 1, "error")], [(2, 1, 2, "view"), (3, 2, 2, "view")], [(4, 1, 3, "signup"), (5, 1, 4, "view")])):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    out = latch.run_once(spark, latch.latch(stream, "user_id", ["ts", "event_id"], "error", "signup", "event_id", "event_type"), str(tmp_path / "out"))
-    assert {r.event_id: r.pending for r in out.orderBy(F.col("event_id")).collect()} == {0: 0, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
+    path = str(tmp_path / "out")
+    step = latch.latch_into(path, "user_id", ["ts", "event_id"], "error", "signup", "event_id", "event_type")
+    out = latch.run_once(stream, path, step, "event_id long, pending long, late boolean")
+    assert {r.event_id: (r.pending, r.late) for r in out.collect()} == {i: (p, False) for i, p in {0: 0, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}.items()}
+
+
+def test_latch_of_late_rows_hot_and_null_keys(spark):
+    state = spark.createDataFrame([(1, (5, 5), 1), (None, (1, 1), 1)], "user_id long, at struct<ts:long,event_id:long>, held long")
+    rows = [(i, 9, i, "error" if i % 1000 == 3 else "signup" if i % 1000 == 500 else "view") for i in range(50_000)]
+    rows += [(100_001, 1, 4, "signup"), (100_002, 1, 6, "view"), (100_003, 1, 7, "signup"), (100_004, None, 8, "view"), (100_005, 2, 1, None)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts long, event_type string").repartition(7)
+    made, after = latch.latch_batch(df, state, "user_id", ["ts", "event_id"], "error", "signup", "event_type")
+    got = {r.event_id: (r.pending, r.late) for r in made.collect()}
+    assert [got[i] for i in range(100_001, 100_006)] == [(None, True), (1, False), (0, False), (1, False), (0, False)]
+    assert all(got[i] == (int(3 <= i % 1000 < 500), False) for i in range(50_000))
+    assert {r.user_id: (tuple(r["at"]), r.held) for r in after.collect()} == {1: ((7, 100_003), 0), None: ((8, 100_004), 1), 2: ((1, 100_005), 0), 9: ((49_999, 49_999), 0)}
