@@ -149,12 +149,13 @@ CALL_REPAIRS = {
 }
 
 
-def repair(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts: dict[str, str], token: str = T.REDACTION_TOKEN) -> DataFrame:
+def repair(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts: dict[str, str], lower: dict[str, str] | None = None, token: str = T.REDACTION_TOKEN) -> DataFrame:
     """The rows after one repair pass, with the columns that the next pass needs, ``repairs``, and an order value that is a decimal, as
     inserted rows lie between: by, order, role, kind, text, tool, path, command, has_call, granted, declared, exact, request_valid, resolution_valid.
 
-    ``texts`` gives the text for each kind of repair.  Texts of broken rules are
-    replaced, disclosed values redacted, calls blocked or turned into vault
+    ``texts`` gives the text for each kind of repair, ``lower`` the drop-in of a lower
+    tier for a tool (see ``substitution.drop_ins``); tools without one are not downgraded, and
+    a file is deleted only where its row names it.  Texts of broken rules are replaced, disclosed values redacted, calls blocked or turned into vault
     calls, and missing approvals, re-reads and deletions inserted before or
     behind their row.  A row's repairs are listed in ``repairs``.
     """
@@ -165,9 +166,11 @@ def repair(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts:
     for rule, kind in reversed(TEXT_REPAIRS.items()):
         new_text = F.when(has(rule), F.lit(texts.get(kind, ""))).otherwise(new_text)
         kinds.append(F.when(has(rule), F.lit(kind)))
+    drop_in = F.create_map(*[F.lit(x) for pair in (lower or {"": ""}).items() for x in pair])[F.col("tool")]
     call_kind = F.lit(None).cast("string")
     for rule, kind in reversed(CALL_REPAIRS.items()):
-        call_kind = F.when(has(rule), F.lit(kind)).otherwise(call_kind)
+        can = drop_in.isNotNull() if kind == "downgraded_higher_tier_tool" else F.lit(True)
+        call_kind = F.when(has(rule) & can, F.lit(kind)).otherwise(call_kind)
     shown = has("l3_l4_disclosure") | has("tool_result_l3_l4_disclosure") | has("approval_l3_l4_disclosure")
     kinds.append(F.when(has("tool_result_l3_l4_disclosure"), F.lit("redacted_sensitive_tool_result")).when(shown, F.lit("redacted_non_user_non_tool_sensitive_surfaces")))
     r = r.withColumn("_call", call_kind).withColumn("_text", F.coalesce(new_text, F.when(shown, F.lit(token)), F.col("text")))
@@ -175,11 +178,12 @@ def repair(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts:
     vault = F.col("_call") == "converted_sensitive_persistence_to_vault_set"
     approve = (has("missing_exec_approval") | has("missing_exec_approval_events")) & ~F.coalesce(blocked | vault, F.lit(False))
     reread = has("missing_resource_reread") & ~F.coalesce(blocked, F.lit(False))
-    delete = has("calendar_missing_delete_after_reversal")
+    file = F.regexp_extract(F.concat_ws(" ", "command", "text"), T.CALENDAR_FILE, 0)
+    delete = has("calendar_missing_delete_after_reversal") & (file != "")
     out = r.select(
         *by, F.col(order).cast("decimal(20,3)").alias(order), "role", "kind",
         F.when(blocked, F.lit(texts.get("blocked", ""))).otherwise(F.col("_text")).alias("text"),
-        F.when(vault, F.lit("set")).when(F.col("_call") == "downgraded_higher_tier_tool", F.lit("rag_search")).otherwise(F.col("tool")).alias("tool"),
+        F.when(vault, F.lit("set")).when(F.col("_call") == "downgraded_higher_tier_tool", drop_in).otherwise(F.col("tool")).alias("tool"),
         F.when(vault | (F.col("_call") == "sanitized_health_plaintext_persistence"), F.lit("")).otherwise(F.col("path")).alias("path"),
         F.when(F.col("_call") == "replaced_calendar_ls_with_visible_write", F.concat(F.lit("cat > "), F.regexp_extract("command", T.CALENDAR_FILE, 0))).when(vault | (F.col("_call") == "sanitized_health_plaintext_persistence"), F.lit("")).otherwise(F.col("command")).alias("command"),
         (F.col("has_call") & ~F.coalesce(blocked, F.lit(False))).alias("has_call"),
@@ -197,13 +201,12 @@ def repair(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts:
             F.lit(kind == "exec.approval.requested").alias("request_valid"), F.lit(kind == "exec.approval.resolved").alias("resolution_valid"), none.alias("repairs"),
         )
 
-    file = F.regexp_extract(F.concat_ws(" ", "command", "text"), T.CALENDAR_FILE, 0)
     inserts = [
         added(approve, -0.4, "custom", "exec.approval.requested", ""),
         added(approve, -0.3, "custom", "exec.approval.resolved", ""),
         added(reread, -0.6, "assistant", "", texts.get("inserted_resource_reread", ""), "read", "", True),
         added(reread, -0.5, "toolResult", "", ""),
-        added(delete, 0.1, "assistant", "", "", "exec", F.concat(F.lit("rm -f "), F.when(file != "", file).otherwise(F.lit("appointment-2026-01-01.ics"))), True),
+        added(delete, 0.1, "assistant", "", "", "exec", F.concat(F.lit("rm -f "), file), True),
         added(delete, 0.2, "toolResult", "", "(no output)"),
     ]
     for more in inserts:
@@ -211,7 +214,7 @@ def repair(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts:
     return out
 
 
-def repair_until_stable(rows: DataFrame, held: DataFrame, by: list[str], order: str, refusal: str, texts: dict[str, str], rules: Callable[[], dict[str, Column]], checkpoint: Callable[[DataFrame], DataFrame], most: int = 3) -> tuple[DataFrame, list[int]]:
+def repair_until_stable(rows: DataFrame, held: DataFrame, by: list[str], order: str, refusal: str, texts: dict[str, str], rules: Callable[[], dict[str, Column]], checkpoint: Callable[[DataFrame], DataFrame], most: int = 3, lower: dict[str, str] | None = None) -> tuple[DataFrame, list[int]]:
     """Gates and repairs in turn, until a pass finds as much as the one before, or nothing, or ``most`` passes are done.
 
     ``rows`` are as ``repair`` returns them; only counts come to the driver.
@@ -224,7 +227,7 @@ def repair_until_stable(rows: DataFrame, held: DataFrame, by: list[str], order:
         found.append(hits.count())
         if n == most or not found[-1] or found[-2:-1] == found[-1:]:
             break
-        rows = checkpoint(repair(state, hits, by, order, texts).drop("repairs"))
+        rows = checkpoint(repair(state, hits, by, order, texts, lower).drop("repairs"))
     return rows, found
 
 

@@ -35,6 +35,27 @@ def names_in_texts(texts: DataFrame, id_col: str, text_col: str, names: list[str
     return texts.select(F.col(id_col), F.inline(F.filter(hits, lambda h: h["first_at"] > 0)))
 
 
+def names_by_grams(texts: DataFrame, id_col: str, text_col: str, names: DataFrame) -> DataFrame:
+    """The same for a table of any number of names (column name): id, name, first_at.
+
+    Texts and names meet on the first three characters of a name (all of a
+    shorter one), and the name is looked for only where these stand.  Names are
+    lower-cased and taken once; empty ones are in no text.
+    """
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+    known = names.select(F.lower("name").alias("name")).filter("name <> ''").distinct().withColumn("_gram", F.substring("name", 1, 3))
+    grams = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("_low") - (n - 1), F.lit(1))), lambda i: F.substring(F.col("_low"), i, F.lit(n)))
+    sizes = [r["n"] for r in known.select(F.length("_gram").alias("n")).distinct().collect()]  # at most 1, 2 and 3
+    if not sizes:
+        sizes = [3]
+    cut = texts.select(F.col(id_col), low.alias("_low"))
+    index = cut.select(id_col, F.xxhash64("_low").alias("_text"), F.explode(F.array_distinct(F.concat(*[grams(n) for n in sizes]))).alias("_gram"))
+    met = index.join(known, "_gram").select(id_col, "_text", "name").distinct()
+    held = cut.select(F.col(id_col).alias("_id"), F.xxhash64("_low").alias("_key"), "_low").distinct()
+    looked = met.join(held, met[id_col].eqNullSafe(held["_id"]) & (met["_text"] == held["_key"])).withColumn("first_at", F.instr(F.col("_low"), F.col("name")).cast("long"))
+    return looked.filter("first_at > 0").select(id_col, "name", "first_at")
+
+
 def keyword_overlap(texts: DataFrame, id_col: str, text_col: str, keywords: Column) -> DataFrame:
     """Share of a row's keywords that its text contains."""
     low = F.lower(F.coalesce(F.col(text_col), F.lit("")))

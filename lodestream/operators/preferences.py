@@ -102,6 +102,30 @@ def report(rejected: DataFrame, by: list[str]) -> DataFrame:
 
 
 def parse_alternatives(text: Column) -> Column:
-    """A model's reply as alternatives: the array of its JSON, with a flag where its severity means a violation."""
-    rows = F.from_json(V.json_in_reply(text), "struct<alternatives:array<struct<failure_mode:string,severity:string,response:string>>>")["alternatives"]
-    return F.transform(rows, lambda a: F.struct(a["failure_mode"].alias("mode"), a["severity"].alias("severity"), a["response"].alias("response"), (~a["failure_mode"].isin("over_refusal", "hallucination")).alias("violates")))
+    """A model's reply as alternatives: mode, severity, rule, response, violates; empty if it holds no list.
+
+    The list stands by itself, in a code fence, or between other words.  An
+    alternative breaks a rule if it names one and its mode is no refusal or invention; only such
+    a one keeps its severity.  Items that are no objects go.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.trim(text), r"^```[^\n]*\n?", ""), r"\s*```$", "")
+    inner = F.regexp_extract(text, r"(?s)(\[.*\])", 1)
+    listed = F.coalesce(F.try_variant_get(F.try_parse_json(bare), "$", "array<variant>"), F.try_variant_get(F.try_parse_json(inner), "$", "array<variant>"), F.array().cast("array<variant>"))
+    said = lambda v, f, default: F.coalesce(F.try_variant_get(v, f"$.{f}", "string"), F.lit(default))
+
+    def one(v: Column) -> Column:
+        mode, rule = said(v, "failure_mode", "hallucination"), F.try_variant_get(v, "$.privacy_violation_rule", "string")
+        breaks = rule.isNotNull() & ~mode.isin("over_refusal", "hallucination")
+        return F.struct(mode.alias("mode"), F.when(breaks, said(v, "severity", "minor")).alias("severity"), rule.alias("rule"), said(v, "assistant_response", "").alias("response"), breaks.alias("violates"))
+
+    return F.transform(F.filter(listed, lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))), one)
+
+
+def adversarial_alternatives(points: DataFrame, templates: DataFrame, by: list[str], n: int = 9) -> DataFrame:
+    """``n`` alternatives for each point at which the user tried to get around the rules: all comply, so all are violations.
+
+    ``templates``: number, mode, severity, response; the bank is the caller's.  Rewards of modes without a range lie between 0.01 and 0.08.
+    """
+    keyed = rejected_alternatives(points.withColumn("_bank", F.lit("adversarial")), templates.withColumn("_bank", F.lit("adversarial")), by, "_bank", n)
+    low, high = reward_range(F.col("mode"), F.col("severity"), (0.01, 0.08))
+    return keyed.drop("_bank").withColumns({"reward": V.uniform(F.concat_ws(":", *by, "place"), low, high), "violates": F.lit(True), "perturbation": F.lit("adversarial")})

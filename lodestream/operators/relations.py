@@ -159,3 +159,22 @@ def conversation_chunks(rows: DataFrame, by: list[str], order: str, size: int =
         F.count("*").alias("n"), F.substring(join_in_order(F.col("_said"), F.col(order), "\n"), 1, most).alias("passage"), F.array_join(F.array_sort(F.collect_set("tool")), ",").alias("tools")
     )
     return chunks.filter((F.col("n") >= least_rows) & (F.length("passage") >= least_chars))
+
+
+def drop_like_turns(turns: DataFrame, by: list[str], order: str, text: str, exempt: Column, has_call: Column, most: int = 300) -> DataFrame:
+    """Of turns whose texts begin alike (``most`` characters, in any case and white space) the first stays.
+
+    Exempt turns (refusals, consent gates) always stay and make no other go;
+    turns without text stay if they call something.
+    """
+    begun = F.lower(F.substring(F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", ""), 1, most))
+    rows = turns.withColumns({"_exempt": exempt, "_call": has_call, "_begun": F.regexp_replace(begun, r"\s+", " ")})
+    n = F.row_number().over(Window.partitionBy(*by, "_exempt", "_begun").orderBy(order))
+    kept = F.col("_exempt") | F.when(F.col("_begun") == "", F.col("_call")).otherwise(F.col("_n") == 1)
+    return rows.withColumn("_n", n).filter(kept).drop("_exempt", "_call", "_begun", "_n")
+
+
+def with_levels(entities: DataFrame, labels: DataFrame, default: str = "L2") -> DataFrame:
+    """Entities with the level of their label; labels that are not listed have the default's.  ``labels``: label, level."""
+    listed = labels.groupBy("label").agg(F.max("level").alias("_level"))
+    return entities.join(listed, "label", "left").withColumn("level", F.coalesce("_level", F.lit(default))).drop("_level")

@@ -15,14 +15,14 @@ def walk_in_order(df: DataFrame, by: list[str], order: list[str], fresh: Callabl
 
     Streams are dealt to tasks by key and sorted there (on disk where they are
     long); a task holds one batch of rows and one stream's state.  The state is
-    made anew by ``fresh()`` at a stream's start.  The key columns must not be null.
+    made anew by ``fresh()`` at a stream's start.  Rows of null key are one stream.
     """
     schema = StructType.fromJson(df.schema.jsonValue()).add(name, kind)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = state = None
         for frame in frames:
-            keys = list(zip(*[frame[b] for b in by], strict=True))
+            keys = zip(*[frame[b].astype(object).where(frame[b].notna(), None) for b in by], strict=True)
             said = []
             for key, row in zip(keys, frame.itertuples(index=False), strict=True):
                 if key != at:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestream.functions import values
+from lodestream.operators import relations as R
 from lodestream.operators import joins, policy
 from lodestream.plans.standin import CALLS_SQL, calls
 
@@ -63,12 +64,12 @@ def nearest_event_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def region_names_in_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of regions in texts; their table is collected up to a bound that is checked."""
-    names = [r["r_name"] for r in spark.read.parquet(f"{sf_dir}/region.parquet").orderBy("r_name").limit(1001).collect()]
-    if len(names) > 1000:
-        raise ValueError("more names than an array literal should hold")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return joins.names_in_texts(docs, "doc_id", "text", [*names, "the", "license"])
+    """Names of regions in texts: up to 1000 (counted) are an array literal, more meet the texts on their first characters."""
+    docs, regions = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/region.parquet")
+    names = [r["r_name"] for r in regions.orderBy("r_name").limit(1001).collect()]
+    if len(names) <= 1000:
+        return joins.names_in_texts(docs, "doc_id", "text", [*names, "the", "license"])
+    return joins.names_by_grams(docs, "doc_id", "text", regions.select(F.col("r_name").alias("name")).union(spark.createDataFrame([("the",), ("license",)], "name string")))
 
 
 def resume_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,11 +134,9 @@ def json_field_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_normalised_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assistant turns of a conversation that begin alike (300 characters, white space made one, lower case) stay once; short ones are exempt."""
+    """Assistant turns of a conversation that begin alike stay once; every fifth stands for a consent gate, which always stays."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").filter("role = 'assistant'")
-    key = F.regexp_replace(F.lower(F.substring(F.trim("text"), 1, 300)), r"[ \t\n\r]+", " ")
-    n = F.row_number().over(Window.partitionBy("conv_id", key).orderBy("turn"))
-    return turns.withColumn("n", n).withColumn("exempt", F.length("text") < 40).filter("n = 1 OR exempt").select("conv_id", "turn")
+    return R.drop_like_turns(turns, ["conv_id"], "turn", "text", F.col("turn") % 5 == 4, F.col("turn") % 3 == 0).select("conv_id", "turn")
 
 
 def copies_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +207,8 @@ ORACLE_SQL = {
                list_distinct(list_filter(string_split(lower(coalesce(arg_min(text, turn) FILTER (role = 'user'), '')), ' '), lambda w: length(w) > 3)) AS k
         FROM conversations GROUP BY conv_id))""",
     "json_field_trace": f"SELECT event_id, (props::JSON ->> '$.k')::BIGINT AS k FROM {CALLS_SQL} WHERE (props::JSON ->> '$.k') IS NOT NULL",
-    "dedupe_normalised_prefix": r"""SELECT conv_id, turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, regexp_replace(lower(left(trim(text), 300)), '[ \t\n\r]+', ' ', 'g') ORDER BY turn) AS n FROM conversations WHERE role = 'assistant') WHERE n = 1 OR length(text) < 40""",
+    "dedupe_normalised_prefix": r"""SELECT conv_id, turn FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 5 = 4, k ORDER BY turn) AS n FROM (
+      SELECT *, regexp_replace(lower(left(regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g'), 300)), '\s+', ' ', 'g') AS k FROM conversations WHERE role = 'assistant')) WHERE turn % 5 = 4 OR CASE WHEN k = '' THEN turn % 3 = 0 ELSE n = 1 END""",
     "copies_of_documents": r"SELECT md5(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g'))) AS text_key, min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY 1",
     "iso_ms_roundtrip": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso, epoch_ms(date_trunc('millisecond', ts)) AS ms FROM events",
     "knn_topn_filtered": """SELECT query_id, vec_id, score, rank FROM (

@@ -69,15 +69,19 @@ def gated_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts of the stand-in (by submission) with the gates' issues merged in, and the status they give."""
     people = rows(spark, sf_dir).select("submission").distinct()
     given = people.select("submission", F.lit("PASS").alias("verdict"), (F.col("submission") % 6).cast("int").alias("privacy"), (F.col("submission") % 11 / 2).alias("overall"))
-    merged = gates.merge_verdicts(given, gate_issues(spark, sf_dir).filter("submission % 3 <> 0"), _BY)
+    merged = gates.merge_verdicts(given, gate_issues(spark, sf_dir), _BY)
     return merged.withColumn("status", cascade.status(F.col("verdict"), F.lit(False), F.col("n_issues")))
 
 
+#: Drop-ins of the stand-in's catalog.
+LOWER = {"web_search": "rag_search", "browser": "enterprise-mail", "enterprise-vault": "write"}
+
+
 def repaired_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One repair pass: the rows with their repairs."""
     state = _state(rows(spark, sf_dir)).withColumn("exact", _exact())
     hits = gates.gate_hits(state, _BY, "pos", _rules())
-    return gates.repair(state, hits, _BY, "pos", TEXTS)
+    return gates.repair(state, hits, _BY, "pos", TEXTS, LOWER)
 
 
 def repair_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +93,7 @@ def repair_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rule hits there are before each repair pass, and after the last."""
     start = _state(rows(spark, sf_dir)).withColumn("exact", _exact())
     columns = ["role", "kind", "text", "tool", "path", "command", "has_call", "granted", "declared", "exact", "request_valid", "resolution_valid"]
-    _, found = gates.repair_until_stable(start.select("submission", "pos", *columns), held(spark, sf_dir), _BY, "pos", REFUSAL, TEXTS, lambda: _rules(F.col("exact")), checkpoint)
+    _, found = gates.repair_until_stable(start.select("submission", "pos", *columns), held(spark, sf_dir), _BY, "pos", REFUSAL, TEXTS, lambda: _rules(F.col("exact")), checkpoint, lower=LOWER)
     return spark.createDataFrame(list(enumerate(found)), "pass int, n_hits long")
 
 
@@ -180,5 +184,5 @@ ORACLE_SQL = {
     "gated_verdicts": f"""SELECT *, CASE WHEN verdict = 'PASS' AND n_issues = 0 THEN 'PASS' WHEN verdict = 'MINOR_ISSUES' THEN 'MINOR_FIXED' ELSE 'NEEDS_HUMAN_REVIEW' END AS status FROM (
       SELECT u.submission, CASE WHEN n IS NULL THEN 'PASS' WHEN serious THEN 'FAIL' ELSE 'MINOR_ISSUES' END AS verdict, (CASE WHEN n IS NULL THEN u.submission % 6 ELSE least(u.submission % 6, CASE WHEN serious THEN 2 ELSE 4 END) END)::INT AS privacy,
         CASE WHEN n IS NULL THEN u.submission % 11 / 2 ELSE least(u.submission % 11 / 2, CASE WHEN serious THEN 2.0 ELSE 4.0 END) END::DOUBLE AS overall, coalesce(n, 0) AS n_issues
-      FROM (SELECT DISTINCT user_id AS submission FROM events) u LEFT JOIN (SELECT submission, count(*) AS n, bool_or(severity IN ('critical', 'major')) AS serious FROM {_ISSUES} WHERE submission % 3 <> 0 GROUP BY submission) i USING (submission))""",
+      FROM (SELECT DISTINCT user_id AS submission FROM events) u LEFT JOIN (SELECT submission, count(*) AS n, bool_or(severity IN ('critical', 'major')) AS serious FROM {_ISSUES} GROUP BY submission) i USING (submission))""",
 }

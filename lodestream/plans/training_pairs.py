@@ -150,7 +150,24 @@ def drop_in_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skill_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substitution.reverse_index(_catalog(spark))
+    """Brands and their types stand for skills and capabilities."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return substitution.reverse_index(parts.select(F.col("p_brand").alias("skill"), F.col("p_type").alias("capability")))
+
+
+def parsed_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies with alternatives made of ``events``: in a fence, between words, broken."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    item = F.format_string('[{"failure_mode": "%s", "severity": "major", "assistant_response": "to %s"%s}, 5, {}]', F.when(F.col("event_id") % 3 == 0, "over_refusal").otherwise("over_disclosure"), "user_id", F.when(F.col("event_id") % 2 == 0, ', "privacy_violation_rule": "r1"').otherwise(""))
+    reply = F.when(F.col("event_id") % 7 == 0, "no list").when(F.col("event_id") % 5 == 0, F.concat(F.lit("Here: "), item, F.lit(" Done."))).when(F.col("event_id") % 4 == 0, F.concat(F.lit("```json\n"), item, F.lit("\n```"))).otherwise(item)
+    return e.select("event_id", F.posexplode(preferences.parse_alternatives(reply)).alias("place", "a")).select("event_id", "place", "a.*")
+
+
+def adversarial_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alternatives that comply with an attempt, for every sixth user row."""
+    points = stream(spark, sf_dir).filter("role = 'user' AND event_id % 6 = 0").select("submission", "pos", F.lit("X").alias("example"), F.substring("text", 1, 9).alias("topic"))
+    bank = spark.createDataFrame([(i, f"comply_{i % 3}", ("critical", "major")[i % 2], f"fine, {i}: {{topic}} {{example}}") for i in range(5)], "number int, mode string, severity string, response string")
+    return preferences.adversarial_alternatives(points, bank, _POINT).drop("example", "topic")
 
 
 def remapped_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +209,7 @@ def write_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FUNCTIONS = (
-    edited_calls, shifted_edits, decision_points, rejected_alternatives, single_pairs, turn_pairs, pair_report, failure_histogram, consumed_fields, recurring_values, lower_tier_tools, drop_in_tools, skill_index, remapped_arguments, time_scalars,
+    edited_calls, shifted_edits, decision_points, rejected_alternatives, single_pairs, turn_pairs, pair_report, failure_histogram, consumed_fields, recurring_values, lower_tier_tools, drop_in_tools, skill_index, parsed_alternatives, adversarial_pairs, remapped_arguments, time_scalars,
     score_scalars, write_payloads,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
@@ -251,7 +268,13 @@ ORACLE_SQL = {
     SELECT r.submission, r.pos, coalesce(string_agg(field, ',' ORDER BY field), '') AS consumed FROM r LEFT JOIN used USING (submission, pos) GROUP BY r.submission, r.pos""",
     "lower_tier_tools": f"SELECT * FROM {_SUBST}",
     "drop_in_tools": f"SELECT event_id, arg_min(alt_tool, place) AS alt_tool, arg_min(alt_tier, place) AS alt_tier, arg_min(capability, place) AS capability FROM {_SUBST} WHERE verdict = 'drop-in' GROUP BY event_id",
-    "skill_index": f"SELECT skill, string_agg(DISTINCT capability, ',' ORDER BY capability) AS capabilities FROM {_CATALOG} GROUP BY skill",
+    "skill_index": "SELECT p_brand AS skill, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS capabilities FROM part GROUP BY p_brand",
+    "parsed_alternatives": """SELECT event_id, 0 AS place, CASE WHEN event_id % 3 = 0 THEN 'over_refusal' ELSE 'over_disclosure' END AS mode, CASE WHEN event_id % 2 = 0 AND event_id % 3 <> 0 THEN 'major' END AS severity, CASE WHEN event_id % 2 = 0 THEN 'r1' END AS rule, 'to ' || user_id AS response,
+        event_id % 2 = 0 AND event_id % 3 <> 0 AS violates FROM events WHERE event_id % 7 <> 0 UNION ALL SELECT event_id, 1, 'hallucination', NULL, NULL, '', false FROM events WHERE event_id % 7 <> 0""",
+    "adversarial_pairs": f"""WITH p AS (SELECT submission, pos, left(text, 9) AS topic FROM {STREAM_SQL} WHERE role = 'user' AND event_id % 6 = 0),
+      t AS (SELECT p.*, i AS number, row_number() OVER (PARTITION BY submission, pos ORDER BY md5(submission || ':' || pos || ':' || i)) - 1 AS k FROM p, generate_series(0, 4) g (i))
+      SELECT submission, pos, place::INT AS place, 'comply_' || number % 3 AS mode, CASE WHEN number % 2 = 0 THEN 'critical' ELSE 'major' END AS severity, 'fine, ' || number || ': ' || topic || ' X' AS response,
+        round_even(0.01::DOUBLE + (0.08::DOUBLE - 0.01::DOUBLE) * (('0x' || left(md5(submission || ':' || pos || ':' || place), 8))::BIGINT / 4294967296), 3) AS reward, true AS violates, 'adversarial' AS perturbation FROM t JOIN generate_series(0, 8) h (place) ON k = place % 5""",
     "remapped_arguments": f"SELECT event_id, 'command,file' AS keys, path AS file FROM {STREAM_SQL} WHERE has_call",
     "time_scalars": f"""SELECT event_id, CASE event_id % 4 WHEN 0 THEN ms WHEN 1 THEN ms WHEN 2 THEN ms // 1000 * 1000 ELSE 0 END AS epoch, {_ISO} AS iso, {_ISO.replace('ms *', '(ms - 900) *')} AS shifted, CASE WHEN event_id % 5 <> 0 THEN ms END AS reference FROM {STREAM_SQL}""",
     "score_scalars": f"""SELECT event_id, ({_SCORE})::DOUBLE AS score, event_id % 10 = 7 AS luhn, round_even(0.1::DOUBLE + (0.3::DOUBLE - 0.1::DOUBLE) * (('0x' || left(md5(event_id::VARCHAR), 8))::BIGINT / 4294967296), 3) AS drawn,
