@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.llm._common import WORD_BREAK, cut_lineage, text_of
+from lodestream.llm._common import WORD_BREAK, as_table, cut_lineage, text_of
 
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -95,14 +95,14 @@ def judge_documents(df: DataFrame, reject_rate: float = 0.8, id_col: str = "doc_
 def keep_good(df: DataFrame, reject_rate: float = 0.8, broadcast_hosts: int = 100_000, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The rows of ``df`` that the rules and their host's verdict keep, with its columns.
 
-    The measurements come from a first pass; the second pass measures again
-    beside the text, which is cheaper than moving texts.  Up to
-    ``broadcast_hosts`` rejected hosts (counted first) are broadcast, so the
-    texts stay where they are; more are joined by a shuffle.
+    Each text is measured once: its host and verdict are written beside the row, if that
+    passed, and the hosts' verdicts are worked out from the two narrow columns of that
+    table.  Up to ``broadcast_hosts`` rejected hosts (counted first) are broadcast, so the
+    rows stay where they are; more are joined by a shuffle.
     """
-    small = cut_lineage(measure(df.select(F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text"))).select("host", "base_failed"))
-    bad = cut_lineage(host_verdicts(small, "host", reject_rate).filter("host_rejected").select(F.col("host").alias("_bad_host")))
-    measured = measure(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(text_col).alias("text")))
-    kept = measured.filter(~F.col("base_failed")).select("_row")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text"))
+    measured = as_table(measure(rows).select("host", "base_failed", F.when(~F.col("base_failed"), F.col("_row")).alias("_row")))
+    bad = cut_lineage(host_verdicts(measured.select("host", "base_failed"), "host", reject_rate).filter("host_rejected").select(F.col("host").alias("_bad_host")))
+    kept = measured.filter(~F.col("base_failed")).select("host", "_row")
     bad = F.broadcast(bad) if bad.limit(broadcast_hosts + 1).count() <= broadcast_hosts else bad
-    return kept.join(bad, F.col("_row")[host_col].cast("string").eqNullSafe(F.col("_bad_host")), "left_anti").select("_row.*")
+    return kept.join(bad, F.col("host").eqNullSafe(F.col("_bad_host")), "left_anti").select("_row.*")
