@@ -6,9 +6,9 @@ import time
 
 import numpy as np
 import public_tokenizers
-from test_operators import prose
+from test_operators import brute_base, brute_lines, brute_quality, brute_simhash, prose
 
-from lodestream.llm import bpe, html_extract, langid, media, packing
+from lodestream.llm import bpe, html_extract, langid, line_dedup, media, packing, pii, quality, simhash, suffix_dedup
 
 
 def test_html_is_linear():
@@ -115,3 +115,28 @@ def test_media_of_a_long_text():
     peaks = media.spectral_peaks(np.frombuffer(payload, np.uint8), 256, 128, (1, 16, 48))
     times, hashes = media.peak_pairs(peaks, 2)
     assert len(peaks) == 1 + -(-(len(payload) - 256) // 128) and len(times) == len(hashes) == 9 * (2 * len(peaks) - 3) and (np.diff(times) >= 0).all()
+
+
+LONG = "doc_id long, text string, source string"
+
+
+def test_long_texts_of_the_joining_operators(spark):
+    """Whole texts of a few MB against the plain versions: fingerprints, rules, spans, repeats, lines."""
+    r = random.Random(4)
+    lines = "\n".join(prose(i, 12) for i in range(8_000))
+    contacts = " ".join(f"u{i}@mail{r.randrange(9)}.org {prose(i, 8)} 10.0.{i % 256}.{i % 251} +1 988 555 {i % 10_000:04d}" for i in range(9_000))
+    texts = [prose(7, 150_000), lines, contacts, lines + "\nend"]
+    df = spark.createDataFrame([(i, t, f"s{i % 2}") for i, t in enumerate(texts)], LONG)
+    rows = df.collect()
+    assert {x["doc_id"]: x["fp"] & (1 << 64) - 1 for x in simhash.near_duplicates(df).collect()} == {i: brute_simhash(t) for i, t in enumerate(texts)}
+    got = {x["doc_id"]: (x["n_words"], x["word_chars"], x["n_symbols"], x["n_dup_lines"], x["n_repeat_words"], x["base_failed"]) for x in quality.judge_documents(df).collect()}
+    assert got == {i: brute_quality(t) for i, t in enumerate(texts)}
+    kinds = {k: n for n, k in enumerate(pii.BASE_KINDS)}
+    found = {x["doc_id"]: [(kinds[s["kind"]], s["start"], s["end"]) for s in x["base"]] for x in pii.find_spans(df).collect()}
+    assert found == {i: sorted(brute_base(t), key=lambda s: s[:2]) for i, t in enumerate(texts)}
+    kept = {x["doc_id"]: (x["n_removed"], bytes(x["kept"])) for x in suffix_dedup.remove_repeats(df).collect()}
+    size = len(lines.encode())
+    assert kept[1] == (size, b"") and kept[3] == (size, b"\nend")
+    assert kept[0] == (0, texts[0].encode()) and kept[2] == (0, texts[2].encode())
+    out = {(x["doc_id"], x["n_lines"], x["n_removed"], x["text"]) for x in line_dedup.remove_boilerplate(df, min_sites=2).collect()}
+    assert out == set(brute_lines(rows, 2))
