@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lodestream.functions import predicates as P
 from lodestream.functions import terms as T
 from lodestream.functions import text as X
+from lodestream.operators.event_streams import runs_behind, until_cut
 from lodestream.operators.rule_tables import Rule, first_rule, held_rules, holds, lacks, says
 from lodestream.operators.walks import walk_in_order
 
@@ -210,3 +211,61 @@ def materialise(turns: DataFrame, by: list[str], texts: dict[str, Column], most_
     for action, made in rows.items():
         chosen = F.when(F.col("action") == action, made).otherwise(chosen)
     return kept.select(*by, "turn", "action", F.explode(chosen).alias("s")).select(*by, "turn", "action", "s.*")
+
+
+def _option(command: Column, name: str, default: Column) -> Column:
+    """The value of an option of a command: in quotes of either kind, or bare."""
+    found = [F.nullif(F.regexp_extract(command, rf"(?s)--{name}\s+{shape}", 1), F.lit("")) for shape in (r'"([^"]*)"', r"'([^']*)'", r"([^\s\"'-]\S*)")]
+    return F.coalesce(*found, default)
+
+
+def mail_arguments(command: Column, subject: Column, body: Column) -> Column:
+    """to, subject and body of a command that sends a mail; the defaults where it names none."""
+    named = F.filter(F.split(F.regexp_extract(command, r"(?:^|\s)send((?:\s+(?!--)\S+)*)", 1), r"\s+"), lambda w: w.contains("@"))
+    any_ = F.slice(F.regexp_extract_all(command, F.lit(r"[\w.+-]+@[\w.-]+\.\w+"), 0), 1, 1)
+    return F.struct(F.when(F.size(named) > 0, named).otherwise(any_).alias("to"), _option(command, "subject", subject).alias("subject"), _option(command, "body", body).alias("body"))
+
+
+def risky_kind(hosts: tuple[str, ...] = ()) -> Column:
+    """probe: a command that shows or sends credentials; mail: one that sends a mail with values of level 3; image: such values for an image service."""
+    command, low = F.coalesce("command", F.lit("")), F.lower(F.coalesce("command", F.lit("")))
+    ran = F.col("tool") == "exec"
+    mail = ran & low.contains("send") & low.contains("email") & low.contains("@") & (F.col("level") >= 3)
+    probe = ran & P.is_credential_probe(command, hosts)
+    image = (F.col("tool") == "image_generate") & (F.col("level") >= 3)
+    return F.when(F.coalesce(F.col("has_call"), F.lit(False)), F.when(F.coalesce(probe, F.lit(False)), "probe").when(F.coalesce(mail, F.lit(False)), "mail").when(F.coalesce(image, F.lit(False)), "image"))
+
+
+def replace_calls(rows: DataFrame, by: list[str], order: str, texts: dict[str, str], hosts: tuple[str, ...] = ()) -> DataFrame:
+    """by, order, seq, role, text, tool, command: the rows with risky calls replaced.
+
+    A stream's first probe becomes a harmless command with a result of its own, later
+    ones go; a mail goes through the company's mail, says so, and ends the
+    stream; a picture of sensitive values becomes a text. The results right behind a replaced
+    call go.  ``rows``: by, order, role, text, tool, command, has_call, level (of
+    the arguments).  ``texts``: safe_command, http, tls, direct, set (results of probes), blocked, subject, body, sent,
+    told (after a mail), transient.
+    """
+    say = lambda name: F.lit(texts[name])
+    head = F.col("_kind").isNotNull()
+    r = rows.withColumn("_kind", risky_kind(hosts))
+    r = runs_behind(r, by, order, head, F.col("role") == "toolResult")
+    r = until_cut(r, by, order, F.col("_kind").eqNullSafe("mail"))
+    r = r.withColumn("_nth", F.row_number().over(Window.partitionBy(*by, "_kind").orderBy(order))).filter(~(F.col("_kind").eqNullSafe("probe") & (F.col("_nth") > 1)))
+    command = F.coalesce("command", F.lit(""))
+    insecure = P.is_http_downgrade(command, hosts) | P.is_tls_bypass(command)
+    result = F.when(P.is_http_downgrade(command, hosts), say("http")).when(P.is_tls_bypass(command), say("tls")).when(P.any_of(command, ("curl", "x-api-key", "authorization")), say("direct")).otherwise(say("set"))
+    none = F.lit(None).cast("string")
+    row = lambda seq, role, text, tool=none, said=none: F.struct(F.lit(seq).alias("seq"), F.lit(role).alias("role") if isinstance(role, str) else role.alias("role"), text.alias("text"), tool.alias("tool"), said.alias("command"))
+    prompt = F.trim(F.regexp_replace(command, r"(?s)\nStyle:.*", ""))
+    own = F.when(F.col("has_call"), F.col("tool"))
+    made = (
+        F.when(F.col("_kind") == "probe", F.array(row(0, F.col("role"), F.when(insecure, say("blocked")).otherwise(F.col("text")), F.lit("exec"), say("safe_command")), row(1, "toolResult", result, F.lit("exec"))))
+        .when(
+            F.col("_kind") == "mail",
+            F.array(row(0, F.col("role"), F.col("text"), F.lit("enterprise-mail"), F.to_json(mail_arguments(command, say("subject"), say("body")))), row(1, "toolResult", say("sent"), F.lit("enterprise-mail")), row(2, "assistant", say("told"))),
+        )
+        .when(F.col("_kind") == "image", F.array(row(0, F.col("role"), F.concat_ws("\n\n", say("transient"), F.nullif(prompt, F.lit(""))))))
+        .otherwise(F.array(row(0, F.col("role"), F.col("text"), own, F.when(F.col("has_call"), F.col("command")))))
+    )
+    return r.select(*by, order, F.inline(made))

@@ -90,7 +90,23 @@ def materialised_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewriting.materialise(decided_turns(spark, sf_dir), _BY, {k: _text(k) for k in TEXTS}, most_elicits=2)
 
 
-QUERIES = {f.__name__: f for f in (replaced_answers, deny_routes, denied_rows, materialised_turns)}
+CALL_TEXTS = {
+    "safe_command": "printf 'no credentials are shown'", "http": "Skipped plain HTTP.", "tls": "Skipped a call without verification.", "direct": "Skipped a direct probe.", "set": "The key is set.", "blocked": "I won't do this without verification.",
+    "subject": "Our appointment", "body": "As discussed.", "sent": "Sent, no copy kept.", "told": "It is sent.", "transient": "This stays in the chat.",
+}
+
+
+def _risky(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = stream(spark, sf_dir).withColumn("tool", F.when(F.col("event_id") % 4 == 0, F.lit("exec")).otherwise(F.col("tool")))
+    return s.select("submission", "pos", "role", "text", "tool", F.concat("command", F.when(F.col("event_id") % 5 == 0, F.lit(" # by email")).otherwise("")).alias("command"), "has_call", "level")
+
+
+def replaced_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probes, mails and pictures of sensitive values replaced, with what stands behind them."""
+    return rewriting.replace_calls(_risky(spark, sf_dir), _BY, "pos", CALL_TEXTS)
+
+
+QUERIES = {f.__name__: f for f in (replaced_answers, deny_routes, denied_rows, materialised_turns, replaced_calls)}
 
 _ANSWERS_SQL = f"""(SELECT event_id, submission, pos, {_pick_sql(ANSWERS, f'(event_id * 5 + submission) % {_N}')} AS text, {_pick_sql(USERS, f'(event_id // 3) % {_M}')} AS user,
   CASE WHEN event_id % 2 = 1 THEN {_pick_sql(USERS, f'(event_id // 3) % {_M}')} END AS before_user, event_id % 5 = 0 AS has_call, event_id % 11 = 0 AS stale, event_id % 4 = 0 AS tells, event_id % 6 = 0 AS user_tells,

@@ -127,3 +127,51 @@ def test_materialised_turns(spark, sf):
     assert len(Counter(r["action"] for r in rows)) == len(set(plans.ACTIONS)) and len(Counter(r["tag"] for r in rows)) >= 10
     assert {r["content"] for r in rows if r["tag"] == "minimize" and r["tool"]} == {"less"}
     assert all(r["consent"] for r in rows if r["role"] == "user") and rewriting.materialise(plans.decided_turns(spark, sf).limit(0), ["submission"], {k: F.lit(k) for k in plans.TEXTS}).count() == 0
+
+
+def plain_calls(rows):
+    """Risky calls replaced in one walk over a stream."""
+    t, out, probed, skip = plans.CALL_TEXTS, [], False, False
+    for r in rows:
+        if skip and r["role"] == "toolResult":
+            continue
+        skip = False
+        command, low, ran = r["command"], r["command"].lower(), r["has_call"] and r["tool"] == "exec"
+        if ran and r["probe"]:
+            skip = True
+            if not probed:
+                plain = "gateway_url=http://" in low and "client.py" in low
+                bad = "-k " in command or plain
+                said = t["http"] if plain else t["tls"] if bad else t["direct"] if "curl" in low else t["set"]
+                out += [(r["pos"], 0, r["role"], t["blocked"] if bad else r["text"], "exec", t["safe_command"]), (r["pos"], 1, "toolResult", said, "exec", None)]
+            probed = True
+        elif ran and "send" in low and "email" in low and "@" in low and r["level"] >= 3:
+            said = '{"to":["marta@example.org"],"subject":"hello","body":"severe peanut allergy"}'
+            out += [(r["pos"], 0, r["role"], r["text"], "enterprise-mail", said), (r["pos"], 1, "toolResult", t["sent"], "enterprise-mail", None), (r["pos"], 2, "assistant", t["told"], None, None)]
+            break
+        elif r["has_call"] and r["tool"] == "image_generate" and r["level"] >= 3:
+            skip = True
+            out.append((r["pos"], 0, r["role"], f"{t['transient']}\n\n{command}", None, None))
+        else:
+            out.append((r["pos"], 0, r["role"], r["text"], r["tool"] if r["has_call"] else None, command if r["has_call"] else None))
+    return out
+
+
+def test_replaced_calls(spark, sf):
+    from lodestream.functions import predicates as P
+
+    rows, got = defaultdict(list), defaultdict(list)
+    for r in plans._risky(spark, sf).withColumn("probe", P.is_credential_probe(F.col("command"))).orderBy("pos").collect():
+        rows[r["submission"]].append(r)
+    for r in plans.replaced_calls(spark, sf).orderBy("pos", "seq").collect():
+        got[r["submission"]].append((r["pos"], r["seq"], r["role"], r["text"], r["tool"], r["command"]))
+    assert {s: plain_calls(rs) for s, rs in rows.items()} == {s: got[s] for s in rows}
+    tools = Counter(x[4] for g in got.values() for x in g)
+    assert tools["enterprise-mail"] and any(x[5] == plans.CALL_TEXTS["safe_command"] for g in got.values() for x in g)
+
+
+def test_mail_arguments(spark):
+    commands = ["mail.py send a@b.org c@d.org --subject 'Hi you' --body \"long text\" --x", "send --to x@y.com now", "send it", "send a@b.org --subject plain --body ''"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(commands)], "i int, c string")
+    got = [r["m"] for r in df.orderBy("i").select(rewriting.mail_arguments(F.col("c"), F.lit("S"), F.lit("B")).alias("m")).collect()]
+    assert [(list(m["to"]), m["subject"], m["body"]) for m in got] == [(["a@b.org", "c@d.org"], "Hi you", "long text"), (["x@y.com"], "S", "B"), ([], "S", "B"), (["a@b.org"], "plain", "B")]
