@@ -123,23 +123,23 @@ def merge_verdicts(verdicts: DataFrame, issues: DataFrame, by: list[str]) -> Dat
     )
 
 
-#: Rules whose rows get another text, or whose call becomes something else, by the kind of repair.
-TEXT_REPAIRS = {
-    "misapplied_hatch_refusal": "replaced_misapplied_hatch_refusal",
-    "misapplied_recovery_hatch_refusal": "replaced_misapplied_recovery_hatch_refusal",
-    "premature_recovery_purge_claim": "replaced_premature_recovery_purge_claim",
-    "missing_l4_plaintext_refusal": "inserted_missing_l4_plaintext_refusal",
-    "payment_confirmation_nonsequitur": "replaced_payment_confirmation_nonsequitur",
-    "security_gateway_tls": "replaced_insecure_gateway_text",
-    "security_gateway_http": "replaced_insecure_gateway_text",
-    "structural_garbled_final": "replaced_garbled_assistant_summary",
-    "l4_future_storage_claim": "replaced_l4_future_storage_claim",
-    "resource_over_refusal": "replaced_resource_over_refusal",
-    "naturality_context": "replaced_garbled_assistant_summary",
-}
+#: Repairs that leave nothing of an assistant row but another text, in the order in which they are tried, with the rules that ask for them.
+WHOLE_REPAIRS = (
+    ("replaced_misapplied_recovery_hatch_refusal", ("misapplied_recovery_hatch_refusal",)),
+    ("replaced_premature_recovery_purge_claim", ("premature_recovery_purge_claim",)),
+    ("replaced_misapplied_hatch_refusal", ("misapplied_hatch_refusal",)),
+    ("inserted_missing_l4_plaintext_refusal", ("missing_l4_plaintext_refusal",)),
+    ("replaced_payment_confirmation_nonsequitur", ("payment_confirmation_nonsequitur",)),
+    ("blocked_insecure_gateway_tool_call", ("security_gateway_command",)),
+    ("replaced_insecure_gateway_text", ("security_gateway_tls", "security_gateway_http")),
+    ("replaced_resource_over_refusal", ("resource_over_refusal",)),
+    ("replaced_garbled_assistant_summary", ("structural_garbled_final", "naturality_context")),
+    ("blocked_health_retention_for_amnesia_task", ("health_retention_in_amnesia_task",)),
+)
+#: Of these the results of the calls that go are unsafe and go with them; others are left to the normaliser, which drops orphans.
+UNSAFE_RESULTS = ("inserted_missing_l4_plaintext_refusal", "blocked_insecure_gateway_tool_call", "blocked_health_retention_for_amnesia_task")
+#: Repairs that change the call and leave its row, the first that is asked for.
 CALL_REPAIRS = {
-    "security_gateway_command": "blocked_insecure_gateway_tool_call",
-    "health_retention_in_amnesia_task": "blocked_health_retention_for_amnesia_task",
     "plaintext_l3_health_persistence": "sanitized_health_plaintext_persistence",
     "plaintext_l3_l4_persistence": "converted_sensitive_persistence_to_vault_set",
     "vault_signature:1": "converted_sensitive_persistence_to_vault_set",
@@ -147,69 +147,113 @@ CALL_REPAIRS = {
     "higher_tier_available": "downgraded_higher_tier_tool",
     "calendar_missing_write_call": "replaced_calendar_ls_with_visible_write",
 }
+#: Rules that are repaired without a person or model.
+REPAIRABLE = tuple(dict.fromkeys((*(r for _, rules in WHOLE_REPAIRS for r in rules), "l4_future_storage_claim", *(r.split(":")[0] for r in CALL_REPAIRS), "missing_exec_approval", "missing_exec_approval_events", "missing_resource_reread", "l3_l4_disclosure")))
+#: What becomes of a changed call's result: text and tool.
+VAULT_RESULT, CALENDAR_RESULT = ('{"ok": true}', "set"), ("(no output)", "exec")
+
+
+def whole_repair(rules: Column) -> Column:
+    """The first repair that replaces the whole row, for an array of broken rules; null if none does."""
+    kind = F.lit(None).cast("string")
+    for name, asked in reversed(WHOLE_REPAIRS):
+        kind = F.when(F.arrays_overlap(rules, F.array(*[F.lit(a) for a in asked])), F.lit(name)).otherwise(kind)
+    return kind
+
+
+def _fates(r: DataFrame, by: list[str], order: str, whole: Column, call: Column, drop_in: Column) -> DataFrame:
+    """The rows with ``_fate``, what the repairs of earlier calls of its id mean for a result, and ``_fate_tool``, the drop-in that the last of them became."""
+    made = F.when(F.col("has_call"), F.nullif("call_id", F.lit("")))
+    mine = F.when(whole.isin(*UNSAFE_RESULTS), 4).when(call == "converted_sensitive_persistence_to_vault_set", 3).when(call == "replaced_calendar_ls_with_visible_write", 2).when(call == "downgraded_higher_tier_tool", 1)
+    key = F.coalesce(made, F.when(F.col("role") == "toolResult", F.nullif("ref", F.lit(""))))
+    keyed = r.withColumn("_link", key).withColumn("_mine", F.when(made.isNotNull(), mine)).withColumn("_swap", F.when(F.col("_mine") == 1, drop_in))
+    w = Window.partitionBy(*by, "_link").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    is_result = (F.col("role") == "toolResult") & F.col("_link").isNotNull()
+    return keyed.withColumn("_fate", F.when(is_result, F.max("_mine").over(w))).withColumn("_fate_tool", F.when(is_result, F.last("_swap", ignorenulls=True).over(w))).drop("_link", "_mine", "_swap")
 
 
 def repair(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts: dict[str, str], lower: dict[str, str] | None = None, token: str = T.REDACTION_TOKEN) -> DataFrame:
     """The rows after one repair pass, with the columns that the next pass needs, ``repairs``, and an order value that is a decimal, as
-    inserted rows lie between: by, order, role, kind, text, tool, path, command, has_call, granted, declared, exact, request_valid, resolution_valid.
+    inserted rows lie between: by, order, role, kind, text, tool, path, command, has_call, granted, declared, exact, request_valid, resolution_valid,
+    and call_id and ref if the rows have them.
 
     ``texts`` gives the text for each kind of repair, ``lower`` the drop-in of a lower
     tier for a tool (see ``substitution.drop_ins``); tools without one are not downgraded, and
-    a file is deleted only where its row names it.  Texts of broken rules are replaced, disclosed values redacted, calls blocked or turned into vault
-    calls, and missing approvals, re-reads and deletions inserted before or
-    behind their row.  A row's repairs are listed in ``repairs``.
+    a file is deleted only where its row names it.  The first of ``WHOLE_REPAIRS`` leaves of a row nothing but its text, and no other repair
+    follows there.  Else a claim of storage gets another text, disclosed values are redacted, a call becomes a vault
+    call, a drop-in, a sanitised or a visible write, and missing approvals, re-reads and deletions are inserted before or
+    behind their row.  With ``call_id`` and ``ref``, results follow the calls of their id before them, the strongest repair first: a result of a blocked
+    call goes, one of a vault call or calendar write gets that call's answer, one of a downgraded call the drop-in's
+    name (disclosed values in it are redacted as well).  Results and calls without id, or with null, are not related.
+    A row's repairs are listed in ``repairs``.
     """
+    return repair_all(state, hits, by, order, texts, lower, token).filter("NOT removed").drop("removed")
+
+
+def repair_all(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts: dict[str, str], lower: dict[str, str] | None = None, token: str = T.REDACTION_TOKEN) -> DataFrame:
+    """What ``repair`` returns and, marked as ``removed``, the results that it takes away."""
+    linked = {"call_id", "ref"} <= set(state.columns)
     found = hits.groupBy(*by, order).agg(F.collect_set("rule").alias("_rules"))
     r = state.join(found, [*by, order], "left").withColumn("_rules", F.coalesce("_rules", F.array().cast("array<string>")))
     has = lambda rule: F.array_contains("_rules", rule)
-    new_text, kinds = F.lit(None).cast("string"), []
-    for rule, kind in reversed(TEXT_REPAIRS.items()):
-        new_text = F.when(has(rule), F.lit(texts.get(kind, ""))).otherwise(new_text)
-        kinds.append(F.when(has(rule), F.lit(kind)))
     drop_in = F.create_map(*[F.lit(x) for pair in (lower or {"": ""}).items() for x in pair])[F.col("tool")]
     call_kind = F.lit(None).cast("string")
     for rule, kind in reversed(CALL_REPAIRS.items()):
         can = drop_in.isNotNull() if kind == "downgraded_higher_tier_tool" else F.lit(True)
         call_kind = F.when(has(rule) & can, F.lit(kind)).otherwise(call_kind)
-    shown = has("l3_l4_disclosure") | has("tool_result_l3_l4_disclosure") | has("approval_l3_l4_disclosure")
-    kinds.append(F.when(has("tool_result_l3_l4_disclosure"), F.lit("redacted_sensitive_tool_result")).when(shown, F.lit("redacted_non_user_non_tool_sensitive_surfaces")))
-    r = r.withColumn("_call", call_kind).withColumn("_text", F.coalesce(new_text, F.when(shown, F.lit(token)), F.col("text")))
-    blocked = F.col("_call").startswith("blocked")
-    vault = F.col("_call") == "converted_sensitive_persistence_to_vault_set"
-    approve = (has("missing_exec_approval") | has("missing_exec_approval_events")) & ~F.coalesce(blocked | vault, F.lit(False))
-    reread = has("missing_resource_reread") & ~F.coalesce(blocked, F.lit(False))
+    r = r.withColumn("_whole", whole_repair(F.col("_rules"))).withColumn("_call", F.when(F.col("_whole").isNull(), call_kind))
+    whole, call = F.col("_whole"), F.col("_call")
+    r = _fates(r, by, order, whole, call, drop_in) if linked else r.withColumn("_fate", F.lit(None).cast("int")).withColumn("_fate_tool", F.lit(None).cast("string"))
+    new_text = F.lit("")
+    for kind, _ in reversed(WHOLE_REPAIRS):
+        new_text = F.when(whole == kind, F.lit(texts.get("blocked" if kind.startswith("blocked") else kind, ""))).otherwise(new_text)
+    kept, fate = whole.isNull(), F.col("_fate")
+    answered = F.coalesce(fate.isin(2, 3), F.lit(False))
+    claim = kept & has("l4_future_storage_claim")
+    shown = kept & ~claim & ~answered & (has("l3_l4_disclosure") | has("tool_result_l3_l4_disclosure") | has("approval_l3_l4_disclosure"))
+    in_result = shown & has("tool_result_l3_l4_disclosure")
+    vault = F.coalesce(call == "converted_sensitive_persistence_to_vault_set", F.lit(False))
+    emptied = vault | F.coalesce(call == "sanitized_health_plaintext_persistence", F.lit(False))
+    approve = kept & ~vault & (has("missing_exec_approval") | has("missing_exec_approval_events"))
+    reread = kept & has("missing_resource_reread")
     file = F.regexp_extract(F.concat_ws(" ", "command", "text"), T.CALENDAR_FILE, 0)
-    delete = has("calendar_missing_delete_after_reversal") & (file != "")
+    delete = kept & has("calendar_missing_delete_after_reversal") & (file != "")
+    done = [
+        whole, F.when(claim, "replaced_l4_future_storage_claim"), F.when(in_result, "redacted_sensitive_tool_result"), F.when(shown & ~in_result, "redacted_non_user_non_tool_sensitive_surfaces"), call,
+        F.when(approve, "inserted_exec_approval"), F.when(reread, "inserted_resource_reread"), F.when(delete, "deleted_calendar_file_after_save_reversal"),
+        F.when(fate == 4, "removed_unsafe_tool_result"), F.when(fate == 3, "rewrote_tool_result_to_vault_set"), F.when(fate == 2, "rewrote_calendar_write_tool_result"), F.when(fate == 1, "rewrote_tool_result_to_lower_tier_tool"),
+    ]
+    said = F.when(whole.isNotNull(), new_text).when(fate == 3, VAULT_RESULT[0]).when(fate == 2, CALENDAR_RESULT[0]).when(claim, texts.get("replaced_l4_future_storage_claim", "")).when(shown, token).otherwise(F.col("text"))
+    tool = F.when(vault, "set").when(call == "downgraded_higher_tier_tool", drop_in).when(fate == 3, VAULT_RESULT[1]).when(fate == 2, CALENDAR_RESULT[1]).when(fate == 1, F.col("_fate_tool")).otherwise(F.col("tool"))
+    write = F.concat(F.lit("cat > "), F.regexp_extract("command", T.CALENDAR_FILE, 0))
+    place = F.col(order).cast("decimal(20,3)")
     out = r.select(
-        *by, F.col(order).cast("decimal(20,3)").alias(order), "role", "kind",
-        F.when(blocked, F.lit(texts.get("blocked", ""))).otherwise(F.col("_text")).alias("text"),
-        F.when(vault, F.lit("set")).when(F.col("_call") == "downgraded_higher_tier_tool", drop_in).otherwise(F.col("tool")).alias("tool"),
-        F.when(vault | (F.col("_call") == "sanitized_health_plaintext_persistence"), F.lit("")).otherwise(F.col("path")).alias("path"),
-        F.when(F.col("_call") == "replaced_calendar_ls_with_visible_write", F.concat(F.lit("cat > "), F.regexp_extract("command", T.CALENDAR_FILE, 0))).when(vault | (F.col("_call") == "sanitized_health_plaintext_persistence"), F.lit("")).otherwise(F.col("command")).alias("command"),
-        (F.col("has_call") & ~F.coalesce(blocked, F.lit(False))).alias("has_call"),
-        (F.col("granted") | approve).alias("granted"), (F.col("declared") & ~F.coalesce(vault, F.lit(False))).alias("declared"),
-        (F.col("exact") | F.coalesce(vault, F.lit(False))).alias("exact"), "request_valid", "resolution_valid",
-        F.array_sort(F.array_distinct(F.array_compact(F.array(*kinds, F.col("_call"), F.when(approve, F.lit("inserted_exec_approval")), F.when(reread, F.lit("inserted_resource_reread")), F.when(delete, F.lit("deleted_calendar_file_after_save_reversal")))))).alias("repairs"),
+        *by, place.alias(order), "role", "kind", said.alias("text"), tool.alias("tool"), F.when(emptied, "").otherwise(F.col("path")).alias("path"),
+        F.when(call == "replaced_calendar_ls_with_visible_write", write).when(emptied, "").otherwise(F.col("command")).alias("command"),
+        (F.col("has_call") & kept).alias("has_call"), (F.col("granted") | approve).alias("granted"), (F.col("declared") & ~vault).alias("declared"), (F.col("exact") | vault).alias("exact"),
+        "request_valid", "resolution_valid", *((F.when(kept, F.col("call_id")).alias("call_id"), "ref") if linked else ()),
+        F.array_sort(F.array_distinct(F.array_compact(F.array(*done)))).alias("repairs"), F.coalesce(fate == 4, F.lit(False)).alias("removed"),
     )
     none = F.array().cast("array<string>")
 
-    def added(when: Column, step: float, role: str, kind: str, text: str, tool: str = "", command: Column | str = "", is_call: bool = False) -> DataFrame:
-        said = command if isinstance(command, Column) else F.lit(command)
+    def added(when: Column, step: float, role: str, kind: str = "", text: str = "", tool: str = "", command: Column | None = None, of: str = "") -> DataFrame:
+        """Rows beside the rows of ``when``; a call and its result share an id made of ``of`` and the row's place."""
+        is_call, number = role == "assistant", F.concat(F.lit(f"{of}-"), F.col(order).cast("string"))
+        ids = (F.when(F.lit(is_call), number).alias("call_id"), F.when(F.lit(role == "toolResult"), number).alias("ref")) if linked else ()
         return r.filter(when).select(
-            *by, (F.col(order).cast("decimal(20,3)") + F.lit(step).cast("decimal(20,3)")).cast("decimal(20,3)").alias(order), F.lit(role).alias("role"), F.lit(kind).alias("kind"), F.lit(text).alias("text"),
-            F.lit(tool).alias("tool"), F.lit("").alias("path"), said.alias("command"), F.lit(is_call).alias("has_call"), F.lit(True).alias("granted"), F.lit(False).alias("declared"), F.lit(True).alias("exact"),
-            F.lit(kind == "exec.approval.requested").alias("request_valid"), F.lit(kind == "exec.approval.resolved").alias("resolution_valid"), none.alias("repairs"),
+            *by, (place + F.lit(step).cast("decimal(20,3)")).cast("decimal(20,3)").alias(order), F.lit(role).alias("role"), F.lit(kind).alias("kind"), F.lit(text).alias("text"), F.lit(tool).alias("tool"),
+            F.lit("").alias("path"), (F.lit("") if command is None else command).alias("command"), F.lit(is_call).alias("has_call"), F.lit(True).alias("granted"), F.lit(False).alias("declared"), F.lit(True).alias("exact"),
+            F.lit(kind == "exec.approval.requested").alias("request_valid"), F.lit(kind == "exec.approval.resolved").alias("resolution_valid"), *ids, none.alias("repairs"), F.lit(False).alias("removed"),
         )
 
-    inserts = [
-        added(approve, -0.4, "custom", "exec.approval.requested", ""),
-        added(approve, -0.3, "custom", "exec.approval.resolved", ""),
-        added(reread, -0.6, "assistant", "", texts.get("inserted_resource_reread", ""), "read", "", True),
-        added(reread, -0.5, "toolResult", "", ""),
-        added(delete, 0.1, "assistant", "", "", "exec", F.concat(F.lit("rm -f "), file), True),
-        added(delete, 0.2, "toolResult", "", "(no output)"),
-    ]
-    for more in inserts:
+    for more in (
+        added(approve, -0.4, "custom", "exec.approval.requested"),
+        added(approve, -0.3, "custom", "exec.approval.resolved"),
+        added(reread, -0.6, "assistant", text=texts.get("inserted_resource_reread", ""), tool="read", of="reread"),
+        added(reread, -0.5, "toolResult", of="reread"),
+        added(delete, 0.1, "assistant", tool="exec", command=F.concat(F.lit("rm -f "), file), of="delete"),
+        added(delete, 0.2, "toolResult", text="(no output)", of="delete"),
+    ):
         out = out.unionByName(more)
     return out
 
@@ -233,4 +277,4 @@ def repair_until_stable(rows: DataFrame, held: DataFrame, by: list[str], order:
 
 def triage(rule: Column) -> Column:
     """Whether an issue is repaired by rule or needs a person or model."""
-    return F.when(rule.isin(*[x.split(":")[0] for x in (*TEXT_REPAIRS, *CALL_REPAIRS)], "missing_exec_approval", "missing_exec_approval_events", "missing_resource_reread", "l3_l4_disclosure"), "deterministic").otherwise("assisted")
+    return F.when(rule.isin(*REPAIRABLE), "deterministic").otherwise("assisted")

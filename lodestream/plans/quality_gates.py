@@ -77,22 +77,24 @@ def gated_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOWER = {"web_search": "rag_search", "browser": "enterprise-mail", "enterprise-vault": "write"}
 
 
-def repaired_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One repair pass: the rows with their repairs."""
+def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _state(rows(spark, sf_dir)).withColumn("exact", _exact())
-    hits = gates.gate_hits(state, _BY, "pos", _rules())
-    return gates.repair(state, hits, _BY, "pos", TEXTS, LOWER)
+    return gates.repair_all(state, gates.gate_hits(state, _BY, "pos", _rules()), _BY, "pos", TEXTS, LOWER)
+
+
+def repaired_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One repair pass: the rows with their repairs, comma-joined; removed results are marked."""
+    return _repaired(spark, sf_dir).withColumn("repairs", F.array_join("repairs", ","))
 
 
 def repair_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = repaired_streams(spark, sf_dir)
-    return done.select(F.explode("repairs").alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+    return _repaired(spark, sf_dir).select(F.explode("repairs").alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 def repair_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rule hits there are before each repair pass, and after the last."""
     start = _state(rows(spark, sf_dir)).withColumn("exact", _exact())
-    columns = ["role", "kind", "text", "tool", "path", "command", "has_call", "granted", "declared", "exact", "request_valid", "resolution_valid"]
+    columns = ["role", "kind", "text", "tool", "path", "command", "has_call", "granted", "declared", "exact", "request_valid", "resolution_valid", "call_id", "ref"]
     _, found = gates.repair_until_stable(start.select("submission", "pos", *columns), held(spark, sf_dir), _BY, "pos", REFUSAL, TEXTS, lambda: _rules(F.col("exact")), checkpoint, lower=LOWER)
     return spark.createDataFrame(list(enumerate(found)), "pass int, n_hits long")
 
@@ -175,12 +177,59 @@ _HITS = (
 )
 _ISSUES = f"""(SELECT submission, turn, min(pos) AS pos, split_part(rule, ':', 1) AS rule, CASE WHEN contains(rule, ':') THEN split_part(rule, ':', 2) ELSE '1' END AS site,
   CASE split_part(rule, ':', 1) WHEN 'missing_l4_plaintext_refusal' THEN 'critical' WHEN 'naturality_context' THEN 'minor' ELSE 'major' END AS severity FROM {_HITS} h GROUP BY submission, turn, h.rule)"""
+
+_ASKED = lambda rules: " OR ".join(f"list_contains(rules, {sql_text(r)})" for r in rules)
+_WHOLE_SQL = "CASE " + " ".join(f"WHEN {_ASKED(rules)} THEN {sql_text(kind)}" for kind, rules in gates.WHOLE_REPAIRS) + " END"
+_LOWER_SQL = "CASE tool " + " ".join(f"WHEN {sql_text(k)} THEN {sql_text(v)}" for k, v in LOWER.items()) + " END"
+_CALL_SQL = (
+    "CASE WHEN whole IS NOT NULL THEN NULL "
+    + " ".join(f"WHEN {_ASKED([r])}{' AND drop_in IS NOT NULL' if kind == 'downgraded_higher_tier_tool' else ''} THEN {sql_text(kind)}" for r, kind in gates.CALL_REPAIRS.items())
+    + " END"
+)
+_NEW_SQL = "CASE whole " + " ".join(f"WHEN {sql_text(k)} THEN {sql_text(TEXTS['blocked' if k.startswith('blocked') else k])}" for k, _ in gates.WHOLE_REPAIRS) + " END"
+_FILE_SQL = sql_text(T.CALENDAR_FILE)
+_UNSAFE = ", ".join(map(sql_text, gates.UNSAFE_RESULTS))
+_PASS = f"""(WITH h AS (SELECT submission, pos, list(DISTINCT rule) AS rules FROM {_HITS} GROUP BY ALL),
+  s AS (SELECT s.*, coalesce(h.rules, []) AS rules, {_EXACT} AS exact, {_LOWER_SQL} AS drop_in, CASE WHEN has_call THEN nullif(call_id, '') END AS made FROM {_STATE} s LEFT JOIN h USING (submission, pos)),
+  w AS (SELECT *, {_WHOLE_SQL} AS whole FROM s), c AS (SELECT *, {_CALL_SQL} AS call FROM w),
+  f AS (SELECT submission, pos, made, drop_in, CASE WHEN whole IN ({_UNSAFE}) THEN 4 WHEN call = 'converted_sensitive_persistence_to_vault_set' THEN 3
+    WHEN call = 'replaced_calendar_ls_with_visible_write' THEN 2 WHEN call = 'downgraded_higher_tier_tool' THEN 1 END AS mine FROM c WHERE made IS NOT NULL),
+  g AS (SELECT r.submission, r.pos, max(f.mine) AS fate, arg_max(f.drop_in, f.pos) FILTER (f.mine = 1) AS swap FROM c r JOIN f ON f.submission = r.submission AND f.made = r.ref AND f.pos < r.pos
+    WHERE r.role = 'toolResult' AND r.ref <> '' AND f.mine IS NOT NULL GROUP BY ALL),
+  k AS (SELECT c.*, fate, swap, whole IS NULL AS kept, whole IS NULL AND {_ASKED(['l4_future_storage_claim'])} AS claim,
+      coalesce(call = 'converted_sensitive_persistence_to_vault_set', false) AS vault, coalesce(call IN ('converted_sensitive_persistence_to_vault_set', 'sanitized_health_plaintext_persistence'), false) AS emptied,
+      regexp_extract(command || ' ' || text, {_FILE_SQL}) AS file FROM c LEFT JOIN g USING (submission, pos)),
+  m AS (SELECT *, kept AND NOT claim AND coalesce(fate NOT IN (2, 3), true) AND ({_ASKED(['l3_l4_disclosure', 'tool_result_l3_l4_disclosure', 'approval_l3_l4_disclosure'])}) AS shown,
+      kept AND NOT vault AND ({_ASKED(['missing_exec_approval', 'missing_exec_approval_events'])}) AS approve, kept AND {_ASKED(['missing_resource_reread'])} AS again,
+      kept AND {_ASKED(['calendar_missing_delete_after_reversal'])} AND file <> '' AS gone FROM k),
+  own AS (SELECT submission, pos::DECIMAL(20,3) AS pos, role, kind,
+      CASE WHEN NOT kept THEN {_NEW_SQL} WHEN fate = 3 THEN {sql_text(gates.VAULT_RESULT[0])} WHEN fate = 2 THEN {sql_text(gates.CALENDAR_RESULT[0])}
+        WHEN claim THEN {sql_text(TEXTS['replaced_l4_future_storage_claim'])} WHEN shown THEN {sql_text(T.REDACTION_TOKEN)} ELSE text END AS text,
+      CASE WHEN vault THEN 'set' WHEN call = 'downgraded_higher_tier_tool' THEN drop_in WHEN fate = 3 THEN {sql_text(gates.VAULT_RESULT[1])} WHEN fate = 2 THEN {sql_text(gates.CALENDAR_RESULT[1])} WHEN fate = 1 THEN swap ELSE tool END AS tool,
+      CASE WHEN emptied THEN '' ELSE path END AS path,
+      CASE WHEN call = 'replaced_calendar_ls_with_visible_write' THEN 'cat > ' || regexp_extract(command, {_FILE_SQL}) WHEN emptied THEN '' ELSE command END AS command,
+      has_call AND kept AS has_call, granted OR approve AS granted, declared AND NOT vault AS declared, exact OR vault AS exact, request_valid, resolution_valid, CASE WHEN kept THEN call_id END AS call_id, ref,
+      list_sort(list_filter([whole, call, CASE WHEN claim THEN 'replaced_l4_future_storage_claim' END,
+        CASE WHEN shown AND list_contains(rules, 'tool_result_l3_l4_disclosure') THEN 'redacted_sensitive_tool_result' WHEN shown THEN 'redacted_non_user_non_tool_sensitive_surfaces' END,
+        CASE WHEN approve THEN 'inserted_exec_approval' END, CASE WHEN again THEN 'inserted_resource_reread' END, CASE WHEN gone THEN 'deleted_calendar_file_after_save_reversal' END,
+        CASE fate WHEN 4 THEN 'removed_unsafe_tool_result' WHEN 3 THEN 'rewrote_tool_result_to_vault_set' WHEN 2 THEN 'rewrote_calendar_write_tool_result' WHEN 1 THEN 'rewrote_tool_result_to_lower_tier_tool' END],
+        lambda q: q IS NOT NULL)) AS repairs, coalesce(fate = 4, false) AS removed FROM m),
+  more AS (SELECT m.submission, (m.pos + v.step)::DECIMAL(20,3) AS pos, v.role, v.kind, v.text, v.tool, '' AS path, CASE WHEN v.step = 0.1 THEN 'rm -f ' || file ELSE '' END AS command, v.role = 'assistant' AS has_call, true AS granted,
+      false AS declared, true AS exact, v.kind = 'exec.approval.requested' AS request_valid, v.kind = 'exec.approval.resolved' AS resolution_valid,
+      CASE WHEN v.role = 'assistant' THEN v.why || '-' || m.pos END AS call_id, CASE WHEN v.role = 'toolResult' THEN v.why || '-' || m.pos END AS ref, []::VARCHAR[] AS repairs, false AS removed
+    FROM m JOIN (VALUES (-0.4, 'approve', 'custom', 'exec.approval.requested', '', ''), (-0.3, 'approve', 'custom', 'exec.approval.resolved', '', ''),
+      (-0.6, 'reread', 'assistant', '', {sql_text(TEXTS['inserted_resource_reread'])}, 'read'), (-0.5, 'reread', 'toolResult', '', '', ''),
+      (0.1, 'delete', 'assistant', '', '', 'exec'), (0.2, 'delete', 'toolResult', '', '(no output)', '')) v (step, why, role, kind, text, tool)
+      ON v.why = 'approve' AND m.approve OR v.why = 'reread' AND m.again OR v.why = 'delete' AND m.gone)
+  SELECT * FROM own UNION ALL SELECT * FROM more)"""
 _ASSISTED = "('calendar_missing_delete_after_reversal', 'tool_result_l3_l4_disclosure', 'exec_approval_signature', 'approval_l3_l4_disclosure')"
 ORACLE_SQL = {
     "gate_states": f"SELECT event_id, turn, level, tier, is_write, resource, reread, pending, calendar, required, approvals FROM {_STATE}",
     "gate_hits": f"SELECT submission, pos, rule FROM {_HITS}",
     "gate_issues": f"SELECT * FROM {_ISSUES}",
     "gate_rule_histogram": f"SELECT rule, severity, CASE WHEN rule IN {_ASSISTED} THEN 'assisted' ELSE 'deterministic' END AS route, count(*) AS n FROM {_ISSUES} GROUP BY ALL",
+    "repaired_streams": f"SELECT * REPLACE (array_to_string(repairs, ',') AS repairs) FROM {_PASS}",
+    "repair_kinds": f"SELECT kind, count(*) AS n FROM (SELECT unnest(repairs) AS kind FROM {_PASS}) GROUP BY kind",
     "gated_verdicts": f"""SELECT *, CASE WHEN verdict = 'PASS' AND n_issues = 0 THEN 'PASS' WHEN verdict = 'MINOR_ISSUES' THEN 'MINOR_FIXED' ELSE 'NEEDS_HUMAN_REVIEW' END AS status FROM (
       SELECT u.submission, CASE WHEN n IS NULL THEN 'PASS' WHEN serious THEN 'FAIL' ELSE 'MINOR_ISSUES' END AS verdict, (CASE WHEN n IS NULL THEN u.submission % 6 ELSE least(u.submission % 6, CASE WHEN serious THEN 2 ELSE 4 END) END)::INT AS privacy,
         CASE WHEN n IS NULL THEN u.submission % 11 / 2 ELSE least(u.submission % 11 / 2, CASE WHEN serious THEN 2.0 ELSE 4.0 END) END::DOUBLE AS overall, coalesce(n, 0) AS n_issues

@@ -48,3 +48,42 @@ def test_downgrades_and_deletions_need_their_names(spark):
         (1.0, "own_search", "", ["downgraded_higher_tier_tool"]), (2.0, "browser", "", []), (3.0, "exec", "rm appointment-2026-05-28.ics", ["deleted_calendar_file_after_save_reversal"]),
         (3.1, "exec", "rm -f appointment-2026-05-28.ics", []), (4.0, "exec", "ls", []),
     ]
+
+
+def test_results_follow_their_repaired_calls(spark):
+    schema = (
+        "k int, pos int, role string, kind string, text string, tool string, path string, command string, has_call boolean, granted boolean, declared boolean, exact boolean, request_valid boolean, resolution_valid boolean,"
+        " call_id string, ref string"
+    )
+
+    def row(k, i, role, tool, call_id=None, ref=None, command=""):
+        return (k, i, role, "", "t", tool, "", command, role == "assistant" and call_id is not None, True, False, True, False, False, call_id, ref)
+
+    state = [
+        row(1, 1, "assistant", "exec", "a"), row(1, 2, "assistant", "write", "b"), row(1, 3, "toolResult", "write", ref="b"), row(1, 4, "toolResult", "exec", ref="a"),
+        row(1, 5, "assistant", "exec", "c", command="ls appointment-2026-05-28.ics"), row(1, 6, "toolResult", "exec", ref="c"), row(1, 7, "assistant", "web_search", "d"), row(1, 8, "toolResult", "web_search", ref="d"),
+        row(1, 9, "toolResult", "exec", ref=""), row(1, 10, "toolResult", "exec"), row(1, 11, "assistant", "exec", "", command="x"), row(1, 12, "assistant", "exec", "e"), row(1, 13, "toolResult", "exec", ref="e"),
+        row(2, 1, "toolResult", "exec", ref="a"), row(2, 2, "assistant", "exec", "a"),
+    ]
+    hits = [
+        (1, 1, "security_gateway_command"), (1, 1, "missing_exec_approval"), (1, 2, "plaintext_l3_l4_persistence"), (1, 3, "tool_result_l3_l4_disclosure"), (1, 5, "calendar_missing_write_call"), (1, 7, "higher_tier_available"),
+        (1, 8, "tool_result_l3_l4_disclosure"), (1, 11, "health_retention_in_amnesia_task"), (1, 12, "resource_over_refusal"), (2, 2, "security_gateway_command"),
+    ]
+    out = gates.repair_all(spark.createDataFrame(state, schema), spark.createDataFrame(hits, "k int, pos int, rule string"), ["k"], "pos", {"blocked": "no"}, {"web_search": "own_search"}, "[token]")
+    got = {(r["k"], float(r["pos"])): (r["tool"], r["text"], r["removed"], *r["repairs"]) for r in out.collect()}
+    assert got == {
+        (1, 1.0): ("exec", "no", False, "blocked_insecure_gateway_tool_call"),
+        (1, 2.0): ("set", "t", False, "converted_sensitive_persistence_to_vault_set"),
+        (1, 3.0): ("set", '{"ok": true}', False, "rewrote_tool_result_to_vault_set"),
+        (1, 4.0): ("exec", "t", True, "removed_unsafe_tool_result"),
+        (1, 5.0): ("exec", "t", False, "replaced_calendar_ls_with_visible_write"),
+        (1, 6.0): ("exec", "(no output)", False, "rewrote_calendar_write_tool_result"),
+        (1, 7.0): ("own_search", "t", False, "downgraded_higher_tier_tool"),
+        (1, 8.0): ("own_search", "[token]", False, "redacted_sensitive_tool_result", "rewrote_tool_result_to_lower_tier_tool"),
+        (1, 9.0): ("exec", "t", False), (1, 10.0): ("exec", "t", False),
+        (1, 11.0): ("exec", "no", False, "blocked_health_retention_for_amnesia_task"),
+        (1, 12.0): ("exec", "", False, "replaced_resource_over_refusal"), (1, 13.0): ("exec", "t", False),
+        (2, 1.0): ("exec", "t", False), (2, 2.0): ("exec", "no", False, "blocked_insecure_gateway_tool_call"),
+    }
+    empty = gates.repair_all(spark.createDataFrame([], schema), spark.createDataFrame([], "k int, pos int, rule string"), ["k"], "pos", {})
+    assert empty.count() == 0
