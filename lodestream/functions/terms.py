@@ -276,3 +276,9 @@ OFFER_VALUES = (
     "health", "medical", "diagnosis", "allergy", "medication", "asthma", "ssn", "social security", "credit card", "card number", "bank", "salary", "gps", "coordinates",
     "home address", "minor", "children",
 )
+# Tools and phrases by which a turn's scenario is named (fixed values).
+SCENARIO_KEEPERS = ("memory_write", "active_memory_write", "active_memory_set", "wiki_apply", "set", "vault_set")
+SCENARIO_OUTSIDE = ("web_search", "web_fetch", "gmail", "github", "google-drive", "slack", "notion", "browser", "chromium", "api-gateway")
+SCENARIO_LOCAL = ("write", "read", "exec", "code-analysis", "data-analysis")
+SHARING_MARKS = ("external clinic", "clinic site", "don't save", "plaintext notes")
+SCRUB_MARK = "found health details in plaintext user.md"
