@@ -95,10 +95,14 @@ def gate_rules(refusal: str, hosts: tuple[str, ...] = (), has_lower: Column | No
     }
 
 
+def broken_rules(rules: dict[str, Column]) -> Column:
+    """The names of the rules that a row of ``gate_state`` breaks."""
+    return F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in rules.items()]))
+
+
 def gate_hits(state: DataFrame, by: list[str], order: str, rules: dict[str, Column]) -> DataFrame:
     """One row (by, order, turn, rule) for every rule that a row breaks, before issues are de-duplicated."""
-    broken = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in rules.items()]))
-    return state.select(*by, order, "turn", F.explode(broken).alias("rule"))
+    return state.select(*by, order, "turn", F.explode(broken_rules(rules)).alias("rule"))
 
 
 def gate_issues(hits: DataFrame, by: list[str], order: str) -> DataFrame:
@@ -172,11 +176,12 @@ def _fates(r: DataFrame, by: list[str], order: str, whole: Column, call: Column,
     return keyed.withColumn("_fate", F.when(is_result, F.max("_mine").over(w))).withColumn("_fate_tool", F.when(is_result, F.last("_swap", ignorenulls=True).over(w))).drop("_link", "_mine", "_swap")
 
 
-def repair(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts: dict[str, str], lower: dict[str, str] | None = None, token: str = T.REDACTION_TOKEN) -> DataFrame:
+def repair(state: DataFrame, hits: DataFrame | None, by: list[str], order: str, texts: dict[str, str], lower: dict[str, str] | None = None, token: str = T.REDACTION_TOKEN) -> DataFrame:
     """The rows after one repair pass, with the columns that the next pass needs, ``repairs``, and an order value that is a decimal, as
     inserted rows lie between: by, order, role, kind, text, tool, path, command, has_call, granted, declared, exact, request_valid, resolution_valid,
     and call_id and ref if the rows have them.
 
+    ``hits`` are those of ``gate_hits``; without them ``state`` has an array ``rules`` of each row's broken rules, which saves a join.
     ``texts`` gives the text for each kind of repair, ``lower`` the drop-in of a lower
     tier for a tool (see ``substitution.drop_ins``); tools without one are not downgraded, and
     a file is deleted only where its row names it.  The first of ``WHOLE_REPAIRS`` leaves of a row nothing but its text, and no other repair
@@ -190,11 +195,15 @@ def repair(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts:
     return repair_all(state, hits, by, order, texts, lower, token).filter("NOT removed").drop("removed")
 
 
-def repair_all(state: DataFrame, hits: DataFrame, by: list[str], order: str, texts: dict[str, str], lower: dict[str, str] | None = None, token: str = T.REDACTION_TOKEN) -> DataFrame:
+def repair_all(state: DataFrame, hits: DataFrame | None, by: list[str], order: str, texts: dict[str, str], lower: dict[str, str] | None = None, token: str = T.REDACTION_TOKEN) -> DataFrame:
     """What ``repair`` returns and, marked as ``removed``, the results that it takes away."""
     linked = {"call_id", "ref"} <= set(state.columns)
-    found = hits.groupBy(*by, order).agg(F.collect_set("rule").alias("_rules"))
-    r = state.join(found, [*by, order], "left").withColumn("_rules", F.coalesce("_rules", F.array().cast("array<string>")))
+    none = F.array().cast("array<string>")
+    if hits is None:
+        r = state.withColumn("_rules", F.coalesce("rules", none))
+    else:
+        found = hits.groupBy(*by, order).agg(F.collect_set("rule").alias("_rules"))
+        r = state.join(found, [*by, order], "left").withColumn("_rules", F.coalesce("_rules", none))
     has = lambda rule: F.array_contains("_rules", rule)
     drop_in = F.create_map(*[F.lit(x) for pair in (lower or {"": ""}).items() for x in pair])[F.col("tool")]
     call_kind = F.lit(None).cast("string")
@@ -227,35 +236,36 @@ def repair_all(state: DataFrame, hits: DataFrame, by: list[str], order: str, tex
     tool = F.when(vault, "set").when(call == "downgraded_higher_tier_tool", drop_in).when(fate == 3, VAULT_RESULT[1]).when(fate == 2, CALENDAR_RESULT[1]).when(fate == 1, F.col("_fate_tool")).otherwise(F.col("tool"))
     write = F.concat(F.lit("cat > "), F.regexp_extract("command", T.CALENDAR_FILE, 0))
     place = F.col(order).cast("decimal(20,3)")
-    out = r.select(
-        *by, place.alias(order), "role", "kind", said.alias("text"), tool.alias("tool"), F.when(emptied, "").otherwise(F.col("path")).alias("path"),
-        F.when(call == "replaced_calendar_ls_with_visible_write", write).when(emptied, "").otherwise(F.col("command")).alias("command"),
-        (F.col("has_call") & kept).alias("has_call"), (F.col("granted") | approve).alias("granted"), (F.col("declared") & ~vault).alias("declared"), (F.col("exact") | vault).alias("exact"),
-        "request_valid", "resolution_valid", *((F.when(kept, F.col("call_id")).alias("call_id"), "ref") if linked else ()),
-        F.array_sort(F.array_distinct(F.array_compact(F.array(*done)))).alias("repairs"), F.coalesce(fate == 4, F.lit(False)).alias("removed"),
-    )
-    none = F.array().cast("array<string>")
-
-    def added(when: Column, step: float, role: str, kind: str = "", text: str = "", tool: str = "", command: Column | None = None, of: str = "") -> DataFrame:
-        """Rows beside the rows of ``when``; a call and its result share an id made of ``of`` and the row's place."""
-        is_call, number = role == "assistant", F.concat(F.lit(f"{of}-"), F.col(order).cast("string"))
-        ids = (F.when(F.lit(is_call), number).alias("call_id"), F.when(F.lit(role == "toolResult"), number).alias("ref")) if linked else ()
-        return r.filter(when).select(
-            *by, (place + F.lit(step).cast("decimal(20,3)")).cast("decimal(20,3)").alias(order), F.lit(role).alias("role"), F.lit(kind).alias("kind"), F.lit(text).alias("text"), F.lit(tool).alias("tool"),
-            F.lit("").alias("path"), (F.lit("") if command is None else command).alias("command"), F.lit(is_call).alias("has_call"), F.lit(True).alias("granted"), F.lit(False).alias("declared"), F.lit(True).alias("exact"),
-            F.lit(kind == "exec.approval.requested").alias("request_valid"), F.lit(kind == "exec.approval.resolved").alias("resolution_valid"), *ids, none.alias("repairs"), F.lit(False).alias("removed"),
-        )
-
-    for more in (
+    links = {"call_id": F.when(kept, F.col("call_id")), "ref": F.col("ref")} if linked else {}
+    own = {
+        order: place, "role": F.col("role"), "kind": F.col("kind"), "text": said, "tool": tool, "path": F.when(emptied, "").otherwise(F.col("path")),
+        "command": F.when(call == "replaced_calendar_ls_with_visible_write", write).when(emptied, "").otherwise(F.col("command")),
+        "has_call": F.col("has_call") & kept, "granted": F.col("granted") | approve, "declared": F.col("declared") & ~vault, "exact": F.col("exact") | vault,
+        "request_valid": F.col("request_valid"), "resolution_valid": F.col("resolution_valid"), **links,
+        "repairs": F.array_sort(F.array_distinct(F.array_compact(F.array(*done)))), "removed": F.coalesce(fate == 4, F.lit(False)),
+    }
+
+    def added(when: Column, step: float, role: str, kind: str = "", text: str = "", tool: str = "", command: Column | None = None, of: str = "") -> Column:
+        """A row beside a row of ``when``, else null; a call and its result share an id made of ``of`` and the row's place."""
+        is_call, number, nothing = role == "assistant", F.concat(F.lit(f"{of}-"), F.col(order).cast("string")), F.lit(None).cast("string")
+        ids = {"call_id": number if is_call else nothing, "ref": number if role == "toolResult" else nothing} if linked else {}
+        row = {
+            order: (place + F.lit(step).cast("decimal(20,3)")).cast("decimal(20,3)"), "role": F.lit(role), "kind": F.lit(kind), "text": F.lit(text), "tool": F.lit(tool), "path": F.lit(""),
+            "command": F.lit("") if command is None else command, "has_call": F.lit(is_call), "granted": F.lit(True), "declared": F.lit(False), "exact": F.lit(True),
+            "request_valid": F.lit(kind == "exec.approval.requested"), "resolution_valid": F.lit(kind == "exec.approval.resolved"), **ids, "repairs": none, "removed": F.lit(False),
+        }
+        return F.when(when, F.struct(*[c.alias(n) for n, c in row.items()]))
+
+    rows = F.array(
+        F.struct(*[c.alias(n) for n, c in own.items()]),
         added(approve, -0.4, "custom", "exec.approval.requested"),
         added(approve, -0.3, "custom", "exec.approval.resolved"),
         added(reread, -0.6, "assistant", text=texts.get("inserted_resource_reread", ""), tool="read", of="reread"),
         added(reread, -0.5, "toolResult", of="reread"),
         added(delete, 0.1, "assistant", tool="exec", command=F.concat(F.lit("rm -f "), file), of="delete"),
         added(delete, 0.2, "toolResult", text="(no output)", of="delete"),
-    ):
-        out = out.unionByName(more)
-    return out
+    )
+    return r.select(*by, F.inline(F.array_compact(rows)))
 
 
 def repair_until_stable(rows: DataFrame, held: DataFrame, by: list[str], order: str, refusal: str, texts: dict[str, str], rules: Callable[[], dict[str, Column]], checkpoint: Callable[[DataFrame], DataFrame], most: int = 3, lower: dict[str, str] | None = None) -> tuple[DataFrame, list[int]]:

@@ -79,7 +79,7 @@ LOWER = {"web_search": "rag_search", "browser": "enterprise-mail", "enterprise-v
 
 def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _state(rows(spark, sf_dir)).withColumn("exact", _exact())
-    return gates.repair_all(state, gates.gate_hits(state, _BY, "pos", _rules()), _BY, "pos", TEXTS, LOWER)
+    return gates.repair_all(state.withColumn("rules", gates.broken_rules(_rules())), None, _BY, "pos", TEXTS, LOWER)
 
 
 def repaired_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
