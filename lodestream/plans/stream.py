@@ -101,10 +101,27 @@ VALUES_SQL = "(SELECT * FROM (VALUES " + ", ".join(f"({i}, {sql_text(t)}, '{labe
 ENTITIES_SQL = f"(SELECT submission, v.* FROM (SELECT DISTINCT user_id AS submission FROM events), {VALUES_SQL} v WHERE (submission + number) % 3 <> 0)"
 
 
+#: Rows of streams for one task: windows over wide rows sort some times over, and keep about 6 KB a row.
+TASK_ROWS = 25_000
+
+
+def dealt(rows: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Rows by key, in a number of partitions that grows with the rows.
+
+    Rows are narrow here and grow wide behind the shuffle, so that its bytes, by which Spark
+    merges partitions, don't tell what a task will hold.
+    """
+    session = rows.sparkSession
+    wanted = -(-rows.count() // task_rows)
+    if wanted <= session.sparkContext.defaultParallelism:
+        return rows
+    return rows.repartition(max(wanted, int(session.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns: event_id, submission, event_type, value, ms, pos, role, has_call, id, level, approval_id, run_id, granted, declared, kind, text, tool, path, command, parent, call_id, ref."""
     by = Window.partitionBy("submission").orderBy("pos")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = dealt(spark.read.parquet(f"{sf_dir}/events.parquet"), "user_id")
     ms = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) - CASE WHEN event_id % 17 = 0 THEN 2592000000 ELSE 0 END")
     pos = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("long")
     rows = events.select("event_id", F.col("user_id").alias("submission"), "event_type", "value", ms.alias("ms"), pos.alias("pos"))
