@@ -48,12 +48,12 @@ def result_fields(result: Column) -> Column:
         """The value as text; null for booleans, 0 and 1 (which say as little), lists and objects."""
         text, kind = F.try_variant_get(value, "$", "string"), F.schema_of_variant(value)
         number = F.try_variant_get(value, "$", "double")
-        said = F.when(kind.startswith("ARRAY") | kind.startswith("OBJECT") | kind.isin("BOOLEAN", "VOID"), F.lit(None)).when(kind == "STRING", text).when(~number.isin(0.0, 1.0), text)
-        return F.when(X.is_real_value(said), said)
+        return F.when(kind == "STRING", text).when(~kind.rlike("^(ARRAY|OBJECT|BOOLEAN$|VOID$)") & ~number.isin(0.0, 1.0), text)
 
     def of(entry: Column) -> Column:
         items = F.when(F.schema_of_variant(entry["value"]).startswith("ARRAY"), F.try_variant_get(entry["value"], "$", "array<variant>")).otherwise(F.array(entry["value"]))
-        return F.transform(F.array_distinct(F.array_compact(F.transform(items, plain))), lambda v: F.struct(entry["key"].alias("field"), v.alias("value")))
+        said = F.filter(F.array_compact(F.transform(items, plain)), X.is_real_value)
+        return F.transform(F.array_distinct(said), lambda v: F.struct(entry["key"].alias("field"), v.alias("value")))
 
     fields = F.flatten(F.transform(F.map_entries(F.try_variant_get(parsed, "$", "map<string,variant>")), of))
     return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), fields)
@@ -62,36 +62,48 @@ def result_fields(result: Column) -> Column:
 TOKEN = r"[A-Za-z0-9_]+"
 
 
+def _pairs(tokens: Column) -> Column:
+    """Each token with the one behind it."""
+    return F.array_compact(F.zip_with(tokens, F.slice(tokens, 2, 1 << 30), lambda a, b: F.concat(a, F.lit(" "), b)))
+
+
 def last_mentions(values: DataFrame, texts: DataFrame, by: list[str], order: str) -> DataFrame:
     """by, value, last: where each value last stands in its stream's texts, bounded by other than word characters.
 
     ``values``: by, value, distinct; ``texts``: by, order, text.  An inverted
-    index of the texts' tokens is joined with one token of each value, the
-    longest.  Where that token is the whole value, the index tells; otherwise the texts that hold
-    it are looked at.  Values without a token meet all texts of their stream.
+    index of the texts' tokens and pairs of neighbouring tokens is joined with one key of each value: its token, or of several
+    the longest pair of neighbours, which stand side by side in every text that holds the value.  Where a token is the whole value, the index tells; otherwise the texts that hold
+    the key are looked at.  Values without a token meet all texts of their stream.
+    Sizes before an explode don't tell those behind it, so no side may be broadcast by them; outer ones work their array out once.
     """
-    tokens = F.regexp_extract_all("value", F.lit(TOKEN), 0)
-    longest = F.array_max(F.transform(tokens, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
-    anchored = values.withColumn("_anchor", F.coalesce(longest, F.lit("")))
-    index = texts.select(*by, order, F.explode(F.array_append(F.array_distinct(F.regexp_extract_all("text", F.lit(TOKEN), 0)), F.lit(""))).alias("_anchor"))
-    met = anchored.join(index, [*by, "_anchor"])
-    whole = F.col("_anchor") == F.col("value")
+    tokens = lambda c: F.regexp_extract_all(c, F.lit(TOKEN), 0)
+    longest = lambda keys: F.array_max(F.transform(keys, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
+    split = values.withColumn("_tokens", tokens("value"))
+    keyed = split.select(*by, "value", F.coalesce(longest(_pairs(F.col("_tokens"))), longest(F.col("_tokens")), F.lit("")).alias("_key"))
+    words = texts.select(*by, order, tokens("text").alias("_tokens"))
+    index = words.select(*by, order, F.explode_outer(F.array_distinct(F.concat("_tokens", _pairs(F.col("_tokens")), F.array(F.lit(""))))).alias("_key"))
+    met = keyed.hint("merge").join(index, [*by, "_key"])
+    whole = (F.col("_key") == F.col("value")) & ~F.col("value").contains(" ") & (F.col("value") != "")
     sure = met.filter(whole).groupBy(*by, "value").agg(F.max(order).alias("last"))
-    looked = met.filter(~whole).select(*by, order, "value").join(texts.select(*by, order, "text"), [*by, order]).filter(X.word_bounded(F.col("text"), F.col("value")))
+    looked = met.filter(~whole).select(*by, order, "value").hint("merge").join(texts.select(*by, order, "text"), [*by, order]).filter(X.word_bounded(F.col("text"), F.col("value")))
     return sure.unionByName(looked.groupBy(*by, "value").agg(F.max(order).alias("last")))
 
 
-def consumed_fields(results: DataFrame, texts: DataFrame, by: list[str], order: str) -> DataFrame:
+def consumed_fields(results: DataFrame, texts: DataFrame, by: list[str], order: str, checkpoint: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """by, order, consumed: of each JSON object in ``results`` the fields that any later text of the stream takes up, sorted.
 
     Both have by, order and text; ``order`` names a row of a stream.  All later texts count, however far
     behind; no text is carried to a row.  Results that are no objects give no row.
+    With ``checkpoint`` the results are parsed once and not for each use of their fields.
     """
-    fields = results.select(*by, order, result_fields(F.col("text")).alias("_fields")).filter("_fields IS NOT NULL")
-    each = fields.select(*by, order, F.explode("_fields").alias("f")).select(*by, order, "f.field", "f.value")
-    last = last_mentions(each.select(*by, "value").distinct(), texts, by, order)
-    used = each.join(last, [*by, "value"]).filter(F.col("last") > F.col(order)).groupBy(*by, order).agg(F.array_sort(F.collect_set("field")).alias("consumed"))
-    return fields.select(*by, order).join(used, [*by, order], "left").withColumn("consumed", F.coalesce("consumed", F.array().cast("array<string>")))
+    nothing = F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value"))
+    fields = results.select(*by, order, F.array_append(result_fields(F.col("text")), nothing).alias("_fields"))
+    fields = checkpoint(fields) if checkpoint else fields
+    # An outer explode: an inner one would work out the fields once more, to leave out rows without any.
+    each = fields.select(*by, order, F.explode_outer("_fields").alias("f")).filter("f IS NOT NULL").select(*by, order, "f.field", "f.value")
+    last = last_mentions(each.filter("value IS NOT NULL").select(*by, "value").distinct(), texts, by, order)
+    told = each.hint("merge").join(last, [*by, "value"], "left")
+    return told.groupBy(*by, order).agg(F.array_sort(F.collect_set(F.when(F.col("last") > F.col(order), F.col("field")))).alias("consumed"))
 
 
 def alternatives(calls: DataFrame, catalog: DataFrame, key: list[str]) -> DataFrame:

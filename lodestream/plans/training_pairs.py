@@ -9,7 +9,8 @@ from lodestream.functions import predicates as P
 from lodestream.functions import terms as T
 from lodestream.functions import values as V
 from lodestream.operators import edits, preferences, substitution
-from lodestream.plans.stream import REFUSAL, STREAM_SQL, sql_text, stream
+from lodestream.plans.event_streams import checkpoint
+from lodestream.plans.stream import REFUSAL, STREAM_SQL, dealt, sql_text, stream
 from lodestream.plans.text_rules import TIER_SQL, _any
 
 _BY = ["submission"]
@@ -113,13 +114,13 @@ def _catalog(spark: SparkSession) -> DataFrame:
 def consumed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of JSON results that any later text of the stream takes up."""
     rows = stream(spark, sf_dir).select("submission", "pos", "text")
-    found = substitution.consumed_fields(rows, rows, _BY, "pos")
+    found = substitution.consumed_fields(rows, rows, _BY, "pos", checkpoint)
     return found.select("submission", "pos", F.array_join("consumed", ",").alias("consumed"))
 
 
 def _event_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results of six fields by event: plain values, a list, a phrase, and values that say nothing."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = dealt(spark.read.parquet(f"{sf_dir}/events.parquet"), "user_id")
     number = F.get_json_object("props", "$.k")
     made = F.format_string(
         '{"k": %s, "kind": "%s", "pair": ["x", "%s-%s"], "phrase": "seen %s (%s)", "flag": true, "inner": {"k": %s}, "one": 1}', number, "event_type", number, "user_id", number, "event_type", number
@@ -131,7 +132,7 @@ def _event_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recurring_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of results made of ``events`` that later texts of the same user take up: numbers, list items and phrases."""
     rows = _event_results(spark, sf_dir)
-    found = substitution.consumed_fields(rows, rows.select("submission", "pos", F.col("told").alias("text")), _BY, "pos")
+    found = substitution.consumed_fields(rows, rows.select("submission", "pos", F.col("told").alias("text")), _BY, "pos", checkpoint)
     return found.select("submission", "pos", F.array_join("consumed", ",").alias("consumed"))
 
 

@@ -2,9 +2,21 @@
 
 from pyspark.sql import functions as F
 
+from lodestream.operators import substitution
 from lodestream.plans import stream as S
 
 
+def test_values_are_met_by_pairs_and_never_broadcast(spark):
+    """A value of two tokens meets the texts that hold both side by side, not all that hold the longer one; no side is broadcast by the size before its explode."""
+    result = '{"a": "zz-1234", "b": "(solo9)", "c": "one two three"}'
+    rows = [(1, 0, result)] + [(1, i, f"{i}-1234") for i in range(1, 50)] + [(1, 50, "see zz-1234, one  two three; one two"), (2, 0, result), (2, 1, "zz 1234 (solo9) one two three")]
+    df = spark.createDataFrame(rows, "submission long, pos long, text string")
+    found = substitution.consumed_fields(df, df, ["submission"], "pos")
+    assert {(r["submission"], r["pos"]): list(r["consumed"]) for r in found.collect()} == {(1, 0): ["a"], (2, 0): ["b", "c"]}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_streams_are_dealt_by_their_rows(spark):
     """More rows get more partitions, which Spark may not merge by the bytes of the narrow rows."""
     rows = spark.range(1000).select((F.col("id") % 90).alias("key"), "id")
