@@ -7,6 +7,8 @@ no objects are issues themselves, so nothing is lost in parsing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,13 +70,15 @@ def _marked(rows: DataFrame, by: list[str], order: str, recorded: Column, messag
     return rows.withColumn("known_call", F.coalesce(F.col("_made") < F.col(order), F.lit(False))).na.fill(False, ["call_again", "call_missing", "call_synth"])
 
 
-def stream_codes(lines: DataFrame, by: list[str], order: str, line: str = "line") -> DataFrame:
+def stream_codes(lines: DataFrame, by: list[str], order: str, line: str = "line", checkpoint: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """by, order, code: the twelve structural codes of an event stream's lines.
 
     A line that is no object, or whose message is none, has that code only
     (and those of its id and parent), and its id counts for no later line.
+    With ``checkpoint`` lines are parsed once and not for each join of what stood before.
     """
     rows = parsed_lines(lines, by, order, line)
+    rows = checkpoint(rows) if checkpoint else rows
     whole = F.col("is_object") & (F.col("message_is_object") | ~F.col("type").eqNullSafe("message"))
     role = F.when(whole & (F.col("type") == "message") & F.col("role").isin(*ROLES), F.col("role"))
     message = F.when((F.col("type") == "custom") & F.col("approval"), F.lit("approval")).otherwise(role)
@@ -98,12 +102,13 @@ def stream_codes(lines: DataFrame, by: list[str], order: str, line: str = "line"
     return structure.issues(rows, [*by, order], rules)
 
 
-def delivery_codes(lines: DataFrame, by: list[str], order: str, line: str = "line") -> DataFrame:
+def delivery_codes(lines: DataFrame, by: list[str], order: str, line: str = "line", checkpoint: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """by, order, code: the fifteen kinds that a delivered log must not show; that of equal milliseconds stands at its last line.
 
-    A line without a time is passed over by the checks of times.
+    A line without a time is passed over by the checks of times.  ``checkpoint`` as in ``stream_codes``.
     """
     rows = parsed_lines(lines, by, order, line)
+    rows = checkpoint(rows) if checkpoint else rows
     role = F.when(F.col("is_object") & F.col("role").isin(*ROLES), F.col("role"))
     rows = _marked(rows.withColumn("_role", role), by, order, F.col("is_object"), role)
     whole, so_far = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -104,11 +104,11 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_stream_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_checks.stream_codes(log_lines(spark, sf_dir), _BY, "pos")
+    return log_checks.stream_codes(log_lines(spark, sf_dir), _BY, "pos", checkpoint=checkpoint)
 
 
 def log_delivery_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_checks.delivery_codes(log_lines(spark, sf_dir), _BY, "pos")
+    return log_checks.delivery_codes(log_lines(spark, sf_dir), _BY, "pos", checkpoint=checkpoint)
 
 
 _FUNCTIONS = (turn_rows, rebuilt_events, merged_chains, gated_rows, swapped_calls, circular_streams, normalised_streams, log_stream_codes, log_delivery_codes)

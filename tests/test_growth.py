@@ -23,3 +23,11 @@ def test_streams_are_dealt_by_their_rows(spark):
     assert S.dealt(rows, "key", 50).rdd.getNumPartitions() == 20
     assert S.dealt(rows, "key", 10).rdd.getNumPartitions() == 100
     assert {tuple(r) for r in S.dealt(rows, "key", 10).collect()} == {tuple(r) for r in rows.collect()}
+
+
+def test_log_lines_are_parsed_once(spark, sf):
+    """What stood before a line comes from joins of the parsed lines, not of the lines parsed again."""
+    from lodestream.plans import turns
+
+    for query in (turns.log_stream_codes, turns.log_delivery_codes):
+        assert "parse_json" not in query(spark, sf)._jdf.queryExecution().optimizedPlan().toString().lower()
