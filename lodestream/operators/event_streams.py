@@ -82,11 +82,12 @@ def active_branch(df: DataFrame, by: list[str], order: str, checkpoint: Callable
 
     A stream is kept whole if the way ends at a parent that no row has, or has
     fewer than half of the rows (at least two).  The way is found by doubling:
-    each round joins the reached rows with links twice as long as before.
+    each round joins the reached rows with links twice as long as before; links
+    that would reach beyond a stream's first row are dropped.
     """
-    nodes = df.filter(F.col(id_col) != "").groupBy(*by, F.col(id_col).alias("node")).agg(F.max_by(parent_col, order).alias("to"), F.max(order).alias("_at"))
+    nodes = checkpoint(df.filter(F.col(id_col) != "").groupBy(*by, F.col(id_col).alias("node")).agg(F.max_by(parent_col, order).alias("to"), F.max(order).alias("_at")))
     leaf = nodes.groupBy(*by).agg(F.max_by("node", "_at").alias("node"))
-    jump, reached = checkpoint(nodes.select(*by, "node", "to")), leaf
+    jump, reached = nodes.select(*by, "node", "to"), leaf
     dangling = jump.filter("to IS NOT NULL").join(jump.select(*by, F.col("node").alias("to")), [*by, "to"], "left_anti").select(*by, "node")
     seen = None
     for _ in range(max_rounds):
@@ -96,7 +97,7 @@ def active_branch(df: DataFrame, by: list[str], order: str, checkpoint: Callable
         if n == seen:
             break
         seen = n
-        jump = checkpoint(jump.join(jump.select(*by, F.col("node").alias("to"), F.col("to").alias("_next")), [*by, "to"], "left").select(*by, "node", F.col("_next").alias("to")))
+        jump = checkpoint(jump.join(jump.select(*by, F.col("node").alias("to"), F.col("to").alias("_next")).filter("_next IS NOT NULL"), [*by, "to"]).select(*by, "node", F.col("_next").alias("to")))
     on_way = reached.join(nodes.select(*by, "node"), [*by, "node"], "left_semi")
     sizes = df.filter(F.col(id_col) != "").groupBy(*by).agg(F.count("*").alias("_rows")).join(on_way.groupBy(*by).agg(F.count("*").alias("_way")), by)
     short = sizes.filter(F.col("_way") < F.greatest(F.lit(2), F.floor(F.col("_rows") / 2))).select(*by)
