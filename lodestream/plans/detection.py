@@ -23,8 +23,12 @@ def held(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streams with their persona's values and the calls' argument texts."""
-    return stream(spark, sf_dir).join(held(spark, sf_dir), "submission").withColumn("args", F.concat_ws(" ", "path", "command", "text"))
+    """The streams with their persona's values and the calls' argument texts.
+
+    Values lie beside their stream's rows, and a task's values are its table of the join: they grow with the streams, but in bytes that
+    Spark does not see when it chooses a broadcast.  The rows keep their order.
+    """
+    return stream(spark, sf_dir).join(held(spark, sf_dir).hint("shuffle_hash"), "submission").withColumn("args", F.concat_ws(" ", "path", "command", "text"))
 
 
 def value_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:

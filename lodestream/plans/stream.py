@@ -105,17 +105,21 @@ ENTITIES_SQL = f"(SELECT submission, v.* FROM (SELECT DISTINCT user_id AS submis
 TASK_ROWS = 25_000
 
 
-def dealt(rows: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Rows by key, in a number of partitions that grows with the rows.
+def n_tasks(rows: DataFrame, task_rows: int = TASK_ROWS) -> int:
+    """The number of partitions for rows of streams; 0 if they are so few that Spark may choose."""
+    session = rows.sparkSession
+    wanted = -(-rows.count() // task_rows)
+    return 0 if wanted <= session.sparkContext.defaultParallelism else max(wanted, int(session.conf.get("spark.sql.shuffle.partitions")))
+
+
+def dealt(rows: DataFrame, key: str, task_rows: int = TASK_ROWS, like: DataFrame | None = None) -> DataFrame:
+    """Rows by key, in a number of partitions that grows with the rows, or with those of ``like``.
 
     Rows are narrow here and grow wide behind the shuffle, so that its bytes, by which Spark
     merges partitions, don't tell what a task will hold.
     """
-    session = rows.sparkSession
-    wanted = -(-rows.count() // task_rows)
-    if wanted <= session.sparkContext.defaultParallelism:
-        return rows
-    return rows.repartition(max(wanted, int(session.conf.get("spark.sql.shuffle.partitions"))), key)
+    n = n_tasks(rows if like is None else like, task_rows)
+    return rows.repartition(n, key) if n else rows
 
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +150,8 @@ def values(spark: SparkSession) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in values of each submission: submission, number, text, label, level; a bounded list each."""
+    """The stand-in values of each submission, dealt as its stream is: submission, number, text, label, level; a bounded list each."""
     listed = F.array(*[F.struct(F.lit(i).alias("number"), F.lit(t).alias("text"), F.lit(label).alias("label"), F.lit(level).alias("level")) for i, (t, label, level) in enumerate(VALUES)])
-    people = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("submission")).distinct()
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    people = dealt(events.select(F.col("user_id").alias("submission")).distinct(), "submission", like=events)
     return people.select("submission", F.explode(listed).alias("v")).select("submission", "v.*").filter("(submission + number) % 3 <> 0")

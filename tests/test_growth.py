@@ -1,5 +1,7 @@
 """Plans whose tasks and broadcasts must not grow with the tables."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from lodestream.operators import substitution
@@ -31,3 +33,17 @@ def test_log_lines_are_parsed_once(spark, sf):
 
     for query in (turns.log_stream_codes, turns.log_delivery_codes):
         assert "parse_json" not in query(spark, sf)._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_values_lie_beside_their_stream(spark, sf, monkeypatch):
+    """One row a stream with an array of values grows with the streams: it is dealt as they are, and never broadcast."""
+    from lodestream.plans import detection
+
+    monkeypatch.setattr(S.dealt, "__defaults__", (100, None))
+    joined = detection.rows(spark, sf)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    n = S.n_tasks(spark.read.parquet(f"{sf}/events.parquet"), 100)
+    dealt = re.findall(r"Exchange hashpartitioning\(\S+, (\d+)\), (\w+)", plan)
+    assert n > 8 and dealt.count((str(n), "REPARTITION_BY_NUM")) == 2 and len(dealt) == 3  # the third is that of the distinct streams
+    assert joined.rdd.getNumPartitions() == n
