@@ -100,17 +100,17 @@ def broken_rules(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in rules.items()]))
 
 
-def gate_hits(state: DataFrame, by: list[str], order: str, rules: dict[str, Column]) -> DataFrame:
-    """One row (by, order, turn, rule) for every rule that a row breaks, before issues are de-duplicated."""
-    return state.select(*by, order, "turn", F.explode(broken_rules(rules)).alias("rule"))
+def gate_hits(state: DataFrame, by: list[str], order: str, rules: dict[str, Column], keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row (by, order, turn, ``keep``, rule) for every rule that a row breaks, before issues are de-duplicated."""
+    return state.select(*by, order, "turn", *keep, F.explode(broken_rules(rules)).alias("rule"))
 
 
-def gate_issues(hits: DataFrame, by: list[str], order: str) -> DataFrame:
-    """Issues with severities, one of each kind a turn, the first kept."""
+def gate_issues(hits: DataFrame, by: list[str], order: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Issues with severities, one of each kind a turn, the first kept; ``keep`` names columns of its row that stay beside it, which saves a join."""
     pairs = F.create_map(*[F.lit(x) for i in SEVERITY.items() for x in i])
-    first = hits.groupBy(*by, "turn", "rule").agg(F.min(order).alias(order))
+    first = hits.groupBy(*by, "turn", "rule").agg(F.min(order).alias(order), *[F.min_by(c, order).alias(c) for c in keep])
     rule = F.split_part("rule", F.lit(":"), F.lit(1))
-    return first.select(*by, "turn", order, rule.alias("rule"), F.coalesce(F.nullif(F.split_part("rule", F.lit(":"), F.lit(2)), F.lit("")), F.lit("1")).alias("site"), F.coalesce(pairs[rule], F.lit("major")).alias("severity"))
+    return first.select(*by, "turn", order, *keep, rule.alias("rule"), F.coalesce(F.nullif(F.split_part("rule", F.lit(":"), F.lit(2)), F.lit("")), F.lit("1")).alias("site"), F.coalesce(pairs[rule], F.lit("major")).alias("severity"))
 
 
 def merge_verdicts(verdicts: DataFrame, issues: DataFrame, by: list[str]) -> DataFrame:

@@ -56,9 +56,9 @@ def gate_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.gate_hits(_state(rows(spark, sf_dir)), _BY, "pos", _rules()).select("submission", "pos", "rule")
 
 
-def gate_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = gates.gate_hits(_state(rows(spark, sf_dir)), _BY, "pos", _rules())
-    return gates.gate_issues(hits, _BY, "pos")
+def gate_issues(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    hits = gates.gate_hits(_state(rows(spark, sf_dir)), _BY, "pos", _rules(), keep)
+    return gates.gate_issues(hits, _BY, "pos", keep)
 
 
 def gate_rule_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -181,8 +181,7 @@ def skills_of_other_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def issues_with_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodestream.plans.quality_gates import gate_issues
 
-    issues = gate_issues(spark, sf_dir).select("submission", "pos", "rule")
-    return issues.join(stream(spark, sf_dir).select("submission", "pos", "role", "event_id"), ["submission", "pos"]).select("event_id", "role", "rule")
+    return gate_issues(spark, sf_dir, keep=("event_id", "role")).select("event_id", "role", "rule")
 
 
 _FUNCTIONS = (

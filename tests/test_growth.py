@@ -47,3 +47,15 @@ def test_values_lie_beside_their_stream(spark, sf, monkeypatch):
     dealt = re.findall(r"Exchange hashpartitioning\(\S+, (\d+)\), (\w+)", plan)
     assert n > 8 and dealt.count((str(n), "REPARTITION_BY_NUM")) == 2 and len(dealt) == 3  # the third is that of the distinct streams
     assert joined.rdd.getNumPartitions() == n
+
+
+def test_issues_keep_their_rows(spark, sf):
+    """Columns of an issue's row come with it: the streams are built once and not joined with themselves."""
+    from lodestream.operators import gates
+    from lodestream.plans import relations
+
+    hits = spark.createDataFrame([(1, 5, 0, "a", 50), (1, 4, 0, "a", None), (1, 6, 1, "a", 60), (1, 4, 0, "b:2", 40)], "k long, pos long, turn long, rule string, event long")
+    got = {(r["pos"], r["rule"], r["site"], r["event"]) for r in gates.gate_issues(hits, ["k"], "pos", keep=("event",)).collect()}
+    assert got == {(4, "a", "1", None), (6, "a", "1", 60), (4, "b", "2", 40)}
+    plan = relations.issues_with_rows(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") == 1
