@@ -13,12 +13,14 @@ from lodestream.operators.event_streams import covered_by
 from lodestream.operators.walks import walk_in_order
 
 
-def call_facts(calls: DataFrame, by: list[str], reads: DataFrame | None = None) -> DataFrame:
+def call_facts(calls: DataFrame, by: list[str], reads: DataFrame | Column | None = None) -> DataFrame:
     """What the cascade asks about each call, as columns; nothing here depends on earlier decisions.
 
     ``calls``: by, pos, turn, slot, tool, path, command, content, args, held (the
     persona's values), current_user, prior_user, asked_before, user_index,
-    intro_index (of the first message with a value of level 3).
+    intro_index (of the first message with a value of level 3).  ``reads``: rows
+    with by, path and pos, or, where they are among the calls, a condition that
+    marks them, which needs no join; places are unique in a stream then.
     """
     tool, path, held = F.col("tool"), F.col("path"), F.col("held")
     payload = F.coalesce(F.nullif(F.col("content"), F.lit("")), F.col("command"), F.lit(""))
@@ -55,6 +57,9 @@ def call_facts(calls: DataFrame, by: list[str], reads: DataFrame | None = None)
     )
     if reads is None:
         return c.withColumn("later_reads", F.lit(0).cast("long"))
+    if isinstance(reads, Column):
+        after = Window.partitionBy(*by, F.lower(path)).orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
+        return c.withColumn("later_reads", F.when(path != "", F.count_if(reads).over(after)).otherwise(F.lit(0).cast("long")))
     counted = policy.later_reads(c.filter(path != "").select(*by, F.lower("path").alias("_file"), "pos"), reads.select(*by, F.lower("path").alias("_file"), "pos"), [*by, "_file"], "pos")
     counted = counted.select(*by, "pos", F.col("n_reads").alias("later_reads"))
     return c.join(counted, [*by, "pos"], "left").withColumn("later_reads", F.coalesce("later_reads", F.lit(0).cast("long")))

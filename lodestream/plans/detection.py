@@ -120,8 +120,7 @@ def cascade_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     intro = F.coalesce(F.min(F.when(user & brings, F.col("user_index"))).over(Window.partitionBy(*_BY)), F.sum(user.cast("long")).over(Window.partitionBy(*_BY)))
     expected = F.when(F.col("submission") % 4 == 0, "hard_deny").when(F.col("submission") % 4 == 1, "consent_gate").otherwise("")
     calls = r.withColumn("intro_index", intro).filter("has_call").withColumn("slot", F.lit(0)).withColumn("content", F.col("text")).withColumn("expected", expected)
-    reads = stream(spark, sf_dir).filter(F.col("has_call") & F.col("tool").isin(*T.READ_TOOLS) & (F.col("path") != ""))
-    return cascade.call_facts(calls, _BY, reads)
+    return cascade.call_facts(calls, _BY, F.col("tool").isin(*T.READ_TOOLS))
 
 
 def cascade_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,3 +59,20 @@ def test_issues_keep_their_rows(spark, sf):
     assert got == {(4, "a", "1", None), (6, "a", "1", 60), (4, "b", "2", 40)}
     plan = relations.issues_with_rows(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("row_number()") == 1
+
+
+def test_later_reads_need_no_join(spark, sf):
+    """Reads that are calls themselves are counted where the calls lie, as a join with them counts."""
+    from lodestream.functions import terms as T
+    from lodestream.operators import cascade, detect
+    from lodestream.plans import detection
+
+    plan = detection.cascade_facts(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") == 1 and "Union" not in plan
+    rows = [(1, p, 0, 0, tool, path, "", "", "", "", "", "", 0, 9) for p, (tool, path) in enumerate([("write", "/A"), ("read", "/a"), ("read", ""), ("write", ""), ("read", None), ("read", "/a"), ("write", "/a")])]
+    calls = spark.createDataFrame(
+        rows, "k long, pos long, turn long, slot int, tool string, path string, command string, content string, args string, current_user string, prior_user string, asked_before string, user_index long, intro_index long"
+    ).withColumn("held", detect.no_values())
+    reads = F.col("tool").isin(*T.READ_TOOLS)
+    counted = lambda given: {r["pos"]: r["later_reads"] for r in cascade.call_facts(calls, ["k"], given).collect()}
+    assert counted(reads) == counted(calls.filter(reads)) == {0: 2, 1: 1, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0}
