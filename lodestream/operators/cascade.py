@@ -86,12 +86,13 @@ def sourced_action(has_lower: Column | None = None) -> Column:
     return F.when((level >= 2) & lower, "downgrade").when(F.col("reason") == "", within).when(F.col("reason") == "local_write_above_band", later).otherwise("ask")
 
 
-def decide(facts: DataFrame, by: list[str], has_lower: Column | None = None) -> DataFrame:
+def decide(facts: DataFrame, by: list[str], has_lower: Column | None = None, tasks: int = 0) -> DataFrame:
     """One row per turn: by, turn, action, deciding slot.  Facts must carry ``expected`` (the task's expected actions, '' if none).
 
     Calls are walked in order with the consents given so far (the state is the
     distinct keys).  Of a turn's calls the strongest action wins, the first of
     equal ones; a denied local write or its redirection decides at once.
+    ``tasks`` is that of ``walk_in_order``.
     """
     rest = facts.withColumn("own", own_action(has_lower)).withColumn("bridged", F.when(F.col("own") == "gate?", sourced_action(has_lower)))
     last = F.row_number().over(Window.partitionBy(*by, "turn").orderBy(F.desc("slot"))) == 1
@@ -129,7 +130,7 @@ def decide(facts: DataFrame, by: list[str], has_lower: Column | None = None) ->
             state["asked_at"] = row.turn
         return f"{best}:{state['slot']}"
 
-    walked = walk_in_order(rows, by, ["turn", "slot"], fresh, step, "said", "string").filter("is_last")
+    walked = walk_in_order(rows, by, ["turn", "slot"], fresh, step, "said", "string", tasks).filter("is_last")
     return walked.select(*by, "turn", F.split_part("said", F.lit(":"), F.lit(1)).alias("action"), F.split_part("said", F.lit(":"), F.lit(2)).cast("int").alias("slot"))
 
 

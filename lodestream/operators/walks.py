@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 
-def walk_in_order(df: DataFrame, by: list[str], order: list[str], fresh: Callable[[], Any], step: Callable[[Any, Any], Any], name: str, kind: str) -> DataFrame:
+def walk_in_order(df: DataFrame, by: list[str], order: list[str], fresh: Callable[[], Any], step: Callable[[Any, Any], Any], name: str, kind: str, tasks: int = 0) -> DataFrame:
     """``df`` with the column ``name``: what ``step(state, row)`` says of each row of a stream, in order.
 
     Streams are dealt to tasks by key and sorted there (on disk where they are
     long); a task holds one batch of rows and one stream's state.  The state is
     made anew by ``fresh()`` at a stream's start.  Rows of null key are one stream.
+    ``tasks`` is a number of partitions; rows that lie in as many by that key are not dealt again.
     """
     schema = StructType.fromJson(df.schema.jsonValue()).add(name, kind)
 
@@ -31,4 +32,5 @@ def walk_in_order(df: DataFrame, by: list[str], order: list[str], fresh: Callabl
             frame[name] = said
             yield frame
 
-    return df.repartition(*by).sortWithinPartitions(*by, *order).mapInPandas(run, schema)
+    dealt = df.repartition(tasks, *by) if tasks else df.repartition(*by)
+    return dealt.sortWithinPartitions(*by, *order).mapInPandas(run, schema)

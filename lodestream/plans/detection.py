@@ -10,7 +10,7 @@ from lodestream.functions import terms as T
 from lodestream.functions import text as X
 from lodestream.operators import cascade, detect, entities
 from lodestream.plans.entities import hits_sql
-from lodestream.plans.stream import ENTITIES_SQL, STREAM_SQL, sql_text, stream
+from lodestream.plans.stream import ENTITIES_SQL, STREAM_SQL, n_tasks, sql_text, stream
 from lodestream.plans.stream import entities as stream_values
 from lodestream.plans.text_rules import ARGS_SQL, TEXT_RULES, TIER_SQL, _any, _in, _re
 
@@ -128,7 +128,7 @@ def cascade_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cascade_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cascade.decide(cascade_calls(spark, sf_dir), _BY)
+    return cascade.decide(cascade_calls(spark, sf_dir), _BY, tasks=n_tasks(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
 def own_actions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,3 +76,13 @@ def test_later_reads_need_no_join(spark, sf):
     reads = F.col("tool").isin(*T.READ_TOOLS)
     counted = lambda given: {r["pos"]: r["later_reads"] for r in cascade.call_facts(calls, ["k"], given).collect()}
     assert counted(reads) == counted(calls.filter(reads)) == {0: 2, 1: 1, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0}
+
+
+def test_walks_take_streams_where_they_lie(spark):
+    """Rows that are dealt already are not dealt again, by bytes that don't tell their number."""
+    from lodestream.operators.walks import walk_in_order
+
+    rows = spark.range(1000).select((F.col("id") % 90).alias("key"), "id").repartition(20, "key")
+    walked = walk_in_order(rows, ["key"], ["id"], list, lambda s, r: s.append(r.id) or len(s), "n", "long", 20)
+    assert walked._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert walked.rdd.getNumPartitions() == 20 and walked.filter("n = id div 90 + 1").count() == 1000
