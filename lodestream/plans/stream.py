@@ -106,10 +106,15 @@ TASK_ROWS = 25_000
 
 
 def n_tasks(rows: DataFrame, task_rows: int = TASK_ROWS) -> int:
-    """The number of partitions for rows of streams; 0 if they are so few that Spark may choose."""
+    """The number of partitions for rows of streams; 0 if one task may hold them all, so that Spark may choose.
+
+    Fewer than the session has cores are dealt too, four times as finely at most: what a task holds must not grow with the cores.
+    """
     session = rows.sparkSession
-    wanted = -(-rows.count() // task_rows)
-    return 0 if wanted <= session.sparkContext.defaultParallelism else max(wanted, int(session.conf.get("spark.sql.shuffle.partitions")))
+    wanted, cores = -(-rows.count() // task_rows), session.sparkContext.defaultParallelism
+    if wanted <= cores:
+        return min(cores, 4 * wanted) if wanted > 1 else 0
+    return max(wanted, int(session.conf.get("spark.sql.shuffle.partitions")))
 
 
 def dealt(rows: DataFrame, key: str, task_rows: int = TASK_ROWS, like: DataFrame | None = None) -> DataFrame:

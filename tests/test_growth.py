@@ -27,6 +27,17 @@ def test_streams_are_dealt_by_their_rows(spark):
     assert {tuple(r) for r in S.dealt(rows, "key", 10).collect()} == {tuple(r) for r in rows.collect()}
 
 
+def test_fewer_tasks_than_cores_are_dealt_too(spark):
+    """Up to as many tasks as the session has cores, Spark merged the partitions by the bytes of the narrow rows, here to one."""
+    rows = spark.range(1000).select((F.col("id") % 90).alias("key"), "id")
+    cores = spark.sparkContext.defaultParallelism
+    assert S.dealt(rows, "key", 1000 // cores + 1).rdd.getNumPartitions() == cores
+    assert S.n_tasks(rows, 500) == min(cores, 8) and S.n_tasks(rows, 1000) == 0
+    counts = S.dealt(rows, "key", 500).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(counts) > 2 and max(r["count"] for r in counts) <= 500
+    assert {tuple(r) for r in S.dealt(rows, "key", 500).collect()} == {tuple(r) for r in rows.collect()}
+
+
 def test_log_lines_are_parsed_once(spark, sf):
     """What stood before a line comes from joins of the parsed lines, not of the lines parsed again."""
     from lodestream.plans import turns
